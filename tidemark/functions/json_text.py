@@ -43,16 +43,12 @@ def infer_json_schema(df: DataFrame, value: str = "value") -> T.StructType:
     text is not a JSON object the schema also has a string column for the text itself.
     """
     text = F.col(value).cast("string")
-    parsed = F.try_parse_json(text)
-    is_object = F.schema_of_variant(parsed).startswith("OBJECT<")
-    shape, broken = (
-        df.where(F.length(F.trim(text)) > 0)
-        .agg(
-            F.schema_of_variant_agg(F.when(is_object, parsed)),
-            F.count_if(~F.coalesce(is_object, F.lit(False))),
-        )
-        .first()
-    )
+    # Parsed in a projection of its own, so that the aggregates below share one parse per row.
+    parsed = df.where(F.length(F.trim(text)) > 0).select(text.alias("text"), F.try_parse_json(text).alias("parsed"))
+    is_object = F.col("parsed").isNotNull() & F.ltrim("text", F.lit(" \t\r\n")).startswith("{")
+    shape, broken = parsed.agg(
+        F.schema_of_variant_agg(F.when(is_object, F.col("parsed"))), F.count_if(~is_object)
+    ).first()
     fields: list[T.StructField] = []
     if shape and shape.startswith("OBJECT<"):
         ddl = _OBJECT.sub(lambda part: "STRUCT<" if part[0] == "OBJECT<" else part[0], shape)

@@ -1,7 +1,7 @@
 """Tables with one row per key, where a later write of a key replaces the earlier one.
 
-A write adds only its own rows, as one ``batch=<id>`` directory; reading keeps the greatest row of
-each key by (ordering columns, batch). A greatest row does not depend on how often or in what
+A write adds only its own rows, as one ``put=<batch id>`` directory; reading keeps the greatest row
+of each key by (ordering columns, batch id). A greatest row does not depend on how often or in what
 order rows were added, so replaying any batch, old or new, changes nothing, and no write ever
 rewrites the table. The cost of a write follows the batch, not the table.
 """
@@ -87,17 +87,21 @@ class KeyedTable:
     catalog: Catalog
     ordering: tuple[tuple[str, str], ...] = ()  # (column of the input, type), most significant first
 
-    _BASE = -1  # batch id of the rows a table starts with
+    _BASE = "put=base"  # the rows a table starts with; no batch ever replaces them
+
+    @property
+    def _order(self) -> T.StructType:
+        """What rows of one key are compared by; every row carries the id of its batch."""
+        given = [T.StructField(f"_order_{name}", T.DataType.fromDDL(kind)) for name, kind in self.ordering]
+        return T.StructType([*given, T.StructField("_order_batch", T.LongType())])
 
     @property
     def _layout(self) -> T.StructType:
-        extra = [T.StructField(f"_order_{name}", T.DataType.fromDDL(kind)) for name, kind in self.ordering]
-        return T.StructType([*self.catalog.schema, *extra, T.StructField("batch", T.LongType())])
+        return T.StructType([*self.catalog.schema, *self._order])
 
     def create(self, spark: SparkSession) -> KeyedTable:
         """Make the table if it is absent."""
-        empty = spark.createDataFrame([], self._layout).drop("batch")
-        empty.write.mode("ignore").parquet(f"{self.path}/batch={self._BASE}")
+        spark.createDataFrame([], self._layout).write.mode("ignore").parquet(f"{self.path}/{self._BASE}")
         return self
 
     def upsert(self, df: DataFrame, batch_id: int) -> None:
@@ -106,15 +110,15 @@ class KeyedTable:
             raise ValueError("batch ids start at 0")
         self.create(df.sparkSession)
         order = [F.col(name).cast(kind).alias(f"_order_{name}") for name, kind in self.ordering]
-        rows = self.catalog.project(df, *order)
+        rows = self.catalog.project(df, *order, F.lit(batch_id).cast("long").alias("_order_batch"))
         key = F.col(self.catalog.key)
         kind = self.catalog.schema[self.catalog.key].dataType
         checked = F.coalesce(key, F.raise_error(F.lit(f"null row key for {self.catalog.name}")).cast(kind))
-        rows.withColumn(self.catalog.key, checked).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        rows.withColumn(self.catalog.key, checked).write.mode("overwrite").parquet(f"{self.path}/put={batch_id}")
 
     def next_batch(self, spark: SparkSession) -> int:
         """The id after the last batch written."""
-        last = self.create(spark)._rows(spark).agg(F.max("batch")).first()[0]
+        last = self.create(spark)._rows(spark).agg(F.max("_order_batch")).first()[0]
         return 0 if last is None else last + 1
 
     def _rows(self, spark: SparkSession) -> DataFrame:
@@ -124,8 +128,7 @@ class KeyedTable:
         """One row per key with its ordering columns; tasks reduce each key before the shuffle."""
         key = self.catalog.key
         values = [name for name in self.catalog.stored if name != key]
-        order = [f"_order_{name}" for name, _ in self.ordering]
-        greatest = F.max(F.struct(*order, "batch", *values)).alias("row")
+        greatest = F.max(F.struct(*self._order.names, *values)).alias("row")
         return self._rows(spark).groupBy(key).agg(greatest).select(key, "row.*")
 
     def scan(self, spark: SparkSession, ordered: bool = False) -> DataFrame:
@@ -139,8 +142,8 @@ class KeyedTable:
         Later batches go to the copy. A batch that is replayed there merges as it would have here.
         """
         compacted = KeyedTable(path, self.catalog, self.ordering)
-        newest = self._newest(spark).select([f.name for f in self._layout if f.name != "batch"])
-        newest.write.mode("errorifexists").parquet(f"{path}/batch={self._BASE}")
+        newest = self._newest(spark).select(self._layout.names)
+        newest.write.mode("errorifexists").parquet(f"{path}/{self._BASE}")
         return compacted
 
 

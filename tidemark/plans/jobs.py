@@ -145,9 +145,9 @@ def write_profile_batch(
     def files(df: DataFrame, fmt: str) -> None:
         rows = df.where(usable).drop("_record", CORRUPT_RECORD)
         if fmt == "avro":
-            write_avro(rows, target("AVRO"), config.record_name, config.record_namespace, mode=mode)
+            write_avro(rows, target("AVRO"), config.record_name, config.record_namespace, mode=mode, rebalance=False)
         else:
-            write_partitioned(rows, target(fmt.upper()), fmt, mode=mode)
+            write_partitioned(rows, target(fmt.upper()), fmt, mode=mode, rebalance=False)
 
     def keyed(df: DataFrame) -> None:
         position = {name: F.col(f"_record.{name}") for name in ("partition", "offset")}
@@ -159,7 +159,8 @@ def write_profile_batch(
     sinks.append(keyed)
     if config.on_error == QUARANTINE:
         sinks.append(quarantine)
-    fan_out(enriched, *sinks)
+    # Grouped by date once for all file sinks, before the batch is kept.
+    fan_out(enriched.hint("rebalance", "datepart") if config.formats else enriched, *sinks)
 
 
 def stream_profiles(records: DataFrame, config: ProfileStreamConfig, interval: int | None = None) -> StreamingQuery:

@@ -404,10 +404,10 @@ def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profile updates put in two batches, the newer dates first."""
     keyed = KeyedTable(scratch_dir(spark, "profiles"), USER_PROFILE, PROFILE_ORDER)
-    parsed = parse_declared(updates(spark, sf_dir), PROFILE_UPDATE, keep=("partition", "offset"))
-    early = F.col("updated_at") < "2024-01-16"
-    keyed.upsert(parsed.where(~early), 0)
-    keyed.upsert(parsed.where(early), 1)
+    records = updates(spark, sf_dir)
+    early = F.col("timestamp") < "2024-01-16"
+    for batch_id, batch in enumerate((records.where(~early), records.where(early))):
+        keyed.upsert(parse_declared(batch, PROFILE_UPDATE, keep=("partition", "offset")), batch_id)
     return keyed.scan(spark)
 
 
@@ -510,10 +510,8 @@ def topic_start_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     early = F.col("ts") < "2024-01-16"
     topics.publish(as_records(events.where(early), "events", "user_id", F.col("props")))
-    # One row per topic partition, of which there are two.
-    ends = end_positions(topics.read(spark, "events")).collect()
+    starting = json.dumps(end_positions(topics.read(spark, "events")))
     topics.publish(as_records(events.where(~early), "events", "user_id", F.col("props")))
-    starting = json.dumps({"events": {str(row["partition"]): row["position"] for row in ends}})
     return topics.read(spark, "events", starting).select("key", "value")
 
 

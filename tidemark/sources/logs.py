@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 
 from tidemark.schemas import APP_LOG
 
-# A quote inside a quoted value is written twice, as in RFC 4180.
-CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"'}
+# A quote inside a quoted value is written twice, as in RFC 4180. A file whose header does not match
+# the schema is an error; its values would end up in the wrong columns.
+CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "enforceSchema": "false"}
 
 
 def infer_log_schema(spark: SparkSession, path: str) -> T.StructType:

@@ -20,7 +20,7 @@ from tidemark.config import TopicConfig
 from tidemark.functions.json_text import json_value
 from tidemark.schemas import TOPIC_RECORD
 
-POSITIONS = T.StructType([TOPIC_RECORD["topic"], TOPIC_RECORD["partition"], T.StructField("position", T.LongType())])
+Positions = dict[str, dict[int, int]]  # topic -> partition -> offset
 
 # The two special positions of a per-partition offset document.
 LATEST, EARLIEST = -1, -2
@@ -47,9 +47,13 @@ def _names(topics: str | Iterable[str]) -> list[str]:
     return sorted({part.strip() for part in parts if part.strip()})
 
 
-def end_positions(records: DataFrame) -> DataFrame:
-    """Per topic partition the offset after the last record."""
-    return records.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("position"))
+def end_positions(records: DataFrame) -> Positions:
+    """Per topic partition the offset after the last record: one number for each partition there is."""
+    ends = records.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("position"))
+    found: Positions = {}
+    for row in ends.collect():
+        found.setdefault(row["topic"], {})[row["partition"]] = row["position"]
+    return found
 
 
 @dataclass(frozen=True)
@@ -104,14 +108,17 @@ class FileTopics:
     def read(
         self, spark: SparkSession, topics: str | Iterable[str], starting: str = "earliest", ending: str = "latest"
     ) -> DataFrame:
-        """Records from ``starting`` (inclusive) to ``ending`` (exclusive)."""
-        records = self._all(spark).where(F.col("topic").isin(_names(topics))).select(TOPIC_RECORD.names)
+        """Records from ``starting`` (inclusive) to ``ending`` (exclusive).
+
+        Each is earliest, latest, or a document ``{"topic": {"partition": offset}}``.
+        """
+        records = self._subscribed(self._all(spark), topics)
         if starting == "latest":
             return records.where(F.lit(False))
         if starting != "earliest":
-            records = _cut(records, self._positions(spark, topics, starting), starting=True)
+            records = records.where(self._from(topics, self._resolve(spark, topics, starting)))
         if ending != "latest":
-            records = _cut(records, self._positions(spark, topics, ending), starting=False)
+            records = records.where(self._until(topics, json.loads(ending)))
         return records
 
     def stream(
@@ -130,44 +137,57 @@ class FileTopics:
         reader = spark.readStream.schema(self._LAYOUT)
         if files_per_batch:
             reader = reader.option("maxFilesPerTrigger", files_per_batch)
-        records = reader.parquet(self.path).where(F.col("topic").isin(_names(topics))).select(TOPIC_RECORD.names)
+        records = self._subscribed(reader.parquet(self.path), topics)
         if starting == "earliest":
             return records
         if not checkpoint:
             raise ValueError("a start other than earliest needs the checkpoint location of the query")
         kept = f"{checkpoint.rstrip('/')}-start"
-        self._positions(spark, topics, starting).write.mode("ignore").parquet(kept)
-        return _cut(records, spark.read.schema(POSITIONS).parquet(kept), starting=True)
+        document = json.dumps(self._resolve(spark, topics, starting))
+        spark.createDataFrame([(document,)], "value STRING").coalesce(1).write.mode("ignore").text(kept)
+        return records.where(self._from(topics, json.loads(spark.read.text(kept).first()[0])))
+
+    def _subscribed(self, records: DataFrame, topics: str | Iterable[str]) -> DataFrame:
+        return records.where(F.col("topic").isin(_names(topics))).select(TOPIC_RECORD.names)
 
-    def _positions(self, spark: SparkSession, topics: str | Iterable[str], given: str) -> DataFrame:
-        """``latest`` or a document ``{"topic": {"partition": offset}}`` as rows."""
+    def _resolve(self, spark: SparkSession, topics: str | Iterable[str], given: str) -> Positions:
+        """A start as numbers: the special positions are replaced."""
         if given == "latest":
             return end_positions(self.read(spark, topics))
-        rows = [
-            (topic, int(partition), int(offset))
-            for topic, by_partition in json.loads(given).items()
-            for partition, offset in by_partition.items()
-        ]
-        asked = spark.createDataFrame(rows, POSITIONS)
-        if not any(offset == LATEST for _, _, offset in rows):
-            return asked
-        ends = end_positions(self.read(spark, topics)).withColumnRenamed("position", "end")
-        position = F.when(F.col("position") == LATEST, F.coalesce("end", F.lit(0))).otherwise(F.col("position"))
-        return asked.join(ends, ["topic", "partition"], "left").select("topic", "partition", position.alias("position"))
-
-
-def _cut(records: DataFrame, positions: DataFrame, starting: bool) -> DataFrame:
-    """Keep what is at or after (before) the position of its topic partition.
-
-    The positions are one row per topic partition; Spark broadcasts them by their measured size.
-    """
-    joined = records.join(positions, ["topic", "partition"], "left")
-    position = F.col("position")
-    if starting:
-        kept = joined.where(position.isNull() | (F.col("offset") >= position))
-    else:
-        kept = joined.where(position.isNull() | (F.col("offset") < position) | (position == LATEST))
-    return kept.select(TOPIC_RECORD.names)
+        asked = json.loads(given)
+        if any(offset == LATEST for by_partition in asked.values() for offset in by_partition.values()):
+            ends = end_positions(self.read(spark, topics))
+            for topic, by_partition in asked.items():
+                for partition, offset in by_partition.items():
+                    if offset == LATEST:
+                        by_partition[partition] = ends.get(topic, {}).get(int(partition), 0)
+        return asked
+
+    def _from(self, topics: str | Iterable[str], positions: Positions) -> Column:
+        offset, start = F.col("offset"), _position(positions)
+        kept = start.isNull() | (offset >= start)
+        bounds = self._bounds(topics, positions)
+        return kept & (offset >= min(bounds)) if bounds else kept
+
+    def _until(self, topics: str | Iterable[str], positions: Positions) -> Column:
+        offset, end = F.col("offset"), _position(positions)
+        kept = end.isNull() | (end == LATEST) | (offset < end)
+        bounds = self._bounds(topics, positions)
+        return kept & (offset < max(bounds)) if bounds and LATEST not in bounds else kept
+
+    def _bounds(self, topics: str | Iterable[str], positions: Positions) -> list[int]:
+        """All positions, if every partition has one. Their minimum or maximum is a plain bound on
+        the offset, which the Parquet scan can use to skip row groups."""
+        wanted = {(topic, partition) for topic in _names(topics) for partition in range(self.partitions)}
+        given = {(topic, int(partition)): offset for topic, by in positions.items() for partition, offset in by.items()}
+        return list(given.values()) if wanted <= given.keys() else []
+
+
+def _position(positions: Positions) -> Column:
+    """The position of a record's topic partition, looked up in a constant map: no join, no shuffle."""
+    constant = F.from_json(F.lit(json.dumps(positions)), "MAP<STRING, MAP<STRING, BIGINT>>")
+    by_partition = F.try_element_at(constant, F.col("topic"))
+    return F.try_element_at(by_partition, F.col("partition").cast("string"))
 
 
 @dataclass(frozen=True)
