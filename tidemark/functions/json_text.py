@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT_RECORD = "_corrupt_record"
 
-_OBJECT = re.compile(r"`(?:[^`]|``)*`|OBJECT<")
-
 
 def parse_declared(df: DataFrame, schema: T.StructType, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """One column per schema field; malformed text gives nulls. ``keep`` columns pass through."""
@@ -19,44 +15,26 @@ def parse_declared(df: DataFrame, schema: T.StructType, value: str = "value", ke
     return df.select(*keep, data).select(*keep, "data.*")
 
 
-def _settled(found: T.DataType) -> T.DataType | None:
-    """The column type for an observed type; None when nothing was ever seen in it."""
-    if isinstance(found, T.StructType):
-        fields = [(field.name, _settled(field.dataType)) for field in found]
-        kept = [T.StructField(name, kind) for name, kind in sorted(fields, key=lambda f: f[0]) if kind]
-        return T.StructType(kept) if kept else None
-    if isinstance(found, T.ArrayType):
-        element = _settled(found.elementType)
-        return T.ArrayType(element) if element else None
-    if isinstance(found, T.DecimalType):
-        return found if found.scale == 0 else T.DoubleType()
-    if isinstance(found, (T.NullType, T.VariantType)):
-        return T.StringType()
-    return found
-
-
 def infer_json_schema(df: DataFrame, value: str = "value") -> T.StructType:
-    """Schema of the JSON objects in a column, fields sorted by name.
+    """Schema of the JSON objects in a column, fields sorted by name, from every row.
 
-    One distributed aggregate: tasks merge the shapes they see and only the merged shape reaches
-    the driver. A field seen with clashing types becomes a string, a fraction a double. If some
-    text is not a JSON object the schema also has a string column for the text itself.
+    The JSON reader infers it: tasks merge the shapes they see and only the merged schema reaches
+    the driver. A field seen with clashing types becomes a string. If some text is not a JSON
+    object the schema also has a string column for the text itself.
     """
     text = F.col(value).cast("string")
-    # Parsed in a projection of its own, so that the aggregates below share one parse per row.
-    parsed = df.where(F.length(F.trim(text)) > 0).select(text.alias("text"), F.try_parse_json(text).alias("parsed"))
-    is_object = F.col("parsed").isNotNull() & F.ltrim("text", F.lit(" \t\r\n")).startswith("{")
-    shape, broken = parsed.agg(
-        F.schema_of_variant_agg(F.when(is_object, F.col("parsed"))), F.count_if(~is_object)
-    ).first()
-    fields: list[T.StructField] = []
-    if shape and shape.startswith("OBJECT<"):
-        ddl = _OBJECT.sub(lambda part: "STRUCT<" if part[0] == "OBJECT<" else part[0], shape)
-        settled = _settled(T.DataType.fromDDL(ddl))
-        fields = list(settled) if settled else []
-    if broken:
-        fields = sorted([*fields, T.StructField(CORRUPT_RECORD, T.StringType())], key=lambda f: f.name)
-    return T.StructType(fields)
+    # Lists and bare values do not parse into a row, so the reader is shown broken text for them.
+    shown = df.where(_filled(text)).select(F.when(_trimmed(text).startswith("{"), text).otherwise("{"))
+    # The reader takes strings only as an RDD. They pass through Python once; parsing does not.
+    return df.sparkSession.read.json(shown.rdd.map(lambda row: row[0]), columnNameOfCorruptRecord=CORRUPT_RECORD).schema
+
+
+def _trimmed(text: Column) -> Column:
+    return F.ltrim(text, F.lit(" \t\r\n"))
+
+
+def _filled(text: Column) -> Column:
+    return F.length(_trimmed(text)) > 0
 
 
 def parse_inferred(
@@ -68,7 +46,7 @@ def parse_inferred(
         return df.select(*keep)
     text = F.col(value).cast("string")
     data = F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT_RECORD}).alias("data")
-    return df.where(F.length(F.trim(text)) > 0).select(*keep, data).select(*keep, "data.*")
+    return df.where(_filled(text)).select(*keep, data).select(*keep, "data.*")
 
 
 def json_value(*columns: str) -> Column:
