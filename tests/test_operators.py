@@ -40,7 +40,7 @@ def contents(spark, table):
 # --- catalogs
 
 
-def test_catalogs():
+def test_catalogs(spark):
     assert (PROFILE.name, PROFILE.key) == ("user_profile", "user_id")
     log = Catalog.parse(LOG_AGG_CATALOG)
     assert log.schema.simpleString() == "struct<key:bigint,application:string,module:string,message:string>"
