@@ -150,14 +150,12 @@ def event_records(events: DataFrame) -> DataFrame:
     )
 
 
-def published_updates(spark: SparkSession, sf_dir: str) -> FileTopics:
-    """All profile updates in a directory topic, added in two publishes."""
-    topics = FileTopics(scratch_dir(spark, "topics")).create(spark)
+def publish_updates(topics: FileTopics, spark: SparkSession, sf_dir: str, early: bool) -> None:
+    """Add the profile updates of the earlier or the later dates to a directory topic."""
     events = table(spark, sf_dir, "events")
-    early = F.col("ts") < "2024-01-16"
-    for part in (events.where(early), events.where(~early)):
-        topics.publish(as_records(update_records(part), "profile_updates", "key", F.col("value")))
-    return topics
+    first = F.col("ts") < "2024-01-16"
+    part = update_records(events.where(first if early else ~first))
+    topics.publish(as_records(part, "profile_updates", "key", F.col("value")))
 
 
 def profile_config(spark: SparkSession, **given) -> ProfileStreamConfig:
@@ -626,23 +624,27 @@ def stream_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_batch_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The average of a random metric, once per micro-batch and without state between them."""
     config = profile_config(spark, formats=())
-    topics = published_updates(spark, sf_dir)
-    run(stream_profiles(topics.stream(spark, "profile_updates", files_per_batch=1), config))
+    topics = FileTopics(scratch_dir(spark, "topics")).create(spark)
+    for early in (True, False):
+        publish_updates(topics, spark, sf_dir, early)
+        run(stream_profiles(topics.stream(spark, "profile_updates"), config))
     averages = spark.read.schema("avg_response_time DOUBLE").parquet(f"{config.output}-AVERAGE")
     return averages.select("avg_response_time").distinct()
 
 
 @query("SELECT address, updated_at, user_fname, user_id, user_lname, datepart FROM {updates}")
 def stream_replay_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch that fails after its sinks wrote, then a restart: every message is there once."""
+    """A batch fails after its sinks wrote, more messages come in, and the stream is restarted:
+    every message is there once."""
     config = profile_config(spark)
-    topics = published_updates(spark, sf_dir)
+    topics = FileTopics(scratch_dir(spark, "topics")).create(spark)
+    publish_updates(topics, spark, sf_dir, early=True)
 
     def fail_late(batch: DataFrame, batch_id: int) -> None:
         write_profile_batch(batch, batch_id, config, replay_safe=True, inferred=True)
         raise RuntimeError("lost after the sinks and before the commit")
 
-    records = topics.stream(spark, "profile_updates", files_per_batch=2)
+    records = topics.stream(spark, "profile_updates")
     failing = each_batch(records, fail_late, config.checkpoint)
     while failing.isActive:
         try:
@@ -650,6 +652,7 @@ def stream_replay_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
         except Exception as error:
             if "lost after the sinks" not in str(error):
                 raise
+    publish_updates(topics, spark, sf_dir, early=False)
     run(stream_profiles_once(records, config))
     layout = (
         "modified_fields ARRAY<STRUCT<address: STRING>>, updated_at STRING, user_fname STRING, "
