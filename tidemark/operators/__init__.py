@@ -3,6 +3,7 @@ from tidemark.operators.sinks import (
     avro_available,
     create_external_table,
     fan_out,
+    group_for,
     preview,
     write_avro,
     write_partitioned,
@@ -18,6 +19,7 @@ __all__ = [
     "content_key",
     "create_external_table",
     "fan_out",
+    "group_for",
     "preview",
     "run_key",
     "write_avro",

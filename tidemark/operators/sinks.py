@@ -9,6 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
 
 
+def group_for(df: DataFrame, partition: str) -> DataFrame:
+    """Group rows by partition value into tasks of about the advisory size.
+
+    Many small dates share a task, and a date holding a large part of the data is split over many
+    tasks. The split is made at run time, so without adaptive execution the rows stay as they are:
+    a plain shuffle by date would put a hot date into one task.
+    """
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true"
+    return df.hint("rebalance", partition) if adaptive else df
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -20,12 +31,11 @@ def write_partitioned(
 ) -> None:
     """Write one directory per partition value.
 
-    ``rebalance`` first groups rows by partition value into files of about the advisory size: many
-    small dates share a task and a date holding a large part of the data is split over many
-    tasks. Switch it off for input that already arrives date by date, to save that shuffle.
+    ``rebalance`` keeps the number of files low, at the price of a shuffle. Switch it off for
+    input that already arrives date by date.
     """
     if rebalance:
-        df = df.hint("rebalance", partition)
+        df = group_for(df, partition)
     df.write.partitionBy(partition).mode(mode).format(fmt).options(**(options or {})).save(path)
 
 

@@ -13,7 +13,7 @@ from tidemark.functions.aggregates import my_average
 from tidemark.functions.dates import add_date_part
 from tidemark.functions.json_text import CORRUPT_RECORD, parse_declared, parse_inferred
 from tidemark.operators.keyed import LOG_AGG_CATALOG, USER_PROFILE_CATALOG, Catalog, KeyedTable, run_key
-from tidemark.operators.sinks import fan_out, write_avro, write_partitioned, write_text
+from tidemark.operators.sinks import fan_out, group_for, write_avro, write_partitioned, write_text
 from tidemark.schemas import APP_LOG, PROFILE_UPDATE, TOPIC_RECORD
 from tidemark.sources.logs import parse_log_lines, read_logs, stream_lines
 from tidemark.streaming.offsets import offset_ranges
@@ -160,7 +160,7 @@ def write_profile_batch(
     if config.on_error == QUARANTINE:
         sinks.append(quarantine)
     # Grouped by date once for all file sinks, before the batch is kept.
-    fan_out(enriched.hint("rebalance", "datepart") if config.formats else enriched, *sinks)
+    fan_out(group_for(enriched, "datepart") if config.formats else enriched, *sinks)
 
 
 def stream_profiles(records: DataFrame, config: ProfileStreamConfig, interval: int | None = None) -> StreamingQuery:

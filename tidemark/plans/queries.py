@@ -72,7 +72,7 @@ LOGS_SQL = f"""(SELECT 'shop' AS application, event_type AS module, event_type |
 
 UPDATES_SQL = f"""(SELECT 'user.' || user_id AS user_id, event_type AS user_fname,
     'k' || (props->>'k') AS user_lname, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS updated_at,
-    'event ' || event_id AS address, user_id % 2 AS part, event_id AS pos, {DAY} AS datepart FROM events)"""
+    'event ' || event_id AS address, CAST(user_id % 2 AS INTEGER) AS part, event_id AS pos, {DAY} AS datepart FROM events)"""
 
 LATEST_UPDATE = """SELECT user_id, user_fname, user_lname FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY updated_at DESC, part DESC, pos DESC) AS rn
@@ -196,6 +196,13 @@ def column_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs(spark, sf_dir).select("application", "module", "message")
 
 
+@query("SELECT event_id, props AS value FROM events")
+def binary_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record values as bytes, cast to text."""
+    records = table(spark, sf_dir, "events").withColumn("value", F.encode("props", "UTF-8"))
+    return records.selectExpr("event_id", "CAST(value AS STRING)")
+
+
 @query("SELECT event_id, event_type, props FROM events ORDER BY event_id LIMIT 2")
 def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first two rows; the limit is the feature."""
@@ -242,6 +249,19 @@ def random_metric_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.agg(my_average("response_time").alias("avg_response_time"))
 
 
+@query(
+    f"SELECT l_returnflag, l_linestatus, {AVERAGE_SQL.format('l_quantity')} AS avg_quantity, "
+    f"{AVERAGE_SQL.format('l_extendedprice')} AS avg_price FROM lineitem GROUP BY l_returnflag, l_linestatus"
+)
+def my_average_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several averages in one grouping, over the largest table."""
+    return (
+        table(spark, sf_dir, "lineitem")
+        .groupBy("l_returnflag", "l_linestatus")
+        .agg(my_average("l_quantity").alias("avg_quantity"), my_average("l_extendedprice").alias("avg_price"))
+    )
+
+
 # --- dates ------------------------------------------------------------------------------------
 
 
@@ -272,6 +292,14 @@ def datepart_month_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", date_part(text).alias("datepart"))
 
 
+@query("SELECT strftime(l_shipdate, '%Y-%m-%d') AS datepart, count(*) AS lines FROM lineitem GROUP BY datepart")
+def datepart_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines per ship date, by the partition value of the date's text."""
+    shipped = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")
+    days = table(spark, sf_dir, "lineitem").select(date_part(shipped).alias("datepart"))
+    return days.groupBy("datepart").agg(F.count("*").alias("lines"))
+
+
 @query(
     "SELECT module, count(*) FILTER (WHERE module <> 'error') AS good, "
     "count(*) FILTER (WHERE module = 'error') AS bad FROM {logs} GROUP BY module"
@@ -334,6 +362,17 @@ def json_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(json_value().alias("value"))
 
 
+DOCUMENT = "doc_id BIGINT, text STRING, lang STRING"
+
+
+@query("SELECT doc_id, text, lang FROM documents")
+def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts, with whatever they hold, written as messages and parsed again."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    messages = documents.select(json_value().alias("value"))
+    return parse_declared(messages, T.StructType.fromDDL(DOCUMENT))
+
+
 @query("SELECT event_id, CAST(props->>'k' AS BIGINT) AS k, props->>'k' AS k_text FROM events")
 def json_schema_free(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
@@ -384,6 +423,15 @@ def text_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("SELECT doc_id, text, lang FROM documents")
+def text_archive_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages with long texts stay one line each in the archive."""
+    path = scratch_dir(spark, "archive")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    write_text(documents.select(json_value().alias("value")), path)
+    return parse_declared(spark.read.text(path), T.StructType.fromDDL(DOCUMENT))
+
+
 @query("SELECT substr(date, 1, 10) AS datepart, module, count(*) AS lines FROM {logs} GROUP BY ALL")
 def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A catalog table over files a sink wrote."""
@@ -445,6 +493,31 @@ def keyed_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compacted.scan(spark)
 
 
+LAST_TURN = """{
+  "table": {"namespace": "default", "name": "last_turn"},
+  "rowkey": "conv_id",
+  "columns": {
+    "conv_id": {"cf": "rowkey", "col": "conv_id", "type": "long"},
+    "role": {"cf": "cf", "col": "role", "type": "string"},
+    "text": {"cf": "cf", "col": "text", "type": "string"}
+  }
+}"""
+
+
+@query(
+    "SELECT conv_id, role, text FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY conv_id ORDER BY turn DESC) AS rn FROM conversations) WHERE rn = 1"
+)
+def keyed_last_turn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last turn of each conversation, with user and assistant turns put as separate batches."""
+    keyed = KeyedTable(scratch_dir(spark, "last-turn"), Catalog.parse(LAST_TURN), (("turn", "long"),))
+    turns = table(spark, sf_dir, "conversations")
+    user = F.col("role") == "user"
+    keyed.upsert(turns.where(~user), 0)
+    keyed.upsert(turns.where(user), 1)
+    return keyed.scan(spark)
+
+
 EVENT_LOG = """{
   "table": {"namespace": "default", "name": "event_log"},
   "rowkey": "key",
@@ -513,7 +586,7 @@ def topic_start_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.read(spark, "events", starting).select("key", "value")
 
 
-RANGES_SQL = """SELECT 'events' AS topic, user_id % 2 AS partition, min(event_id) AS from_offset,
+RANGES_SQL = """SELECT 'events' AS topic, CAST(user_id % 2 AS INTEGER) AS partition, min(event_id) AS from_offset,
     max(event_id) + 1 AS until_offset, count(*) AS records FROM events GROUP BY user_id % 2"""
 
 
@@ -686,3 +759,13 @@ def topic_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = event_records(stream_table(spark, sf_dir, "events")).select(TOPIC_RECORD.names)
     run(pass_through(records, sink, "SinkTopic", f"{sink.path}-checkpoint"))
     return sink.read(spark, "SinkTopic").select(F.col("offset").alias("position"), "key", "value")
+
+
+@query("SELECT 'user.' || user_id AS key, upper(props) AS value FROM events")
+def topic_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source topic copied with a new key and a changed value."""
+    sink = FileTopics(scratch_dir(spark, "sink-topic"))
+    records = event_records(stream_table(spark, sf_dir, "events"))
+    mapped = {"key": F.concat(F.lit("user."), "key"), "value": F.upper("value")}
+    run(pass_through(records, sink, "SinkTopic", f"{sink.path}-checkpoint", **mapped))
+    return sink.read(spark, "SinkTopic").select("key", "value")
