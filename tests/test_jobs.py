@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.__main__ import JOBS, main
 from tidemark.config import LogBatchConfig, LogStreamConfig, ProfileStreamConfig
+from tidemark.functions import infer_json_schema
+from tidemark.operators import create_external_table
 from tidemark.plans.jobs import (
     batch_logs,
     batch_logs_keyed,
@@ -134,6 +136,17 @@ def test_stream_logs(spark, out):
 # --- profile streams
 
 
+def test_bad_log_lines_are_kept_without_a_date(spark, out):
+    Path(out, "in").mkdir(parents=True)
+    Path(out, "in", "a.csv").write_text("web,A,good,2020-03-27T00:00:00,5\nweb,A,bad,27.3.2020,5\n")
+    given = {"input_path": f"{out}/in", "output": f"{out}/Output", "checkpoint": f"{out}/checkpoint"}
+    with pytest.raises(Exception, match="not a date of pattern"):
+        run(stream_logs(spark, LogStreamConfig(**{**given, "checkpoint": f"{out}/other"})))
+    run(stream_logs(spark, LogStreamConfig(**given, on_error="quarantine")))
+    back = spark.read.schema("message STRING, datepart STRING").orc(f"{out}/Output-FS-ORC")
+    assert {tuple(row) for row in back.collect()} == {("good", "2020-03-27"), ("bad", None)}
+
+
 def test_golden_message(spark, topics, config):
     send(spark, topics, message("sunil.miri3", user_fname="sunil", user_lname="miri") + " ")
     run(stream_profiles(topics.stream(spark, "updates"), config))
@@ -245,6 +258,34 @@ def test_inferred_batches_may_differ_in_schema(spark, topics, config):
     assert sink(spark, config, "json", columns) == [("a", "l", 1, "own field"), ("b", None, None, None)]
 
 
+def test_a_pinned_schema_keeps_the_columns(spark, topics, config):
+    send(spark, topics, message("a", extra=1))
+    schema = infer_json_schema(topics.read(spark, "updates"))
+    send(spark, topics, message("b", extra="text", other=2))
+    run(stream_profiles_once(topics.stream(spark, "updates", files_per_batch=1), config, schema=schema))
+    rows = spark.read.orc(f"{config.output}-ORC")
+    assert dict(rows.dtypes)["extra"] == "bigint"
+    assert "other" not in rows.columns
+    assert {(row["user_id"], row["extra"]) for row in rows.collect()} == {("a", 1), ("b", None)}
+
+
+def test_a_blank_record_is_no_message_but_has_a_position(spark, topics, config):
+    send(spark, topics, message("a"), "  ", None)
+    run(stream_profiles_once(topics.stream(spark, "updates"), config))
+    assert sink(spark, config, "orc") == [("a", "2020-03-30")]
+    assert spark.read.json(f"{config.output}-OFFSETS").agg(F.sum("records")).first()[0] == 3
+
+
+def test_external_table_over_replay_safe_output(spark, topics, config):
+    for user in ("a", "b"):
+        send(spark, topics, message(user))
+        run(stream_profiles_once(topics.stream(spark, "updates"), config))
+    path, columns = f"{config.output}-ORC", "user_id STRING, updated_at STRING"
+    table = create_external_table(spark, "once_test", columns, path, "batch BIGINT, datepart STRING")
+    found = sorted((row["user_id"], row["batch"], row["datepart"]) for row in table.collect())
+    assert found == [("a", 0, "2020-03-30"), ("b", 1, "2020-03-30")]
+
+
 def test_show_profiles(spark, topics, out):
     send(spark, topics, message("shown"))
     query = run(show_profiles(topics.stream(spark, "updates"), f"{out}/show"))

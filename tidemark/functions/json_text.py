@@ -22,31 +22,40 @@ def infer_json_schema(df: DataFrame, value: str = "value") -> T.StructType:
     the driver. A field seen with clashing types becomes a string. If some text is not a JSON
     object the schema also has a string column for the text itself.
     """
-    text = F.col(value).cast("string")
     # Lists and bare values do not parse into a row, so the reader is shown broken text for them.
-    shown = df.where(_filled(text)).select(F.when(_trimmed(text).startswith("{"), text).otherwise("{"))
+    shown = F.when(_trimmed(value).startswith("{"), F.col(value).cast("string")).otherwise("{")
     # The reader takes strings only as an RDD. They pass through Python once; parsing does not.
-    return df.sparkSession.read.json(shown.rdd.map(lambda row: row[0]), columnNameOfCorruptRecord=CORRUPT_RECORD).schema
+    texts = df.where(has_text(value)).select(shown).rdd.map(lambda row: row[0])
+    return df.sparkSession.read.json(texts, columnNameOfCorruptRecord=CORRUPT_RECORD).schema
 
 
-def _trimmed(text: Column) -> Column:
-    return F.ltrim(text, F.lit(" \t\r\n"))
+def _trimmed(value: str) -> Column:
+    return F.ltrim(F.col(value).cast("string"), F.lit(" \t\r\n"))
 
 
-def _filled(text: Column) -> Column:
-    return F.length(_trimmed(text)) > 0
+def has_text(value: str = "value") -> Column:
+    """False for null and for blank text."""
+    return F.coalesce(F.length(_trimmed(value)) > 0, F.lit(False))
 
 
 def parse_inferred(
-    df: DataFrame, value: str = "value", keep: tuple[str, ...] = (), schema: T.StructType | None = None
+    df: DataFrame,
+    value: str = "value",
+    keep: tuple[str, ...] = (),
+    schema: T.StructType | None = None,
+    skip_blank: bool = True,
 ) -> DataFrame:
-    """Parse with the schema of this very DataFrame, or with one inferred earlier and passed in."""
+    """Parse with the schema of this very DataFrame, or with one inferred earlier and passed in.
+
+    Blank text is no row to the JSON reader; ``skip_blank=False`` keeps it as a row of nulls.
+    """
     schema = schema or infer_json_schema(df, value)
+    rows = df.where(has_text(value)) if skip_blank else df
     if not schema.fields:
-        return df.select(*keep)
-    text = F.col(value).cast("string")
-    data = F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT_RECORD}).alias("data")
-    return df.where(_filled(text)).select(*keep, data).select(*keep, "data.*")
+        return rows.select(*keep)
+    options = {"columnNameOfCorruptRecord": CORRUPT_RECORD}
+    data = F.from_json(F.col(value).cast("string"), schema, options).alias("data")
+    return rows.select(*keep, data).select(*keep, "data.*")
 
 
 def json_value(*columns: str) -> Column:

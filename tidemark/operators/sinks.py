@@ -72,11 +72,14 @@ def write_text(df: DataFrame, path: str, column: str = "value", mode: str = "app
 def create_external_table(
     spark: SparkSession, table: str, columns: str, path: str, partition: str = "datepart STRING", fmt: str = "ORC"
 ) -> DataFrame:
-    """Put a table over files a sink wrote, and register the partitions found there."""
-    name = partition.split()[0]
+    """Put a table over files a sink wrote, and register the partitions found there.
+
+    ``partition`` lists the columns of the directory levels, outermost first.
+    """
+    names = ", ".join(column.split()[0] for column in partition.split(","))
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {partition}) USING {fmt} "
-        f"PARTITIONED BY ({name}) LOCATION '{path}'"
+        f"PARTITIONED BY ({names}) LOCATION '{path}'"
     )
     spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     return spark.table(table)

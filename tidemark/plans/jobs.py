@@ -6,12 +6,13 @@ from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import LogBatchConfig, LogStreamConfig, ProfileStreamConfig
 from tidemark.functions.aggregates import my_average
-from tidemark.functions.dates import add_date_part
-from tidemark.functions.json_text import CORRUPT_RECORD, parse_declared, parse_inferred
+from tidemark.functions.dates import add_date_part, date_part
+from tidemark.functions.json_text import CORRUPT_RECORD, has_text, parse_declared, parse_inferred
 from tidemark.operators.keyed import LOG_AGG_CATALOG, USER_PROFILE_CATALOG, Catalog, KeyedTable, run_key
 from tidemark.operators.sinks import fan_out, group_for, write_avro, write_partitioned, write_text
 from tidemark.schemas import APP_LOG, PROFILE_UPDATE, TOPIC_RECORD
@@ -105,22 +106,34 @@ def profile_table(config: ProfileStreamConfig) -> KeyedTable:
 
 
 def write_profile_batch(
-    batch: DataFrame, batch_id: int, config: ProfileStreamConfig, replay_safe: bool, inferred: bool
+    batch: DataFrame,
+    batch_id: int,
+    config: ProfileStreamConfig,
+    replay_safe: bool,
+    inferred: bool,
+    schema: T.StructType | None = None,
 ) -> None:
     """Parse one micro-batch and write it to all sinks.
 
     The topic record travels along as one struct, so that message fields of any name fit beside
     it. ``replay_safe`` gives each batch its own directory per sink and overwrites it on a replay.
+    With ``inferred`` a record without text is no message, as for the JSON reader; its position
+    is still reported.
     """
     packed = batch.select(F.struct(*TOPIC_RECORD.names).alias("_record"), "value")
     if inferred:
-        rows = parse_inferred(packed, keep=("_record",))
+        rows = parse_inferred(packed, keep=("_record",), schema=schema, skip_blank=False)
         missing = [name for name in PROFILE_UPDATE.names if name not in rows.columns]
         rows = rows.withColumns({name: F.lit(None).cast(PROFILE_UPDATE[name].dataType) for name in missing})
+        is_message = has_text("_record.value")
     else:
         rows = parse_declared(packed, PROFILE_UPDATE, keep=("_record",))
-    enriched = add_date_part(rows, "updated_at", config.date_pattern, _date_errors(config.on_error))
-    usable = F.lit(True) if config.on_error == "fail" else F.col("datepart").isNotNull() & F.col("user_id").isNotNull()
+        is_message = F.lit(True)
+    day = date_part("updated_at", config.date_pattern, _date_errors(config.on_error))
+    enriched = rows.withColumn("datepart", F.when(is_message, day))
+    usable = is_message
+    if config.on_error == QUARANTINE:
+        usable = is_message & F.col("datepart").isNotNull() & F.col("user_id").isNotNull()
 
     mode = "overwrite" if replay_safe else "append"
 
@@ -140,7 +153,8 @@ def write_profile_batch(
         result.write.mode("overwrite").parquet(target("AVERAGE", True))
 
     def quarantine(df: DataFrame) -> None:
-        write_text(df.where(~usable).select("_record.value"), target("BAD", True), mode="overwrite")
+        bad = df.where(is_message & ~usable).select("_record.value")
+        write_text(bad, target("BAD", True), mode="overwrite")
 
     def files(df: DataFrame, fmt: str) -> None:
         rows = df.where(usable).drop("_record", CORRUPT_RECORD)
@@ -174,13 +188,17 @@ def stream_profiles(records: DataFrame, config: ProfileStreamConfig, interval: i
 
 
 def stream_profiles_once(
-    records: DataFrame, config: ProfileStreamConfig, interval: int | None = None
+    records: DataFrame,
+    config: ProfileStreamConfig,
+    interval: int | None = None,
+    schema: T.StructType | None = None,
 ) -> StreamingQuery:
     """Messages with a schema inferred per batch, to files and the profile table, without duplicates.
 
-    Positions are reported per batch and count as read only once every sink is done.
+    Positions are reported per batch and count as read only once every sink is done. A ``schema``
+    inferred earlier keeps the columns the same in every batch, and saves the inference.
     """
-    action = partial(write_profile_batch, config=config, replay_safe=True, inferred=True)
+    action = partial(write_profile_batch, config=config, replay_safe=True, inferred=True, schema=schema)
     return each_batch(records, action, config.checkpoint, interval)
 
 

@@ -75,7 +75,7 @@ class FileTopics:
         return spark.read.schema(self._LAYOUT).parquet(self.path)
 
     def publish(self, records: DataFrame, publish_id: int | None = None) -> int:
-        """Add records, and return the id of this publish. Giving an id again replaces its records.
+        """Add records, and return the id of this publish. Giving the last id again replaces it.
 
         Records with the same key share a topic partition. Offsets grow in input order within a
         partition and never repeat, but leave gaps: they start after the publish before and then
@@ -84,8 +84,10 @@ class FileTopics:
         spark = records.sparkSession
         self.create(spark)
         stored = self._all(spark)
-        if publish_id is None:
-            publish_id = stored.agg(F.coalesce(F.max("publish"), F.lit(-1))).first()[0] + 1
+        newest = stored.agg(F.coalesce(F.max("publish"), F.lit(-1))).first()[0]
+        publish_id = newest + 1 if publish_id is None else publish_id
+        if publish_id < newest:
+            raise ValueError(f"publish {publish_id} was followed by others, whose offsets start after its own")
         before = stored.where(F.col("publish") < publish_id).agg(F.max("publish")).first()[0]
         last = stored.where(F.col("publish") == before).agg(F.max("offset")).first()[0]
         (
