@@ -216,6 +216,7 @@ DOCUMENTS = st.dictionaries(
             st.booleans(),
             st.integers(-(10**20), 10**20),
             st.floats(-1e9, 1e9).map(lambda x: round(x, 3)),
+            st.floats(allow_nan=False, allow_infinity=False),
             st.text("xyz", max_size=3),
         ),
         lambda inner: st.one_of(
@@ -240,6 +241,60 @@ def test_inferred_schema_equals_the_json_reader(spark, documents):
         assert sorted(map(repr, found.collect())) == sorted(map(repr, read.collect()))
 
 
+ODD = [
+    '{"a":1,"a":"x"}',
+    "{'a':1}",
+    '{"a":NaN}',
+    '{"a":-Infinity}',
+    '{"a":1} trailing',
+    '{"a":1}{"b":2}',
+    '{"a":007}',
+    '{"a":1e400}',
+    '{"a":12345678901234567890123456789012345678901234567890}',
+    '{"a":0.1234567890123456789012345678901234567890}',
+    '{"a":{}}',
+    '{"a":[{}]}',
+    '{"a":[[]]}',
+    '{"OBJECT<":{"DECIMAL(3,0)":1}}',
+    "{}",
+    "{",
+    "null",
+    "3",
+    '"text"',
+    ' \t{"a":true} ',
+    '/* note */ {"a":1}',
+]
+
+
+@pytest.mark.parametrize("text", ODD)
+@pytest.mark.parametrize("other", ['{"a":1}', '{"a":"s","b":[1]}', None])
+def test_odd_text_is_inferred_as_by_the_json_reader(spark, text, other):
+    values = [text] if other is None else [text, other]
+    read = spark.read.json(spark.sparkContext.parallelize(values))
+    schema = infer_json_schema(texts(spark, *values))
+    if text in ("null", "{}") and other is None:
+        assert not [name for name in schema.names if name != "_corrupt_record"]
+    elif text == "null":
+        assert [name for name in schema.names if name != "_corrupt_record"] == read.schema.names
+    else:
+        assert schema.simpleString() == read.schema.simpleString()
+        found = parse_inferred(texts(spark, *values), schema=schema)
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, read.collect()))
+
+
+def test_plain_batches_are_inferred_without_python(spark, monkeypatch):
+    """Only fractions like 2.0, very long whole numbers and broken text need the reader's help."""
+
+    def refused(*arguments, **named):
+        raise AssertionError("read through Python")
+
+    monkeypatch.setattr(type(spark.read), "json", refused)
+    assert infer_json_schema(texts(spark, GOLDEN, '{"n":1.5}', '{"n":2}')).names[-1] == "user_lname"
+    for text in ('{"n":2.0}', "{broken"):
+        with pytest.raises(AssertionError, match="through Python"):
+            infer_json_schema(texts(spark, GOLDEN, text))
+
+
 def test_inferred_schema_keeps_broken_text(spark):
     rows = parse_inferred(texts(spark, '{"a":1}', "{broken", "[1]", "   "))
     assert rows.columns == ["_corrupt_record", "a"]

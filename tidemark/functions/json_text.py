@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT_RECORD = "_corrupt_record"
 
+# The start of an object type in the text of a shape, outside quoted field names.
+_OBJECT = re.compile(r"`(?:[^`]|``)*`|OBJECT<")
+_UNSURE = re.compile(r"DECIMAL\(\d+,0\)|VARIANT")
+
 
 def parse_declared(df: DataFrame, schema: T.StructType, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """One column per schema field; malformed text gives nulls. ``keep`` columns pass through."""
@@ -15,13 +21,49 @@ def parse_declared(df: DataFrame, schema: T.StructType, value: str = "value", ke
     return df.select(*keep, data).select(*keep, "data.*")
 
 
+def _column_type(seen: T.DataType) -> T.DataType | None:
+    """The column type the JSON reader gives to values of a type; None if there were no values."""
+    if isinstance(seen, T.StructType):
+        typed = [T.StructField(field.name, kind) for field in seen if (kind := _column_type(field.dataType))]
+        return T.StructType(sorted(typed, key=lambda field: field.name)) if typed else None
+    if isinstance(seen, T.ArrayType):
+        element = _column_type(seen.elementType)
+        return T.ArrayType(element) if element else None
+    if isinstance(seen, T.DecimalType):
+        return T.DoubleType()
+    return T.StringType() if isinstance(seen, T.NullType) else seen
+
+
+def _merged_shape(df: DataFrame, value: str) -> T.DataType | None:
+    """The shapes of all objects merged by one aggregate, if that says all the JSON reader would.
+
+    It does not where some text is no object; where a decimal has no fraction digits, which is
+    either a fraction like 2.0 or a whole number past the longs; and where types clash, which is
+    no clash to the reader if one of them is an empty text.
+    """
+    is_object = _trimmed(value).startswith("{")
+    # Parsed in a projection of its own, so that both aggregates share one parse per row.
+    parsed = df.where(has_text(value)).select(
+        F.when(is_object, F.try_parse_json(F.col(value).cast("string"))).alias("parsed")
+    )
+    shape, other = parsed.agg(F.schema_of_variant_agg("parsed"), F.count_if(F.col("parsed").isNull())).first()
+    if other or (shape and _UNSURE.search(shape)):
+        return None
+    if not shape or not shape.startswith("OBJECT<"):
+        return T.StructType([])  # there is no text at all
+    return T.DataType.fromDDL(_OBJECT.sub(lambda part: "STRUCT<" if part[0] == "OBJECT<" else part[0], shape))
+
+
 def infer_json_schema(df: DataFrame, value: str = "value") -> T.StructType:
     """Schema of the JSON objects in a column, fields sorted by name, from every row.
 
-    The JSON reader infers it: tasks merge the shapes they see and only the merged schema reaches
-    the driver. A field seen with clashing types becomes a string. If some text is not a JSON
-    object the schema also has a string column for the text itself.
+    It is the schema the JSON reader infers. Tasks merge the shapes they see and only the merged
+    one reaches the driver. A field seen with clashing types becomes a string. If some text is not
+    a JSON object the schema also has a string column for the text itself.
     """
+    shape = _merged_shape(df, value)
+    if shape is not None:
+        return _column_type(shape) or T.StructType([])
     # Lists and bare values do not parse into a row, so the reader is shown broken text for them.
     shown = F.when(_trimmed(value).startswith("{"), F.col(value).cast("string")).otherwise("{")
     # The reader takes strings only as an RDD. They pass through Python once; parsing does not.
