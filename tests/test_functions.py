@@ -28,7 +28,7 @@ from tidemark.functions import (
 from tidemark.schemas import PROFILE_UPDATE
 
 GOLDEN = (
-    '{"user_fname":"sunil", "user_lname":"miriyala", "user_id":"sunil.miriyala", '
+    '{"user_fname":"ada", "user_lname":"lovelace", "user_id":"ada.lovelace", '
     '"updated_at":"2020-03-22 14:15:16.000", "modified_fields":[{"address":"new value"}]} '
 )
 
@@ -176,13 +176,13 @@ def test_average_matches_its_definition(spark, values):
 
 def test_declared_schema_keeps_nested_json_as_text(spark):
     row = parse_declared(texts(spark, GOLDEN), PROFILE_UPDATE).first()
-    assert row["user_id"] == "sunil.miriyala"
+    assert row["user_id"] == "ada.lovelace"
     assert row["modified_fields"] == ['{"address":"new value"}']
 
 
 def test_declared_schema_over_binary(spark):
     rows = spark.createDataFrame([(bytearray(GOLDEN, "utf-8"),)], "value BINARY")
-    assert parse_declared(rows, PROFILE_UPDATE).first()["user_lname"] == "miriyala"
+    assert parse_declared(rows, PROFILE_UPDATE).first()["user_lname"] == "lovelace"
 
 
 @pytest.mark.parametrize(

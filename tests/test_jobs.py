@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.__main__ import JOBS, main
 from tidemark.config import LogBatchConfig, LogStreamConfig, ProfileStreamConfig
 from tidemark.functions import infer_json_schema
-from tidemark.operators import create_external_table
+from tidemark.operators import avro_available, create_external_table
 from tidemark.plans.jobs import (
     batch_logs,
     batch_logs_keyed,
@@ -148,13 +148,13 @@ def test_bad_log_lines_are_kept_without_a_date(spark, out):
 
 
 def test_golden_message(spark, topics, config):
-    send(spark, topics, message("sunil.miri3", user_fname="sunil", user_lname="miri") + " ")
+    send(spark, topics, message("ada.king", user_fname="ada", user_lname="king") + " ")
     run(stream_profiles(topics.stream(spark, "updates"), config))
     for fmt in ("json", "orc"):
-        assert sink(spark, config, fmt) == [("sunil.miri3", "2020-03-30")]
-    assert [tuple(row) for row in profile_table(config).scan(spark).collect()] == [("sunil.miri3", "sunil", "miri")]
+        assert sink(spark, config, fmt) == [("ada.king", "2020-03-30")]
+    assert [tuple(row) for row in profile_table(config).scan(spark).collect()] == [("ada.king", "ada", "king")]
     assert spark.read.parquet(f"{config.output}-AVERAGE").first()["avg_response_time"] == 0.0
-    assert spark.read.text(f"{config.output}-TEXT").first()["value"].startswith('{"user_fname": "sunil"')
+    assert spark.read.text(f"{config.output}-TEXT").first()["value"].startswith('{"user_fname": "ada"')
 
 
 def test_stream_goes_on_after_a_restart(spark, topics, config):
@@ -207,7 +207,7 @@ def test_replayed_batches_leave_no_duplicates(spark, topics, config, failures):
     """The stream fails after its sinks wrote, on each of the first runs; then it finishes."""
     for user in ("a", "b"):
         send(spark, topics, message(user), message(f"{user}2"))
-    records = topics.stream(spark, "updates", files_per_batch=1)
+    records = topics.stream(spark, "updates", batch_limit=1)
     ids = []
 
     def fail_late(batch, batch_id):
@@ -262,7 +262,7 @@ def test_a_pinned_schema_keeps_the_columns(spark, topics, config):
     send(spark, topics, message("a", extra=1))
     schema = infer_json_schema(topics.read(spark, "updates"))
     send(spark, topics, message("b", extra="text", other=2))
-    run(stream_profiles_once(topics.stream(spark, "updates", files_per_batch=1), config, schema=schema))
+    run(stream_profiles_once(topics.stream(spark, "updates", batch_limit=1), config, schema=schema))
     rows = spark.read.orc(f"{config.output}-ORC")
     assert dict(rows.dtypes)["extra"] == "bigint"
     assert "other" not in rows.columns
@@ -294,6 +294,16 @@ def test_show_profiles(spark, topics, out):
     assert parse_profiles(topics.read(spark, "updates")).first()["user_id"] == "shown"
 
 
+def test_missing_avro_module_is_found_before_the_first_batch(spark, topics, config):
+    if avro_available(spark):
+        pytest.skip("the Avro module is installed")
+    send(spark, topics, message("a"))
+    default = ProfileStreamConfig(output=config.output, checkpoint=config.checkpoint)
+    with pytest.raises(RuntimeError, match="spark-avro"):
+        stream_profiles(topics.stream(spark, "updates"), default)
+    assert not list(Path(config.output).parent.glob("Output-*"))
+
+
 def test_no_batch_without_records(spark, topics, config):
     run(stream_profiles(topics.stream(spark, "updates"), config))
     assert not Path(f"{config.output}-AVERAGE").exists()

@@ -83,7 +83,7 @@ def test_line_stream_takes_new_files(spark, out):
     Path(out, "in").mkdir(parents=True)
     for batch in ("first", "second"):
         Path(out, "in", f"{batch}.txt").write_text(f"{batch}\n")
-        lines = stream_lines(spark, f"{out}/in", files_per_batch=1)
+        lines = stream_lines(spark, f"{out}/in", batch_limit=1)
         run(write_stream(lines, f"{out}/seen", "parquet", f"{out}/checkpoint", partition=None))
     assert {row["value"] for row in spark.read.parquet(f"{out}/seen").collect()} == {"first", "second"}
 
@@ -197,6 +197,16 @@ def test_kafka_options():
     }
 
 
+def test_stream_batches_are_limited(spark, out):
+    topics = FileTopics(f"{out}/topics").create(spark)
+    for value in "abc":
+        publish(spark, topics, "t", ("k", value))
+    records = topics.stream(spark, "t", batch_limit=1)
+    query = run(write_stream(records, f"{out}/seen", "parquet", f"{out}/checkpoint", partition=None))
+    assert max(progress["numInputRows"] for progress in query.recentProgress) == 1
+    assert values(spark.read.schema(TOPIC_RECORD).parquet(f"{out}/seen")) == ["a", "b", "c"]
+
+
 def test_missing_kafka_connector_is_named(spark):
     topics = KafkaTopics("localhost:1")
     try:

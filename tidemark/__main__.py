@@ -40,7 +40,7 @@ def _checkpoint(spark: SparkSession, properties: Properties, purpose: str) -> st
 def _records(spark: SparkSession, properties: Properties, checkpoint: str, topic: str | None = None):
     config = from_properties(TopicConfig, properties)
     topics = open_topics(config)
-    return topics.stream(spark, topic or config.topics, config.starting, checkpoint)
+    return topics.stream(spark, topic or config.topics, config.starting, checkpoint, config.batch_limit)
 
 
 def file_batch(spark: SparkSession, properties: Properties) -> None:

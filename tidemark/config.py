@@ -48,7 +48,7 @@ def from_properties(kind: type[Config], properties: dict[str, str]) -> Config:
     return kind(**given)
 
 
-# Property names below are fixed values: existing properties files keep working.
+# The property names and topic names below are fixed values: existing properties files keep working.
 
 
 @dataclass(frozen=True)
@@ -63,6 +63,7 @@ class LogBatchConfig:
     on_error: str = _set("on.error", "fail")
     infer_schema: bool = _set("infer.schema", True, _flag)
     rebalance: bool = _set("rebalance", True, _flag)
+    tables: str | None = _set("table.directory", None)  # beside the output unless given
 
 
 @dataclass(frozen=True)
@@ -77,7 +78,7 @@ class LogStreamConfig:
     date_pattern: str = _set("stream.date.format", LOG_STREAM_DATE_PATTERN)
     on_error: str = _set("on.error", "fail")
     header: bool = _set("header", False, _flag)
-    files_per_batch: int | None = _set("files.per.batch", None, int)
+    batch_limit: int | None = _set("batch.limit", None, int)  # files
 
 
 @dataclass(frozen=True)
@@ -92,6 +93,7 @@ class TopicConfig:
     group_id: str | None = _set("group.id", None)
     client_id: str | None = _set("client.id", None)
     starting: str = _set("auto.offset.reset", "earliest")
+    batch_limit: int | None = _set("batch.limit", None, int)  # files of a directory, records of Kafka
     partitions: int = _set("topic.partitions", 2, int)
     key: str | None = _set("topic.key", None)
     message: str | None = _set("message", None)
@@ -110,6 +112,7 @@ class ProfileStreamConfig:
     date_pattern: str = _set("update.date.format", UPDATE_DATE_PATTERN)
     on_error: str = _set("on.error", "fail")
     formats: tuple[str, ...] = _set("output.formats", ("json", "orc", "avro"), _topics)
+    tables: str | None = _set("table.directory", None)  # beside the output unless given
     single_text_file: bool = _set("single.text.file", False, _flag)
     seed: int = _set("random.seed", 0, int)
     record_name: str = _set("avro.record.name", "MyAVRO")

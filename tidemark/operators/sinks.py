@@ -48,6 +48,11 @@ def avro_available(spark: SparkSession) -> bool:
     return True
 
 
+def require_avro(spark: SparkSession) -> None:
+    if not avro_available(spark):
+        raise RuntimeError("the Avro module is not installed; add spark-avro, or leave avro out of the formats")
+
+
 def write_avro(
     df: DataFrame,
     path: str,
@@ -57,8 +62,7 @@ def write_avro(
     mode: str = "append",
     rebalance: bool = True,
 ) -> None:
-    if not avro_available(df.sparkSession):
-        raise RuntimeError("the Avro module is not installed; add spark-avro, or leave avro out of the formats")
+    require_avro(df.sparkSession)
     options = {"recordName": record_name, "recordNamespace": record_namespace}
     write_partitioned(df, path, "avro", partition, mode, rebalance, options)
 

@@ -14,7 +14,7 @@ from tidemark.functions.aggregates import my_average
 from tidemark.functions.dates import add_date_part, date_part
 from tidemark.functions.json_text import CORRUPT_RECORD, has_text, parse_declared, parse_inferred
 from tidemark.operators.keyed import LOG_AGG_CATALOG, USER_PROFILE_CATALOG, Catalog, KeyedTable, run_key
-from tidemark.operators.sinks import fan_out, group_for, write_avro, write_partitioned, write_text
+from tidemark.operators.sinks import fan_out, group_for, require_avro, write_avro, write_partitioned, write_text
 from tidemark.schemas import APP_LOG, PROFILE_UPDATE, TOPIC_RECORD
 from tidemark.sources.logs import parse_log_lines, read_logs, stream_lines
 from tidemark.streaming.offsets import offset_ranges
@@ -35,6 +35,10 @@ def _date_errors(on_error: str) -> str:
     return "fail" if on_error == "fail" else "null"
 
 
+def _table_path(config: LogBatchConfig | ProfileStreamConfig, catalog: Catalog) -> str:
+    return f"{config.tables or config.output + '-KEYED'}/{catalog.name}"
+
+
 # --- batch logs -------------------------------------------------------------------------------
 
 
@@ -78,7 +82,7 @@ def batch_logs_keyed(spark: SparkSession, config: LogBatchConfig, batch_id: int
     the earlier ones.
     """
     written = batch_logs(spark, config)
-    table = KeyedTable(f"{config.output}-KEYED/{LOG_AGG.name}", LOG_AGG)
+    table = KeyedTable(_table_path(config, LOG_AGG), LOG_AGG)
     rows = run_key(written["enriched"].select("application", "module", "message"))
     table.upsert(rows, table.next_batch(spark) if batch_id is None else batch_id)
     return {**written, "keyed": table.scan(spark)}
@@ -92,7 +96,7 @@ def stream_logs(spark: SparkSession, config: LogStreamConfig, interval: int | No
 
     With ``on_error=quarantine`` lines whose date does not parse are kept under the null date.
     """
-    lines = stream_lines(spark, config.input_path, config.files_per_batch)
+    lines = stream_lines(spark, config.input_path, config.batch_limit)
     logs = parse_log_lines(lines, header=config.header)
     enriched = add_date_part(logs, "date", config.date_pattern, _date_errors(config.on_error))
     return write_stream(enriched, f"{config.output}-FS-ORC", "orc", config.checkpoint, interval)
@@ -102,7 +106,7 @@ def stream_logs(spark: SparkSession, config: LogStreamConfig, interval: int | No
 
 
 def profile_table(config: ProfileStreamConfig) -> KeyedTable:
-    return KeyedTable(f"{config.output}-KEYED/{USER_PROFILE.name}", USER_PROFILE, PROFILE_ORDER)
+    return KeyedTable(_table_path(config, USER_PROFILE), USER_PROFILE, PROFILE_ORDER)
 
 
 def write_profile_batch(
@@ -177,14 +181,21 @@ def write_profile_batch(
     fan_out(group_for(enriched, "datepart") if config.formats else enriched, *sinks)
 
 
+def _start_profiles(
+    records: DataFrame, config: ProfileStreamConfig, interval: int | None, **how: object
+) -> StreamingQuery:
+    if "avro" in config.formats:
+        require_avro(records.sparkSession)  # before any batch has written half of its sinks
+    return each_batch(records, partial(write_profile_batch, config=config, **how), config.checkpoint, interval)
+
+
 def stream_profiles(records: DataFrame, config: ProfileStreamConfig, interval: int | None = None) -> StreamingQuery:
     """Messages with the declared schema to a raw archive, files and the profile table.
 
     Files are appended to, so a batch replayed after a failure may add its rows again; use
     ``stream_profiles_once`` where that matters.
     """
-    action = partial(write_profile_batch, config=config, replay_safe=False, inferred=False)
-    return each_batch(records, action, config.checkpoint, interval)
+    return _start_profiles(records, config, interval, replay_safe=False, inferred=False)
 
 
 def stream_profiles_once(
@@ -198,8 +209,7 @@ def stream_profiles_once(
     Positions are reported per batch and count as read only once every sink is done. A ``schema``
     inferred earlier keeps the columns the same in every batch, and saves the inference.
     """
-    action = partial(write_profile_batch, config=config, replay_safe=True, inferred=True, schema=schema)
-    return each_batch(records, action, config.checkpoint, interval)
+    return _start_profiles(records, config, interval, replay_safe=True, inferred=True, schema=schema)
 
 
 def parse_profiles(records: DataFrame) -> DataFrame:

@@ -26,11 +26,14 @@ def read_logs(spark: SparkSession, path: str, schema: T.StructType | None = None
     return spark.read.options(**CSV_OPTIONS).schema(schema or infer_log_schema(spark, path)).csv(path)
 
 
-def stream_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Lines of the files that appear in a directory, as a stream with one column ``value``."""
+def stream_lines(spark: SparkSession, path: str, batch_limit: int | None = None) -> DataFrame:
+    """Lines of the files that appear in a directory, as a stream with one column ``value``.
+
+    A micro-batch takes at most ``batch_limit`` files.
+    """
     reader = spark.readStream
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if batch_limit:
+        reader = reader.option("maxFilesPerTrigger", batch_limit)
     return reader.text(path)
 
 

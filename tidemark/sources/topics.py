@@ -90,16 +90,12 @@ class FileTopics:
             raise ValueError(f"publish {publish_id} was followed by others, whose offsets start after its own")
         before = stored.where(F.col("publish") < publish_id).agg(F.max("publish")).first()[0]
         last = stored.where(F.col("publish") == before).agg(F.max("offset")).first()[0]
+        number = F.col("_number")
+        spread_by = F.when(F.col("key").isNotNull(), F.xxhash64("key")).otherwise(number)
         (
             records.withColumn("_number", F.monotonically_increasing_id())
-            .withColumn("partition", F.pmod(F.xxhash64("key"), F.lit(self.partitions)).cast("int"))
-            .withColumn(
-                "partition",
-                F.when(F.col("key").isNull(), F.pmod("_number", F.lit(self.partitions)).cast("int")).otherwise(
-                    F.col("partition")
-                ),
-            )
-            .withColumn("offset", F.col("_number") + F.lit(0 if last is None else last + 1))
+            .withColumn("partition", F.pmod(spread_by, F.lit(self.partitions)).cast("int"))
+            .withColumn("offset", number + F.lit(0 if last is None else last + 1))
             .select(TOPIC_RECORD.names)
             .write.partitionBy("topic")
             .mode("overwrite")
@@ -129,25 +125,30 @@ class FileTopics:
         topics: str | Iterable[str],
         starting: str = "earliest",
         checkpoint: str | None = None,
-        files_per_batch: int | None = None,
+        batch_limit: int | None = None,
     ) -> DataFrame:
-        """The records as a stream.
+        """The records as a stream, at most ``batch_limit`` files per micro-batch.
 
         A start other than earliest is worked out once and kept next to the checkpoint, so that a
         restarted query goes on where it was instead of jumping to a newer end.
         """
         reader = spark.readStream.schema(self._LAYOUT)
-        if files_per_batch:
-            reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        if batch_limit:
+            reader = reader.option("maxFilesPerTrigger", batch_limit)
         records = self._subscribed(reader.parquet(self.path), topics)
         if starting == "earliest":
             return records
         if not checkpoint:
             raise ValueError("a start other than earliest needs the checkpoint location of the query")
         kept = f"{checkpoint.rstrip('/')}-start"
-        document = json.dumps(self._resolve(spark, topics, starting))
-        spark.createDataFrame([(document,)], "value STRING").coalesce(1).write.mode("ignore").text(kept)
-        return records.where(self._from(topics, json.loads(spark.read.text(kept).first()[0])))
+        try:
+            positions = json.loads(spark.read.text(kept).first()[0])
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            positions = self._resolve(spark, topics, starting)
+            spark.createDataFrame([(json.dumps(positions),)], "value STRING").coalesce(1).write.text(kept)
+        return records.where(self._from(topics, positions))
 
     def _subscribed(self, records: DataFrame, topics: str | Iterable[str]) -> DataFrame:
         return records.where(F.col("topic").isin(_names(topics))).select(TOPIC_RECORD.names)
@@ -219,10 +220,12 @@ class KafkaTopics:
         topics: str | Iterable[str],
         starting: str = "earliest",
         checkpoint: str | None = None,
-        files_per_batch: int | None = None,
+        batch_limit: int | None = None,
     ) -> DataFrame:
-        """The records as a stream; the connector keeps its start in the checkpoint by itself."""
-        return _envelope(_load(spark.readStream.format("kafka").options(**self.reader_options(topics, starting))))
+        """The records as a stream, at most ``batch_limit`` of them per micro-batch. The connector
+        keeps its start in the checkpoint by itself."""
+        reader = spark.readStream.format("kafka").options(**self.reader_options(topics, starting))
+        return _envelope(_load(reader.option("maxOffsetsPerTrigger", batch_limit) if batch_limit else reader))
 
     def publish(self, records: DataFrame, publish_id: int | None = None) -> None:
         out = records.select("topic", "key", "value").write.format("kafka")
