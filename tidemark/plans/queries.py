@@ -50,12 +50,12 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str) -> Callable[[Query], Query]:
-    """Put a query into the catalogue under its function name, with the SQL it must equal."""
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Put a query into the catalogue, under its function's name by default, with the SQL it must equal."""
 
     def add(function: Query) -> Query:
-        QUERIES[function.__name__] = function
-        ORACLES[function.__name__] = sql.format(logs=LOGS_SQL, updates=UPDATES_SQL)
+        QUERIES[name or function.__name__] = function
+        ORACLES[name or function.__name__] = sql.format(logs=LOGS_SQL, updates=UPDATES_SQL)
         return function
 
     return add
@@ -204,7 +204,7 @@ def binary_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("SELECT event_id, event_type, props FROM events ORDER BY event_id LIMIT 2")
-def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first two rows; the limit is the feature."""
     return table(spark, sf_dir, "events").select("event_id", "event_type", "props").orderBy("event_id").limit(2)
 
@@ -214,8 +214,8 @@ def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 AVERAGE_SQL = "sum(CAST(trunc({0}) AS BIGINT)) / count({0})"
 
 
-@query(f"SELECT {AVERAGE_SQL.format('response_time')} AS avg_response_time FROM {{logs}}")
-def my_average_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query(f"SELECT {AVERAGE_SQL.format('response_time')} AS avg_response_time FROM {{logs}}", name="my_average")
+def average_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs(spark, sf_dir).agg(my_average("response_time").alias("avg_response_time"))
 
 
@@ -225,7 +225,7 @@ def my_average_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("SELECT DISTINCT CAST('NaN' AS DOUBLE) AS avg_response_time FROM {logs}")
-def my_average_of_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def my_average_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only nulls: error lines have no response time."""
     errors = logs(spark, sf_dir).where(F.col("module") == "error")
     return errors.agg(my_average("response_time").alias("avg_response_time"))
@@ -590,8 +590,8 @@ RANGES_SQL = """SELECT 'events' AS topic, CAST(user_id % 2 AS INTEGER) AS partit
     max(event_id) + 1 AS until_offset, count(*) AS records FROM events GROUP BY user_id % 2"""
 
 
-@query(RANGES_SQL)
-def offset_range_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query(RANGES_SQL, name="offset_ranges")
+def ranges_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offset_ranges(event_records(table(spark, sf_dir, "events")))
 
 
@@ -667,7 +667,7 @@ def stream_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT 'text', NULL, count(*) FROM {updates} UNION ALL "
     "SELECT 'keyed', NULL, count(DISTINCT user_id) FROM {updates}"
 )
-def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One parsed batch to a raw archive, files and the profile table; counted per sink."""
     config = profile_config(spark)
     run(stream_profiles(update_records(stream_table(spark, sf_dir, "events")), config))
