@@ -136,6 +136,18 @@ def test_stream_logs(spark, out):
 # --- profile streams
 
 
+@pytest.mark.parametrize("rebalance", [True, False])
+def test_a_batch_of_many_files_writes_few(spark, out, rebalance):
+    Path(out, "in").mkdir(parents=True)
+    for i in range(8):
+        Path(out, "in", f"{i}.csv").write_text("".join(f"web,A,{i},2020-03-2{day}T00:00:00,5\n" for day in range(4)))
+    given = {"input_path": f"{out}/in", "output": f"{out}/Output", "checkpoint": f"{out}/checkpoint"}
+    run(stream_logs(spark, LogStreamConfig(**given, rebalance=rebalance)))
+    files = list(Path(f"{out}/Output-FS-ORC").glob("datepart=*/*.orc"))
+    assert (len(files) == 4) if rebalance else (len(files) > 4)
+    assert spark.read.schema("message STRING").orc(f"{out}/Output-FS-ORC").count() == 32
+
+
 def test_bad_log_lines_are_kept_without_a_date(spark, out):
     Path(out, "in").mkdir(parents=True)
     Path(out, "in", "a.csv").write_text("web,A,good,2020-03-27T00:00:00,5\nweb,A,bad,27.3.2020,5\n")

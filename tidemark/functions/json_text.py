@@ -43,10 +43,12 @@ def _merged_shape(df: DataFrame, value: str) -> T.DataType | None:
     """
     is_object = _trimmed(value).startswith("{")
     # Parsed in a projection of its own, so that both aggregates share one parse per row.
-    parsed = df.where(has_text(value)).select(
-        F.when(is_object, F.try_parse_json(F.col(value).cast("string"))).alias("parsed")
+    parsed = df.select(
+        F.when(is_object, F.try_parse_json(F.col(value).cast("string"))).alias("parsed"),
+        has_text(value).alias("filled"),
     )
-    shape, other = parsed.agg(F.schema_of_variant_agg("parsed"), F.count_if(F.col("parsed").isNull())).first()
+    is_other = F.col("filled") & F.col("parsed").isNull()
+    shape, other = parsed.agg(F.schema_of_variant_agg("parsed"), F.count_if(is_other)).first()
     if other or (shape and _UNSURE.search(shape)):
         return None
     if not shape or not shape.startswith("OBJECT<"):

@@ -99,6 +99,8 @@ def stream_logs(spark: SparkSession, config: LogStreamConfig, interval: int | No
     lines = stream_lines(spark, config.input_path, config.batch_limit)
     logs = parse_log_lines(lines, header=config.header)
     enriched = add_date_part(logs, "date", config.date_pattern, _date_errors(config.on_error))
+    if config.rebalance:
+        enriched = group_for(enriched, "datepart")
     return write_stream(enriched, f"{config.output}-FS-ORC", "orc", config.checkpoint, interval)
 
 
