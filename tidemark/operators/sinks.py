@@ -67,7 +67,9 @@ def write_avro(
     write_partitioned(df, path, "avro", partition, mode, rebalance, options)
 
 
-def write_text(df: DataFrame, path: str, column: str = "value", mode: str = "append", single_file: bool = False) -> None:
+def write_text(
+    df: DataFrame, path: str, column: str = "value", mode: str = "append", single_file: bool = False
+) -> None:
     """Write a text column line by line. ``single_file`` puts everything through one task: small input only."""
     lines = df.select(column)
     (lines.coalesce(1) if single_file else lines).write.mode(mode).text(path)

@@ -15,7 +15,7 @@ from tidemark.functions.dates import add_date_part, date_part
 from tidemark.functions.json_text import CORRUPT_RECORD, has_text, parse_declared, parse_inferred
 from tidemark.operators.keyed import LOG_AGG_CATALOG, USER_PROFILE_CATALOG, Catalog, KeyedTable, run_key
 from tidemark.operators.sinks import fan_out, group_for, require_avro, write_avro, write_partitioned, write_text
-from tidemark.schemas import APP_LOG, PROFILE_UPDATE, TOPIC_RECORD
+from tidemark.schemas import APP_LOG, PROFILE_UPDATE
 from tidemark.sources.logs import parse_log_lines, read_logs, stream_lines
 from tidemark.streaming.offsets import offset_ranges
 from tidemark.streaming.run import console, each_batch, write_stream
@@ -121,20 +121,23 @@ def write_profile_batch(
 ) -> None:
     """Parse one micro-batch and write it to all sinks.
 
-    The topic record travels along as one struct, so that message fields of any name fit beside
-    it. ``replay_safe`` gives each batch its own directory per sink and overwrites it on a replay.
+    What is needed of the topic record travels along as one struct, so that message fields of any
+    name fit beside it. ``replay_safe`` gives each batch its own directory per sink and overwrites it on a replay.
     With ``inferred`` a record without text is no message, as for the JSON reader; its position
     is still reported.
     """
-    packed = batch.select(F.struct(*TOPIC_RECORD.names).alias("_record"), "value")
+    wanted = ["topic", "partition", "offset"]
+    if not replay_safe or config.on_error == QUARANTINE:
+        wanted.append("value")  # some sink writes the text itself
+    filled = has_text("value") if inferred else F.lit(True)
+    packed = batch.select(F.struct(*wanted, filled.alias("is_message")).alias("_record"), "value")
     if inferred:
         rows = parse_inferred(packed, keep=("_record",), schema=schema, skip_blank=False)
         missing = [name for name in PROFILE_UPDATE.names if name not in rows.columns]
         rows = rows.withColumns({name: F.lit(None).cast(PROFILE_UPDATE[name].dataType) for name in missing})
-        is_message = has_text("_record.value")
     else:
         rows = parse_declared(packed, PROFILE_UPDATE, keep=("_record",))
-        is_message = F.lit(True)
+    is_message = F.col("_record.is_message")
     day = date_part("updated_at", config.date_pattern, _date_errors(config.on_error))
     enriched = rows.withColumn("datepart", F.when(is_message, day))
     usable = is_message

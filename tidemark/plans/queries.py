@@ -72,7 +72,8 @@ LOGS_SQL = f"""(SELECT 'shop' AS application, event_type AS module, event_type |
 
 UPDATES_SQL = f"""(SELECT 'user.' || user_id AS user_id, event_type AS user_fname,
     'k' || (props->>'k') AS user_lname, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS updated_at,
-    'event ' || event_id AS address, CAST(user_id % 2 AS INTEGER) AS part, event_id AS pos, {DAY} AS datepart FROM events)"""
+    'event ' || event_id AS address, CAST(user_id % 2 AS INTEGER) AS part, event_id AS pos,
+    {DAY} AS datepart FROM events)"""
 
 LATEST_UPDATE = """SELECT user_id, user_fname, user_lname FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY updated_at DESC, part DESC, pos DESC) AS rn
@@ -83,10 +84,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# A micro-batch takes at most this many files, which bounds what is kept while its sinks run.
+BATCH_FILES = 1000
+
+
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table as a stream; the glob lets the same path be one file or a directory of files."""
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name[:-1]}[{name[-1]}].parquet")
+    reader = spark.readStream.schema(table(spark, sf_dir, name).schema).option("maxFilesPerTrigger", BATCH_FILES)
+    return reader.parquet(f"{sf_dir}/{name[:-1]}[{name[-1]}].parquet")
 
 
 def as_logs(events: DataFrame, response_time: Column | None = None) -> DataFrame:
@@ -161,7 +166,8 @@ def publish_updates(topics: FileTopics, spark: SparkSession, sf_dir: str, early:
 def profile_config(spark: SparkSession, **given) -> ProfileStreamConfig:
     """Files as JSON and ORC; Avro is left out because its module may be missing."""
     output = scratch_dir(spark, "profiles")
-    return ProfileStreamConfig(output=output, checkpoint=f"{output}-checkpoint", **{"formats": ("json", "orc"), **given})
+    given = {"formats": ("json", "orc"), **given}
+    return ProfileStreamConfig(output=output, checkpoint=f"{output}-checkpoint", **given)
 
 
 # --- scans ------------------------------------------------------------------------------------
@@ -655,7 +661,13 @@ def stream_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = as_logs(table(spark, sf_dir, "events"), whole).withColumn("date", F.translate("date", " ", "T"))
     lines.write.options(**CSV_OPTIONS).csv(source)
     output = scratch_dir(spark, "log-stream")
-    config = LogStreamConfig(input_path=source, output=output, checkpoint=f"{output}-checkpoint", header=True)
+    config = LogStreamConfig(
+        input_path=source,
+        output=output,
+        checkpoint=f"{output}-checkpoint",
+        header=True,
+        batch_limit=BATCH_FILES,
+    )
     run(stream_logs(spark, config))
     layout = T.StructType([*APP_LOG, T.StructField("datepart", T.StringType())])
     return spark.read.schema(layout).orc(f"{output}-FS-ORC").drop("application")
@@ -700,7 +712,7 @@ def stream_batch_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics = FileTopics(scratch_dir(spark, "topics")).create(spark)
     for early in (True, False):
         publish_updates(topics, spark, sf_dir, early)
-        run(stream_profiles(topics.stream(spark, "profile_updates"), config))
+        run(stream_profiles(topics.stream(spark, "profile_updates", batch_limit=BATCH_FILES), config))
     averages = spark.read.schema("avg_response_time DOUBLE").parquet(f"{config.output}-AVERAGE")
     return averages.select("avg_response_time").distinct()
 
@@ -717,7 +729,7 @@ def stream_replay_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_profile_batch(batch, batch_id, config, replay_safe=True, inferred=True)
         raise RuntimeError("lost after the sinks and before the commit")
 
-    records = topics.stream(spark, "profile_updates")
+    records = topics.stream(spark, "profile_updates", batch_limit=BATCH_FILES)
     failing = each_batch(records, fail_late, config.checkpoint)
     while failing.isActive:
         try:
