@@ -143,6 +143,18 @@ def test_key_order(spark, out):
     assert [row["user_id"] for row in table.scan(spark, ordered=True).collect()] == list("abcd")
 
 
+def test_scan_reads_only_what_is_asked_for(spark, out):
+    table = KeyedTable(out, PROFILE, ORDER)
+    table.upsert(profiles(spark, ("u", "a", "b", "2020", 0, 1), ("v", "c", "d", "2020", 0, 2)), 0)
+    rows = table.scan(spark, ["user_lname"]).where("user_lname = 'd'")
+    assert rows.columns == ["user_lname"]
+    assert [tuple(row) for row in rows.collect()] == [("d",)]
+    assert "user_fname" not in rows._jdf.queryExecution().executedPlan().toString()
+    one = table.scan(spark).where("user_id = 'u'")
+    assert [row["user_fname"] for row in one.collect()] == ["a"]
+    assert "EqualTo(user_id,u)" in one._jdf.queryExecution().executedPlan().toString()
+
+
 def test_null_key_is_an_error(spark, out):
     with pytest.raises(Exception, match="null row key for user_profile"):
         KeyedTable(out, PROFILE).upsert(profiles(spark, (None, "a", "b", None, 0, 0)), 0)

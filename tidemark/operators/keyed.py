@@ -124,16 +124,16 @@ class KeyedTable:
     def _rows(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(self._layout).parquet(self.path)
 
-    def _newest(self, spark: SparkSession) -> DataFrame:
+    def _newest(self, spark: SparkSession, columns: Sequence[str] | None = None) -> DataFrame:
         """One row per key with its ordering columns; tasks reduce each key before the shuffle."""
         key = self.catalog.key
-        values = [name for name in self.catalog.stored if name != key]
+        values = [name for name in columns or self.catalog.stored if name != key]
         greatest = F.max(F.struct(*self._order.names, *values)).alias("row")
         return self._rows(spark).groupBy(key).agg(greatest).select(key, "row.*")
 
-    def scan(self, spark: SparkSession, ordered: bool = False) -> DataFrame:
-        """All rows, in key order if ``ordered``."""
-        rows = self._newest(spark).select(self.catalog.stored)
+    def scan(self, spark: SparkSession, columns: Sequence[str] | None = None, ordered: bool = False) -> DataFrame:
+        """All rows, in key order if ``ordered``. Only the given columns are read, besides the key."""
+        rows = self._newest(spark, columns).select(*(columns or self.catalog.stored))
         return rows.orderBy(self.catalog.key) if ordered else rows
 
     def compact_to(self, spark: SparkSession, path: str) -> KeyedTable:

@@ -347,8 +347,10 @@ BROKEN = "user_fname = 'error'"
 )
 def json_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages cut short: null columns when declared, and the text itself kept when inferred."""
-    cut = F.when(F.col("value").contains('"user_fname":"error"'), F.expr("left(value, length(value) - 1)"))
-    records = updates(spark, sf_dir).withColumn("value", F.coalesce(cut, "value"))
+    events = table(spark, sf_dir, "events")
+    is_error = F.col("event_type").eqNullSafe("error")
+    cut = update_records(events.where(is_error)).withColumn("value", F.regexp_replace("value", r"\}$", ""))
+    records = update_records(events.where(~is_error)).unionByName(cut)
     declared = F.from_json("value", PROFILE_UPDATE)["user_id"]
     rows = records.select(F.col("offset").alias("pos"), declared.alias("declared_user"), "value")
     return parse_inferred(rows, keep=("pos", "declared_user")).select(
