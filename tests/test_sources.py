@@ -126,6 +126,8 @@ def test_publish_id_again_replaces(spark, out):
     publish(spark, topics, "t", ("a", "2"), publish_id=1)
     assert publish(spark, topics, "t", ("a", "3")) == 2
     assert values(topics.read(spark, "t")) == ["1", "2", "3"]
+    with pytest.raises(ValueError, match="start at 0"):
+        publish(spark, topics, "t", ("a", "2"), publish_id=-1)
     with pytest.raises(ValueError, match="followed by others"):
         publish(spark, topics, "t", ("a", "2"), publish_id=1)
 

@@ -86,10 +86,16 @@ class FileTopics:
         stored = self._all(spark)
         newest = stored.agg(F.coalesce(F.max("publish"), F.lit(-1))).first()[0]
         publish_id = newest + 1 if publish_id is None else publish_id
+        if publish_id < 0:
+            raise ValueError("publish ids start at 0")
         if publish_id < newest:
             raise ValueError(f"publish {publish_id} was followed by others, whose offsets start after its own")
-        before = stored.where(F.col("publish") < publish_id).agg(F.max("publish")).first()[0]
-        last = stored.where(F.col("publish") == before).agg(F.max("offset")).first()[0]
+        before = newest
+        if publish_id == newest:
+            before = stored.where(F.col("publish") < publish_id).agg(F.max("publish")).first()[0]
+        last = None
+        if before is not None and before >= 0:
+            last = stored.where(F.col("publish") == before).agg(F.max("offset")).first()[0]
         number = F.col("_number")
         spread_by = F.when(F.col("key").isNotNull(), F.xxhash64("key")).otherwise(number)
         (
