@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, simhash
+from . import decontam, langid, licenses, mixing, quality_rules, secrets, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,11 +14,80 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+_RULES = secrets.BASE_RULES + secrets.MORE_RULES
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
     return function
 
 
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+_SPANS = "\n".join(
+    f"""  SELECT doc_id, {i} AS k, '{r.kind}' AS kind, unnest(range(len(m))) AS i, m, g, p FROM (
+    SELECT doc_id, regexp_extract_all(t, {_quoted(r.pattern)}) AS m, regexp_extract_all(t, {_quoted(r.pattern)}, {r.group}) AS g,
+      string_split_regex(t, {_quoted(r.pattern)}) AS p FROM d) {'UNION ALL' if i + 1 < len(_RULES) else ''}"""
+    for i, r in enumerate(_RULES)
+)
+ORACLES["op2_secret_scan"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+raw AS (
+{_SPANS}),
+least_length AS (SELECT * FROM (VALUES {', '.join(f"({i}, {r.min_length})" for i, r in enumerate(_RULES))}) v(k, n)),
+placed AS (
+  SELECT doc_id, k, kind, len(g[i + 1]) AS n_group, len(m[i + 1]) AS n,
+    coalesce(list_sum([len(x) for x in p[1:i + 1]]), 0) + coalesce(list_sum([len(x) for x in m[1:i]]), 0) AS s FROM raw),
+kept AS (SELECT doc_id, placed.k, kind, s, s + placed.n AS e FROM placed JOIN least_length l ON placed.k = l.k AND n_group >= l.n)
+SELECT d.doc_id,
+  count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+  sha256(coalesce(string_agg(kind || ':' || CAST(CAST(s AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(e AS BIGINT) AS VARCHAR), ',' ORDER BY s, k) FILTER (k < 3), '')) AS base_sha256,
+  coalesce(string_agg(kind || ':' || CAST(CAST(s AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(e AS BIGINT) AS VARCHAR), ',' ORDER BY s, k), '') AS spans
+FROM d LEFT JOIN kept USING (doc_id) GROUP BY d.doc_id
+"""
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+_TEMPLATE_ROWS = ", ".join(
+    f"({_quoted(name)}, {len(b)}, {lo}, {hi}, [{', '.join(map(_quoted, b))}])"
+    for name, text in licenses.TEMPLATES.items()
+    for b in [licenses.template_bigrams(text)]
+    for lo, hi in [licenses.size_bounds(len(b), 0.8)]
+)
+ORACLES["op4_license_scan"] = f"""
+WITH templates AS (SELECT * FROM (VALUES {_TEMPLATE_ROWS}) v(license, n, lo, hi, own)),
+d AS (SELECT doc_id, {_LOWER.format("coalesce(text, '')")} AS t FROM documents),
+passages AS (
+  SELECT doc_id, unnest(CASE WHEN contains(t, chr(10)) THEN list_concat(string_split(t, chr(10)), [t]) ELSE [t] END) AS p FROM d),
+worded AS (SELECT doc_id, regexp_extract_all(p, '[a-z0-9]+') AS w FROM passages),
+paired AS (SELECT doc_id, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS b FROM worded WHERE len(w) > 1),
+matched AS (
+  SELECT doc_id, license, 2.0::DOUBLE * len(list_intersect(b, own)) / (len(b) + n) AS dice
+  FROM paired JOIN templates ON len(b) BETWEEN lo AND hi),
+kept AS (SELECT * FROM matched WHERE dice >= 0.8)
+SELECT d.doc_id, count(k.license) AS n_notices, arg_min(k.license, (-k.dice, k.license)) AS license, max(k.dice) AS dice,
+  coalesce(string_agg(DISTINCT k.license, ',' ORDER BY k.license), '') AS licenses
+FROM d LEFT JOIN kept k USING (doc_id) GROUP BY d.doc_id
+"""
+
+
+@query
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"), shingle=4, max_bits=4, seed=42)
@@ -27,3 +96,33 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_WORDS = f"regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+ORACLES["op6_benchmark_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, unnest([array_to_string(w[i:i + least(len(w), 10) - 1], ' ')
+    for i in range(1, len(w) - least(len(w), 10) + 2)]) AS x FROM b WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM windows),
+spots AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, unnest([array_to_string(w[j:j + n - 1], ' ') for j in range(1, len(w) - n + 2)]) AS x
+  FROM d, sizes WHERE len(w) >= n),
+hit AS (SELECT doc_id, item, s.n, i FROM spots s JOIN windows v ON s.x = v.x AND s.n = v.n),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY 1),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_filter(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
