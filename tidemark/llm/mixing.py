@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_CLASS, written
+from .common import SPACE_CLASS, written
 
 EXACT = "decimal(38,6)"  # sums of it don't depend on the order of the rows, so reruns agree
 
 
 def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD_CLASS + "+")), F.lit(0)).cast("bigint")
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS + "+", -1), "")).cast("bigint")
 
 
 def ranked_sources(sizes: DataFrame) -> DataFrame:

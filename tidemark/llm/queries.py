@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontam, langid, licenses, mixing, quality_rules, secrets, simhash
+from . import attention, backoff, decontam, langid, licenses, mixing, quality_rules, secrets, simhash, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +28,31 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = backoff.score(table(spark, sf_dir, "documents"), order=2)
+    return scored.withColumn("mean_log_score", F.round("mean_log_score", 6))
+
+
+ORACLES["op1_lm_scoring"] = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+t AS (SELECT doc_id, len(w) AS n, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS b, unnest(list_concat([NULL], w[1:len(w) - 1])) AS a FROM d WHERE len(w) > 0),
+f0 AS (SELECT count(*) AS n FROM t),
+f1 AS (SELECT b, count(*) AS n FROM t GROUP BY b), o1 AS (SELECT doc_id, b, count(*) AS n FROM t GROUP BY doc_id, b),
+f2 AS (SELECT a, b, count(*) AS n FROM t WHERE i > 1 GROUP BY a, b), o2 AS (SELECT doc_id, a, b, count(*) AS n FROM t WHERE i > 1 GROUP BY doc_id, a, b),
+r AS (
+  SELECT t.doc_id, t.i, f0.n - t.n AS others, f1.n - o1.n AS word, coalesce(f2.n - o2.n, 0) AS pair, c.n - oc.n AS context
+  FROM t, f0 JOIN f1 ON t.b = f1.b JOIN o1 ON t.doc_id = o1.doc_id AND t.b = o1.b
+  LEFT JOIN f2 ON t.i > 1 AND t.a = f2.a AND t.b = f2.b LEFT JOIN o2 ON t.i > 1 AND t.doc_id = o2.doc_id AND t.a = o2.a AND t.b = o2.b
+  LEFT JOIN f1 c ON t.i > 1 AND t.a = c.b LEFT JOIN o1 oc ON t.i > 1 AND t.doc_id = oc.doc_id AND t.a = oc.b),
+s AS (
+  SELECT doc_id, pair > 0 AS seen, CASE WHEN pair > 0 THEN ln(pair::DOUBLE / context)
+    ELSE ln(greatest(word::DOUBLE, 0.4) / greatest(others, 1)) + CASE WHEN i > 1 THEN ln(0.4) ELSE 0 END END AS score FROM r)
+SELECT doc_id, len(w) AS n_words, count(*) FILTER (seen) AS n_seen, round(avg(score), 6) AS mean_log_score
+FROM d LEFT JOIN s USING (doc_id) GROUP BY doc_id, len(w)
+"""
+
+
 @query
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
@@ -98,6 +124,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -126,3 +157,8 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_filter(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
