@@ -23,8 +23,9 @@ STRUCTURE = -1
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of 64- and 32-bit numbers, compressed, behind their lengths."""
-    raw = b"".join(a.tobytes() for a in arrays)
+    """Arrays of 64- and 32-bit numbers, compressed, behind their lengths. Each array's first bytes stand together, then
+    its second ones and so on, which leaves the high bytes of small numbers as runs of zeros."""
+    raw = b"".join(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes() if len(a) else b"" for a in arrays)
     head = np.array([len(raw), *[len(a) for a in arrays]], "<i8").tobytes()
     return head + pa.compress(raw, codec="zstd", asbytes=True)
 
@@ -33,9 +34,11 @@ def _unpack(data: bytes, *kinds: str) -> list[np.ndarray]:
     head = np.frombuffer(data, "<i8", len(kinds) + 1)
     raw = pa.decompress(data[head.nbytes :], decompressed_size=int(head[0]), codec="zstd", asbytes=True)
     out, at = [], 0
-    for kind, n in zip(kinds, head[1:], strict=True):
-        out.append(np.frombuffer(raw, kind, int(n), at))
-        at += out[-1].nbytes
+    for kind, n in zip(kinds, head[1:].tolist(), strict=True):
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += n * width
     return out
 
 
@@ -87,7 +90,7 @@ def _block_rows(block: int, docs: list[tuple[int | None, bytes]], order: int, bu
         for bucket in range(buckets):
             own = slice(cuts[bucket], cuts[bucket + 1])
             if cuts[bucket + 1] > cuts[bucket]:
-                rows.append((bucket, block, n * buckets + bucket, _pack(keys[own], counts[own])))
+                rows.append((bucket, block, n * buckets + bucket, _pack(np.diff(keys[own], prepend=np.uint64(0)), counts[own])))
     # The empty n-gram counts all words.
     rows.append((0, block, 0, _pack(np.zeros(1, "<u8"), np.array([len(ids)], "<i8"))))
     return rows
@@ -107,7 +110,8 @@ def _counted(group: pa.Table) -> pa.Table:
         if r["part"] != STRUCTURE:
             parts.setdefault(r["part"], []).append(r)
     for part, own in parts.items():
-        unpacked = [_unpack(r["payload"], "<u8", "<i8") for r in own]
+        # Keys travel as differences: sorted 64-bit hashes of a range share their first bits.
+        unpacked = [(np.cumsum(k, dtype="<u8"), n) for k, n in (_unpack(r["payload"], "<u8", "<i8") for r in own)]
         keys, inverse = np.unique(np.concatenate([u[0] for u in unpacked]), return_inverse=True)
         totals = np.zeros(len(keys), "<i8")
         np.add.at(totals, inverse, np.concatenate([u[1] for u in unpacked]))
