@@ -54,7 +54,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     same = (
         F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size"))
     )
-    return sized.join(plan, same).select(
+    # The plan has a row per document: it is merged at every size, never broadcast where a small input would allow it.
+    return sized.join(plan.hint("merge"), same).select(
         *docs.columns, F.col("_size").alias("size"), "source_size", "target", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
     )
 
