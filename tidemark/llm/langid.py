@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import hash_sample
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WIDTHS = (2, 3, 4)
@@ -139,12 +141,14 @@ def train(samples: list[tuple[str, str]], window: int = 256, filters: int = 8, e
 
 
 def sample(labelled: DataFrame, limit: int = 6000, window: int = 256) -> list[tuple[str, str]]:
-    """Up to limit (lang, passage) samples: of each labelled text two passages, anywhere in it; the rows with the
-    smallest hashes are taken, so a rerun takes the same. Null languages and null or empty texts are left out."""
-    rows = labelled.filter("lang is not null and text is not null and text <> ''").select("lang", "text")
+    """Up to limit (lang, passage) samples: two passages, anywhere in it, of each text picked by a hash of its doc_id, so a
+    rerun takes the same. Null ids, null languages and null or empty texts are left out."""
+    rows = labelled.filter("doc_id is not null and lang is not null")
     spot = lambda i: F.lit(1) + F.pmod(F.xxhash64("text", F.lit(i)), F.greatest(F.length("text") - window + 1, F.lit(1))).cast("int")
-    picked = rows.select("lang", F.explode(F.array(*[F.substr("text", spot(i), F.lit(window)) for i in range(2)])).alias("passage"))
-    taken = picked.orderBy(F.xxhash64("passage"), "passage", "lang").limit(limit)
+    ids = hash_sample(rows.select("doc_id", "lang"), limit // 2, "doc_id", "lang").select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
+    picked = rows.join(ids, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))).filter("text <> ''")
+    passages = F.explode(F.array(*[F.substr("text", spot(i), F.lit(window)) for i in range(2)]))
+    taken = picked.select("doc_id", "lang", passages.alias("passage")).distinct().orderBy("doc_id", "lang", "passage").limit(limit)
     return [(r.lang, r.passage) for r in taken.collect()]
 
 
