@@ -125,8 +125,14 @@ def test_average_of_nothing_is_nan(spark):
     assert math.isnan(average(spark, [None, None], "BIGINT"))
 
 
-def test_average_skips_what_is_no_long(spark):
-    assert average(spark, [float("nan"), 1e30, float("-inf"), 4.0]) == 4.0
+def test_average_skips_what_is_no_number(spark):
+    assert average(spark, [float("nan"), 4.0]) == 4.0
+
+
+@pytest.mark.parametrize("value", [1e30, float("-inf")])
+def test_average_of_a_number_past_the_longs_is_an_error(spark, value):
+    with pytest.raises(Exception, match="overflow"):
+        average(spark, [value, 4.0])
 
 
 def test_average_of_text(spark):
@@ -149,8 +155,10 @@ def test_average_by_name_in_sql(spark):
     found = {row["k"]: row["a"] for row in rows}
     assert found["a"] == 3.5
     assert math.isnan(found["b"])
-    with pytest.raises(ValueError, match="parentheses"):
-        expand_my_average("SELECT myAverage(abs(x)) FROM xs")
+    nested = spark.sql(expand_my_average("SELECT myAverage(abs(-(x))) AS a, 'myAverage(x)' AS t FROM xs -- myAverage("))
+    assert [tuple(row) for row in nested.collect()] == [(2.5, "myAverage(x)")]
+    with pytest.raises(ValueError, match="parenthesis"):
+        expand_my_average("SELECT myAverage(abs(x) FROM xs")
 
 
 def test_average_is_partially_aggregated_without_python(spark):
@@ -282,17 +290,17 @@ def test_odd_text_is_inferred_as_by_the_json_reader(spark, text, other):
         assert sorted(map(repr, found.collect())) == sorted(map(repr, read.collect()))
 
 
-def test_plain_batches_are_inferred_without_python(spark, monkeypatch):
-    """Only fractions like 2.0, very long whole numbers and broken text need the reader's help."""
+def test_schemas_are_inferred_without_python(spark, monkeypatch):
+    """Also with fractions like 2.0 and broken text, for which the JSON reader is asked."""
+    plain, fraction, broken = (texts(spark, GOLDEN, *more) for more in (['{"n":1.5}', '{"n":2}'], ['{"n":2.0}'], ["{broken"]))
 
-    def refused(*arguments, **named):
+    def refused(self):
         raise AssertionError("read through Python")
 
-    monkeypatch.setattr(type(spark.read), "json", refused)
-    assert infer_json_schema(texts(spark, GOLDEN, '{"n":1.5}', '{"n":2}')).names[-1] == "user_lname"
-    for text in ('{"n":2.0}', "{broken"):
-        with pytest.raises(AssertionError, match="through Python"):
-            infer_json_schema(texts(spark, GOLDEN, text))
+    monkeypatch.setattr(type(plain), "rdd", property(refused))
+    assert infer_json_schema(plain).names[-1] == "user_lname"
+    assert infer_json_schema(fraction)["n"].dataType == T.DoubleType()
+    assert infer_json_schema(broken).names[0] == "_corrupt_record"
 
 
 def test_inferred_schema_keeps_broken_text(spark):

@@ -7,20 +7,36 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# ``{0}`` is the input. A text input may hold a fraction, which the second cast cuts off; numbers
-# that do not fit a long, NaN included, are skipped. Only built-in sum and count are used, so
-# every task sends one partial (sum, count) pair per group to the shuffle.
-_WHOLE = "coalesce(try_cast({0} AS BIGINT), try_cast(try_cast({0} AS DECIMAL(38, 18)) AS BIGINT))"
+# ``{0}`` is the input. A text input may hold a fraction, which the second cast cuts off; what is no
+# number, NaN included, is skipped, and a number past the longs is an error, as a sum past them is. Only
+# built-in sum and count are used, so every task sends one partial (sum, count) pair per group to the shuffle.
+_LIMIT = 9.2e18
+_PROBLEM = "overflow: a number to average does not fit a long"
+_WHOLE = (
+    "coalesce(try_cast({0} AS BIGINT), try_cast(try_cast({0} AS DECIMAL(38, 18)) AS BIGINT), "
+    f"CASE WHEN abs(try_cast({{0}} AS DOUBLE)) BETWEEN {_LIMIT} AND double('Infinity') "
+    f"THEN CAST(raise_error('{_PROBLEM}') AS BIGINT) END)"
+)
 _AVERAGE = "coalesce(sum({whole}) / nullif(count({whole}), 0), double('NaN'))"
 
-_CALL = re.compile(r"\bmyAverage\s*\(", re.IGNORECASE)
-_FLAT_CALL = re.compile(r"\bmyAverage\s*\(([^()]*)\)", re.IGNORECASE)
+# What SQL text is made of as far as calls are concerned: quoted parts and comments, which stay as they are,
+# the call's head, and parentheses.
+_PIECE = re.compile(
+    r"""(?P<opaque>'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|`(?:[^`]|``)*`|--[^\n]*|/\*.*?\*/)"""
+    r"""|(?P<call>(?<![\w`.])myAverage\s*\()|(?P<open>\()|(?P<close>\))""",
+    re.IGNORECASE | re.DOTALL,
+)
 
 
 def my_average(col: Column | str) -> Column:
     """Aggregate column: sum of the truncated values over the count of the non-null ones."""
     value = F.col(col) if isinstance(col, str) else col
-    whole = F.coalesce(value.try_cast("bigint"), value.try_cast("decimal(38,18)").try_cast("bigint"))
+    too_large = F.abs(value.try_cast("double")).between(_LIMIT, float("inf"))
+    whole = F.coalesce(
+        value.try_cast("bigint"),
+        value.try_cast("decimal(38,18)").try_cast("bigint"),
+        F.when(too_large, F.raise_error(F.lit(_PROBLEM)).cast("bigint")),
+    )
     return F.coalesce(F.sum(whole) / F.nullif(F.count(whole), F.lit(0)), F.lit(float("nan")))
 
 
@@ -30,12 +46,23 @@ def my_average_sql(expression: str) -> str:
 
 
 def expand_my_average(query: str) -> str:
-    """Replace each ``myAverage(expression)`` in SQL text; the expression holds no parentheses.
+    """Replace each ``myAverage(expression)`` in SQL text, outside quotes and comments.
 
     A function registered from Python would pull every row of a group through one task, so the
     call is written out as built-in aggregates instead.
     """
-    expanded = _FLAT_CALL.sub(lambda call: my_average_sql(call[1].strip()), query)
-    if _CALL.search(expanded):
-        raise ValueError("myAverage takes an expression without parentheses; use my_average_sql for others")
-    return expanded
+    done, at, depth, start = [], 0, 0, 0  # start: where the open call's expression begins
+    for piece in _PIECE.finditer(query):
+        if not depth and piece["call"]:
+            done.append(query[at : piece.start()])
+            depth, start = 1, piece.end()
+        elif depth and (piece["open"] or piece["call"]):
+            depth += 1
+        elif depth and piece["close"]:
+            depth -= 1
+            if not depth:
+                done.append(my_average_sql(query[start : piece.start()].strip()))
+                at = piece.end()
+    if depth:
+        raise ValueError("a call of myAverage has no closing parenthesis")
+    return "".join(done) + query[at:]

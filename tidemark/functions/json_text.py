@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -68,9 +69,12 @@ def infer_json_schema(df: DataFrame, value: str = "value") -> T.StructType:
         return _column_type(shape) or T.StructType([])
     # Lists and bare values do not parse into a row, so the reader is shown broken text for them.
     shown = F.when(_trimmed(value).startswith("{"), F.col(value).cast("string")).otherwise("{")
-    # The reader takes strings only as an RDD. They pass through Python once; parsing does not.
-    texts = df.where(has_text(value)).select(shown).rdd.map(lambda row: row[0])
-    return df.sparkSession.read.json(texts, columnNameOfCorruptRecord=CORRUPT_RECORD).schema
+    # The reader takes a dataset of strings; Python's wrapper offers only an RDD of Python strings, so the JVM's
+    # reader is called and no row passes through Python.
+    spark, texts = df.sparkSession, df.where(has_text(value)).select(shown.alias("value"))
+    strings = getattr(texts._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    reader = spark._jsparkSession.read().option("columnNameOfCorruptRecord", CORRUPT_RECORD)
+    return T.StructType.fromJson(json.loads(reader.json(strings).schema().json()))
 
 
 def _trimmed(value: str) -> Column:
