@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
 
+from tidemark.session import qualified
+
 
 def group_for(df: DataFrame, partition: str) -> DataFrame:
     """Group rows by partition value into tasks of about the advisory size.
@@ -83,12 +85,17 @@ def create_external_table(
     ``partition`` lists the columns of the directory levels, outermost first.
     """
     names = ", ".join(column.split()[0] for column in partition.split(","))
+    quoted = ".".join("`" + part.replace("`", "``") + "`" for part in table.split("."))
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {partition}) USING {fmt} "
-        f"PARTITIONED BY ({names}) LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS {quoted} ({columns}, {partition}) USING {fmt} "
+        f"PARTITIONED BY ({names}) LOCATION '{location}'"
     )
-    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-    return spark.table(table)
+    found = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted}").collect()}["Location"]
+    if qualified(spark, found) != qualified(spark, path):
+        raise ValueError(f"table {table} already lies over {found}, not over {path}")
+    spark.sql(f"ALTER TABLE {quoted} RECOVER PARTITIONS")
+    return spark.table(quoted)
 
 
 def preview(df: DataFrame, rows: int = 2) -> DataFrame:
@@ -102,7 +109,7 @@ def preview(df: DataFrame, rows: int = 2) -> DataFrame:
 def fan_out(batch: DataFrame, *sinks: Callable[[DataFrame], None]) -> None:
     """Run several sinks over one batch, in order, computing the batch once.
 
-    A cached block that is lost with its executor is computed again from the source.
+    Group rows in the sinks, not before: the plan of a kept batch is not split again at run time. A cached block that is lost with its executor is computed again from the source.
     """
     batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,8 +31,26 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set(CHECKPOINT_DIR, root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _path(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, so that two spellings of one place compare equal."""
+    found, system = _path(spark, path)
+    return system.makeQualified(found).toString().rstrip("/")
+
+
+def last_batch(spark: SparkSession, path: str) -> int:
+    """The greatest number that a file of a stream's log directory is named by; -1 without one."""
+    found, system = _path(spark, path)
+    names = [entry.getPath().getName().split(".")[0] for entry in system.listStatus(found)] if system.exists(found) else []
+    return max((int(name) for name in names if name.isdigit()), default=-1)
