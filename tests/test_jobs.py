@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import itertools
 import json
 from pathlib import Path
@@ -159,6 +160,43 @@ def test_bad_log_lines_are_kept_without_a_date(spark, out):
     assert {tuple(row) for row in back.collect()} == {("good", "2020-03-27"), ("bad", None)}
 
 
+def test_lines_that_do_not_fit_are_kept_whole(spark, out):
+    lines = ["web,A,good,2020-03-27T00:00:00,5", "web,A,bad,2020-03-27T00:00:00,12ms", "web,A", "web,A,x,2020-03-27T00:00:00,5,6"]
+    Path(out, "in").mkdir(parents=True)
+    Path(out, "in", "a.csv").write_text("\n".join(lines) + "\n")
+    given = {"input_path": f"{out}/in", "output": f"{out}/Output"}
+    with pytest.raises(Exception, match="not a log line"):
+        run(stream_logs(spark, LogStreamConfig(**given, checkpoint=f"{out}/first")))
+    run(stream_logs(spark, LogStreamConfig(**given, checkpoint=f"{out}/checkpoint", on_error="quarantine")))
+    back = spark.read.schema("_corrupt_record STRING, datepart STRING").orc(f"{out}/Output-FS-ORC")
+    assert {tuple(row) for row in back.collect()} == {(None, "2020-03-27"), *((line, None) for line in lines[1:])}
+    Path(out, "in", "b.csv").write_text(lines[0] + "\n")
+    with pytest.raises(ValueError, match="another checkpoint"):
+        stream_logs(spark, LogStreamConfig(**given, checkpoint=f"{out}/third", on_error="quarantine"))
+
+
+def test_two_streams_share_an_output(spark, topics, config, out):
+    send(spark, topics, message("a"))
+    run(stream_profiles_once(topics.stream(spark, "updates"), config))
+    send(spark, topics, message("b"))
+    other = dataclasses.replace(config, checkpoint=f"{out}/other")
+    for _ in range(2):
+        run(stream_profiles_once(topics.stream(spark, "updates"), other))
+    assert sorted(sink(spark, config, "json")) == [("a", "2020-03-30"), ("a", "2020-03-30"), ("b", "2020-03-30")]
+    assert sorted(row["user_id"] for row in profile_table(config).scan(spark).collect()) == ["a", "b"]
+
+
+def test_a_hot_date_is_split_inside_the_fan_out(spark, topics, config):
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    send(spark, topics, *[message(f"user-{i}-{i * 7919 % 100003}") for i in range(4000)])
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8k")
+    try:
+        run(stream_profiles_once(topics.stream(spark, "updates"), config))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    assert len(list(Path(f"{config.output}-ORC").glob("batch=*/datepart=2020-03-30/*.orc"))) > 1
+
+
 def test_golden_message(spark, topics, config):
     send(spark, topics, message("ada.king", user_fname="ada", user_lname="king") + " ")
     run(stream_profiles(topics.stream(spark, "updates"), config))
@@ -293,8 +331,8 @@ def test_external_table_over_replay_safe_output(spark, topics, config):
         send(spark, topics, message(user))
         run(stream_profiles_once(topics.stream(spark, "updates"), config))
     path, columns = f"{config.output}-ORC", "user_id STRING, updated_at STRING"
-    table = create_external_table(spark, "once_test", columns, path, "batch BIGINT, datepart STRING")
-    found = sorted((row["user_id"], row["batch"], row["datepart"]) for row in table.collect())
+    table = create_external_table(spark, "once_test", columns, path, "batch STRING, datepart STRING")
+    found = sorted((row["user_id"], int(row["batch"].rsplit("-", 1)[1]), row["datepart"]) for row in table.collect())
     assert found == [("a", 0, "2020-03-30"), ("b", 1, "2020-03-30")]
 
 

@@ -37,10 +37,15 @@ def _checkpoint(spark: SparkSession, properties: Properties, purpose: str) -> st
     return properties.get("checkpointDirectory") or scratch_dir(spark, purpose)
 
 
+# What a micro-batch takes unless batch.limit says otherwise, so that a backlog is not kept in one batch.
+FILES_PER_BATCH, RECORDS_PER_BATCH = 1_000, 10_000_000
+
+
 def _records(spark: SparkSession, properties: Properties, checkpoint: str, topic: str | None = None):
     config = from_properties(TopicConfig, properties)
     topics = open_topics(config)
-    return topics.stream(spark, topic or config.topics, config.starting, checkpoint, config.batch_limit)
+    limit = config.batch_limit or (FILES_PER_BATCH if config.directory else RECORDS_PER_BATCH)
+    return topics.stream(spark, topic or config.topics, config.starting, checkpoint, limit)
 
 
 def file_batch(spark: SparkSession, properties: Properties) -> None:
@@ -77,7 +82,9 @@ def profile_show(spark: SparkSession, properties: Properties) -> None:
 def topic_copy(spark: SparkSession, properties: Properties) -> None:
     """Source topic to sink topic. A sink topic in a directory gets ``topic.directory`` + ``-sink``."""
     config = from_properties(TopicConfig, properties)
-    checkpoint = _checkpoint(spark, properties, "topic-copy")
+    checkpoint = properties.get("checkpointDirectory")
+    if not checkpoint:
+        raise ValueError("topic-copy needs the property 'checkpointDirectory': a copy goes on where the last one ended")
     sink = FileTopics(f"{config.directory}-sink", config.partitions) if config.directory else open_topics(config)
     records = _records(spark, properties, checkpoint, config.source_topic)
     run(pass_through(records, sink, config.sink_topic, checkpoint, int(properties.get("micro.batch.interval", 5))))
@@ -86,8 +93,6 @@ def topic_copy(spark: SparkSession, properties: Properties) -> None:
 def produce(spark: SparkSession, properties: Properties) -> None:
     """Send the configured message."""
     config = from_properties(TopicConfig, properties)
-    if config.message is None:
-        raise ValueError("produce needs the property 'message'")
     rows = spark.createDataFrame([(config.key, config.message)], "key STRING, value STRING")
     open_topics(config).publish(as_records(rows, config.topics[0], "key", F.col("value")))
 

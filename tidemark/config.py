@@ -82,6 +82,13 @@ class LogStreamConfig:
     rebalance: bool = _set("rebalance", True, _flag)
 
 
+# Fixed value: what is sent when no message is configured.
+DEFAULT_MESSAGE = (
+    '{"user_fname":"sunil", "user_lname":"miriyala", "user_id":"sunil.miriyala", '
+    '"updated_at":"2020-03-22 14:15:16.000", "modified_fields":[{"address":"new value"}]} '
+)
+
+
 @dataclass(frozen=True)
 class TopicConfig:
     """Where topics live: a Kafka cluster, or a shared directory when ``topic.directory`` is set."""
@@ -97,7 +104,7 @@ class TopicConfig:
     batch_limit: int | None = _set("batch.limit", None, int)  # files of a directory, records of Kafka
     partitions: int = _set("topic.partitions", 2, int)
     key: str | None = _set("topic.key", None)
-    message: str | None = _set("message", None)
+    message: str = _set("message", DEFAULT_MESSAGE)
     source_topic: str = _set("source.topic", "SourceTopic")
     sink_topic: str = _set("sink.topic", "SinkTopic")
 

@@ -23,21 +23,23 @@ _TOKEN = re.compile(r"'(?P<quoted>(?:[^']|'')*)'|(?P<letters>([A-Za-z])\3*)|(?P<
 _FIXED_FIELD = re.compile(r"yyyy|MM|dd|kk|HH|mm|ss|S+")
 
 
-def _layout(pattern: str) -> tuple[int, int] | None:
-    """Text width and 1-based day position, or None when some field has no fixed width."""
-    width, day_at = 0, None
+def _layout(pattern: str) -> tuple[int, int, int | None] | None:
+    """Text width and 1-based positions of day and clock hour, or None when some field has no fixed width."""
+    width, day_at, hour_at = 0, None, None
     for token in _TOKEN.finditer(pattern):
         if token["letters"]:
             if not _FIXED_FIELD.fullmatch(token["letters"]):
                 return None
             if token["letters"] == "dd":
                 day_at = width + 1
+            if token["letters"] == "kk":
+                hour_at = width + 1
             width += len(token["letters"])
         elif token["other"]:
             width += len(token["other"])
         else:
             width += len(token["quoted"].replace("''", "'")) or 1
-    return None if day_at is None else (width, day_at)
+    return None if day_at is None else (width, day_at, hour_at)
 
 
 def _parse(text: Column, pattern: str) -> Column:
@@ -60,7 +62,7 @@ def date_part(col: Column | str, pattern: str = LOG_DATE_PATTERN, on_error: str
     parsed = _parse(text, pattern)
     layout = _layout(pattern)
     if layout:
-        width, day_at = layout
+        width, day_at, _ = layout
         first_of_month = _parse(F.overlay(text, F.lit("01"), day_at, 2), pattern)
         month_end = F.when(F.substring(text, day_at, 2).isin("29", "30", "31"), F.last_day(first_of_month))
         parsed = F.when(F.length(text) == width, F.coalesce(parsed, month_end))
@@ -71,6 +73,19 @@ def date_part(col: Column | str, pattern: str = LOG_DATE_PATTERN, on_error: str
     return result
 
 
+def date_time(col: Column | str, pattern: str = UPDATE_DATE_PATTERN) -> Column:
+    """The moment a date-time text means, without a zone, as lenient as ``date_part``; null if it does not parse."""
+    text = (F.col(col) if isinstance(col, str) else col).cast("string")
+    day, layout = date_part(text, pattern, "null"), _layout(pattern)
+    if layout:
+        _, day_at, hour_at = layout
+        text = F.overlay(text, F.substring(day, 9, 2), day_at, 2)
+        if hour_at:
+            hour = F.substring(text, hour_at, 2)
+            text = F.overlay(text, F.when(hour == "24", "00").otherwise(hour), hour_at, 2)
+    return F.when(day.isNotNull(), F.to_timestamp_ntz(text, F.lit(pattern.replace("kk", "HH"))))
+
+
 def add_date_part(
     df: DataFrame, source: str, pattern: str = LOG_DATE_PATTERN, on_error: str = "fail", name: str = "datepart"
 ) -> DataFrame:

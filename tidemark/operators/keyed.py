@@ -1,9 +1,10 @@
 """Tables with one row per key, where a later write of a key replaces the earlier one.
 
-A write adds only its own rows, as one ``put=<batch id>`` directory; reading keeps the greatest row
-of each key by (ordering columns, batch id). A greatest row does not depend on how often or in what
+A write adds only its own rows, as one ``put=<writer>-<batch id>`` directory; reading keeps the greatest row
+of each key by (ordering columns, batch id, writer). A greatest row does not depend on how often or in what
 order rows were added, so replaying any batch, old or new, changes nothing, and no write ever
-rewrites the table. The cost of a write follows the batch, not the table.
+rewrites the table. The cost of a write follows the batch, not the table. Writers whose batch ids are counted
+apart, such as two streams, need names of their own: the same name and batch id replaces that put.
 """
 
 from __future__ import annotations
@@ -80,7 +81,7 @@ class Catalog:
 class KeyedTable:
     """A keyed table in a directory. ``ordering`` names columns that tell the newer of two rows.
 
-    Without ordering columns the greater batch id wins, which is arrival order.
+    Without ordering columns the greater batch id wins, which is one writer's arrival order.
     """
 
     path: str
@@ -93,7 +94,8 @@ class KeyedTable:
     def _order(self) -> T.StructType:
         """What rows of one key are compared by; every row carries the id of its batch."""
         given = [T.StructField(f"_order_{name}", T.DataType.fromDDL(kind)) for name, kind in self.ordering]
-        return T.StructType([*given, T.StructField("_order_batch", T.LongType())])
+        written = [T.StructField("_order_batch", T.LongType()), T.StructField("_order_writer", T.StringType())]
+        return T.StructType([*given, *written])
 
     @property
     def _layout(self) -> T.StructType:
@@ -104,17 +106,20 @@ class KeyedTable:
         spark.createDataFrame([], self._layout).write.mode("ignore").parquet(f"{self.path}/{self._BASE}")
         return self
 
-    def upsert(self, df: DataFrame, batch_id: int) -> None:
-        """Put every row of ``df``. The same batch id again replaces that batch; a null key fails."""
+    def upsert(self, df: DataFrame, batch_id: int, writer: str = "") -> None:
+        """Put every row of ``df``. The same writer's batch id again replaces that batch; a null key fails."""
         if batch_id < 0:
             raise ValueError("batch ids start at 0")
         self.create(df.sparkSession)
         order = [F.col(name).cast(kind).alias(f"_order_{name}") for name, kind in self.ordering]
-        rows = self.catalog.project(df, *order, F.lit(batch_id).cast("long").alias("_order_batch"))
+        put = [F.lit(batch_id).cast("long").alias("_order_batch"), F.lit(writer).alias("_order_writer")]
+        rows = self.catalog.project(df, *order, *put)
         key = F.col(self.catalog.key)
         kind = self.catalog.schema[self.catalog.key].dataType
         checked = F.coalesce(key, F.raise_error(F.lit(f"null row key for {self.catalog.name}")).cast(kind))
-        rows.withColumn(self.catalog.key, checked).write.mode("overwrite").parquet(f"{self.path}/put={batch_id}")
+        rows.withColumn(self.catalog.key, checked).write.mode("overwrite").parquet(
+            f"{self.path}/put={writer + '-' if writer else ''}{batch_id}"
+        )
 
     def next_batch(self, spark: SparkSession) -> int:
         """The id after the last batch written."""

@@ -11,22 +11,27 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import LogBatchConfig, LogStreamConfig, ProfileStreamConfig
 from tidemark.functions.aggregates import my_average
-from tidemark.functions.dates import add_date_part, date_part
+from tidemark.functions.dates import UPDATE_DATE_PATTERN, add_date_part, date_part, date_time
 from tidemark.functions.json_text import CORRUPT_RECORD, has_text, parse_declared, parse_inferred
 from tidemark.operators.keyed import LOG_AGG_CATALOG, USER_PROFILE_CATALOG, Catalog, KeyedTable, run_key
 from tidemark.operators.sinks import fan_out, group_for, require_avro, write_avro, write_partitioned, write_text
 from tidemark.schemas import APP_LOG, PROFILE_UPDATE
 from tidemark.sources.logs import parse_log_lines, read_logs, stream_lines
 from tidemark.streaming.offsets import offset_ranges
-from tidemark.streaming.run import console, each_batch, write_stream
+from tidemark.streaming.run import console, each_batch, write_stream, writer_of
 
 QUARANTINE = "quarantine"
 
 LOG_AGG = Catalog.parse(LOG_AGG_CATALOG)
 USER_PROFILE = Catalog.parse(USER_PROFILE_CATALOG)
 
-# The newer of two updates of a user: by time, then by topic position.
-PROFILE_ORDER = (("updated_at", "string"), ("partition", "int"), ("offset", "long"))
+# The newer of two updates of a user: by the time its text means, then by the text and the topic position.
+UPDATE_TIME = "_update_time"
+PROFILE_ORDER = ((UPDATE_TIME, "timestamp_ntz"), ("updated_at", "string"), ("partition", "int"), ("offset", "long"))
+
+
+def with_update_time(updates: DataFrame, pattern: str = UPDATE_DATE_PATTERN) -> DataFrame:
+    return updates.withColumn(UPDATE_TIME, date_time("updated_at", pattern))
 
 
 def _date_errors(on_error: str) -> str:
@@ -94,11 +99,19 @@ def batch_logs_keyed(spark: SparkSession, config: LogBatchConfig, batch_id: int
 def stream_logs(spark: SparkSession, config: LogStreamConfig, interval: int | None = None) -> StreamingQuery:
     """New log files to date-partitioned ORC, each line exactly once.
 
-    With ``on_error=quarantine`` lines whose date does not parse are kept under the null date.
+    A line that does not fit the schema (a number that is none, too few or too many fields) or whose date does not
+    parse stops the job. With ``on_error=quarantine`` it is kept under the null date, with its text in ``_corrupt_record``
+    if it is the fields that do not fit.
     """
     lines = stream_lines(spark, config.input_path, config.batch_limit)
-    logs = parse_log_lines(lines, header=config.header)
-    enriched = add_date_part(logs, "date", config.date_pattern, _date_errors(config.on_error))
+    logs = parse_log_lines(lines, header=config.header, corrupt=CORRUPT_RECORD)
+    day = date_part("date", config.date_pattern, _date_errors(config.on_error))
+    broken = F.col(CORRUPT_RECORD)
+    if config.on_error == "fail":
+        problem = F.raise_error(F.concat(F.lit("not a log line: "), broken)).cast("string")
+        enriched = logs.withColumn("datepart", F.when(broken.isNull(), day).otherwise(problem)).drop(CORRUPT_RECORD)
+    else:
+        enriched = logs.withColumn("datepart", F.when(broken.isNull(), day))
     if config.rebalance:
         enriched = group_for(enriched, "datepart")
     return write_stream(enriched, f"{config.output}-FS-ORC", "orc", config.checkpoint, interval)
@@ -122,10 +135,13 @@ def write_profile_batch(
     """Parse one micro-batch and write it to all sinks.
 
     What is needed of the topic record travels along as one struct, so that message fields of any
-    name fit beside it. ``replay_safe`` gives each batch its own directory per sink and overwrites it on a replay.
+    name fit beside it. ``replay_safe`` gives each batch its own directory per sink and overwrites it on a replay;
+    the directory is named by the stream's id and the batch's, so another stream or a new checkpoint adds to the output.
     With ``inferred`` a record without text is no message, as for the JSON reader; its position
     is still reported.
     """
+    writer = writer_of(batch)
+    batch_name = f"{writer}-{batch_id}" if writer else str(batch_id)
     wanted = ["topic", "partition", "offset"]
     if not replay_safe or config.on_error == QUARANTINE:
         wanted.append("value")  # some sink writes the text itself
@@ -147,7 +163,7 @@ def write_profile_batch(
     mode = "overwrite" if replay_safe else "append"
 
     def target(kind: str, own_directory: bool = replay_safe) -> str:
-        return f"{config.output}-{kind}" + (f"/batch={batch_id}" if own_directory else "")
+        return f"{config.output}-{kind}" + (f"/batch={batch_name}" if own_directory else "")
 
     def archive(df: DataFrame) -> None:
         raw = df.select("_record.value")
@@ -158,7 +174,7 @@ def write_profile_batch(
 
     def average(df: DataFrame) -> None:
         timed = df.where(usable).withColumn("response_time", F.rand(config.seed))
-        result = timed.agg(my_average("response_time").alias("avg_response_time"))
+        result = timed.agg(my_average("response_time").alias("avg_response_time"), F.count("*").alias("n"))
         result.write.mode("overwrite").parquet(target("AVERAGE", True))
 
     def quarantine(df: DataFrame) -> None:
@@ -168,13 +184,14 @@ def write_profile_batch(
     def files(df: DataFrame, fmt: str) -> None:
         rows = df.where(usable).drop("_record", CORRUPT_RECORD)
         if fmt == "avro":
-            write_avro(rows, target("AVRO"), config.record_name, config.record_namespace, mode=mode, rebalance=False)
+            write_avro(rows, target("AVRO"), config.record_name, config.record_namespace, mode=mode)
         else:
-            write_partitioned(rows, target(fmt.upper()), fmt, mode=mode, rebalance=False)
+            write_partitioned(rows, target(fmt.upper()), fmt, mode=mode)
 
     def keyed(df: DataFrame) -> None:
         position = {name: F.col(f"_record.{name}") for name in ("partition", "offset")}
-        profile_table(config).upsert(df.where(usable).withColumns(position), batch_id)
+        rows = with_update_time(df.where(usable).withColumns(position), config.date_pattern)
+        profile_table(config).upsert(rows, batch_id, writer)
 
     sinks = [positions] if replay_safe else [archive]
     sinks.append(average)
@@ -182,8 +199,7 @@ def write_profile_batch(
     sinks.append(keyed)
     if config.on_error == QUARANTINE:
         sinks.append(quarantine)
-    # Grouped by date once for all file sinks, before the batch is kept.
-    fan_out(group_for(enriched, "datepart") if config.formats else enriched, *sinks)
+    fan_out(enriched, *sinks)  # each file sink groups by date for itself, which splits a hot date
 
 
 def _start_profiles(

@@ -6,6 +6,9 @@ it is also a profile update of its user.
 
 from __future__ import annotations
 
+import contextlib
+import dataclasses
+import io
 import json
 from collections.abc import Callable
 
@@ -25,6 +28,7 @@ from tidemark.functions.dates import (
 from tidemark.functions.json_text import json_field, json_value, parse_declared, parse_inferred
 from tidemark.operators.keyed import Catalog, KeyedTable, content_key, run_key
 from tidemark.operators.sinks import create_external_table, write_partitioned, write_text
+from tidemark.operators.sinks import preview as first_rows
 from tidemark.plans.jobs import (
     PROFILE_ORDER,
     USER_PROFILE,
@@ -35,6 +39,7 @@ from tidemark.plans.jobs import (
     stream_logs,
     stream_profiles,
     stream_profiles_once,
+    with_update_time,
     write_profile_batch,
 )
 from tidemark.schemas import APP_LOG, PROFILE_UPDATE, TOPIC_RECORD
@@ -117,7 +122,7 @@ def csv_logs(spark: SparkSession, sf_dir: str, whole_times: bool = False) -> str
     return path
 
 
-def update_records(events: DataFrame) -> DataFrame:
+def update_records(events: DataFrame, updated_at: Column | None = None) -> DataFrame:
     """Profile updates as topic records; works on the table and on a stream of it."""
     change = F.array(F.struct(F.concat(F.lit("event "), "event_id").alias("address")))
     user = F.concat(F.lit("user."), "user_id")
@@ -126,7 +131,7 @@ def update_records(events: DataFrame) -> DataFrame:
             F.col("event_type").alias("user_fname"),
             F.concat(F.lit("k"), F.get_json_object("props", "$.k")).alias("user_lname"),
             user.alias("user_id"),
-            F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("updated_at"),
+            (F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS") if updated_at is None else updated_at).alias("updated_at"),
             change.alias("modified_fields"),
         )
     )
@@ -212,7 +217,9 @@ def binary_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, event_type, props FROM events ORDER BY event_id LIMIT 2")
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first two rows; the limit is the feature."""
-    return table(spark, sf_dir, "events").select("event_id", "event_type", "props").orderBy("event_id").limit(2)
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", "props").orderBy("event_id")
+    with contextlib.redirect_stdout(io.StringIO()):
+        return first_rows(rows)
 
 
 # --- aggregates -------------------------------------------------------------------------------
@@ -248,11 +255,29 @@ def my_average_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(expand_my_average(text))
 
 
-@query("SELECT DISTINCT CAST(0 AS DOUBLE) AS avg_response_time FROM {updates}")
+@query(
+    "SELECT module, sum(CAST(trunc(coalesce(response_time, 0)) AS BIGINT)) / count(*) AS avg_response_time, "
+    "'myAverage(x)' AS note FROM {logs} GROUP BY module"
+)
+def my_average_in_sql_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls with parentheses inside are written out; quoted text and comments that name the function stay."""
+    logs(spark, sf_dir).createOrReplaceTempView("app_logs")
+    text = """SELECT module, myAverage(coalesce(response_time, (0))) AS avg_response_time, /* myAverage( */
+        'myAverage(x)' AS note FROM app_logs GROUP BY module"""
+    return spark.sql(expand_my_average(text))
+
+
+@query(
+    "SELECT datepart, count(DISTINCT user_id) AS users, count(*) AS n, CAST(0 AS DOUBLE) AS avg_response_time "
+    "FROM {updates} GROUP BY datepart"
+)
 def random_metric_average(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Random numbers below one, each cut to zero before it is averaged."""
+    """Random numbers below one, each cut to zero before it is averaged, beside the parsed messages of each day."""
     rows = parse_declared(updates(spark, sf_dir), PROFILE_UPDATE).withColumn("response_time", F.rand(7))
-    return rows.agg(my_average("response_time").alias("avg_response_time"))
+    rows = add_date_part(rows, "updated_at", UPDATE_DATE_PATTERN)
+    return rows.groupBy("datepart").agg(
+        F.count_distinct("user_id").alias("users"), F.count("*").alias("n"), my_average("response_time").alias("avg_response_time")
+    )
 
 
 @query(
@@ -461,10 +486,33 @@ def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = updates(spark, sf_dir)
     early = F.col("timestamp") < "2024-01-16"
     for batch_id, batch in enumerate((records.where(~early), records.where(early))):
-        keyed.upsert(parse_declared(batch, PROFILE_UPDATE, keep=("partition", "offset")), batch_id)
+        rows = parse_declared(batch, PROFILE_UPDATE, keep=("partition", "offset"))
+        keyed.upsert(with_update_time(rows), batch_id)
+    return keyed.scan(spark)
+
+
+def _newest_by(spark: SparkSession, sf_dir: str, updated_at: Column, pattern: str) -> DataFrame:
+    keyed = KeyedTable(scratch_dir(spark, "profiles"), USER_PROFILE, PROFILE_ORDER)
+    records = update_records(table(spark, sf_dir, "events"), updated_at)
+    rows = parse_declared(records, PROFILE_UPDATE, keep=("partition", "offset"))
+    keyed.upsert(with_update_time(rows, pattern), 0)
     return keyed.scan(spark)
 
 
+@query(LATEST_UPDATE)
+def keyed_hour_24(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hour 0 written as 24 of the same day: the newest update is told by time, not by text."""
+    hour = F.when(F.hour("ts") == 0, "24").otherwise(F.date_format("ts", "HH"))
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd "), hour, F.date_format("ts", ":mm:ss.SSS"))
+    return _newest_by(spark, sf_dir, text, UPDATE_DATE_PATTERN)
+
+
+@query(LATEST_UPDATE)
+def keyed_day_first_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates that begin with the day, whose order as text is none in time."""
+    return _newest_by(spark, sf_dir, F.date_format("ts", "dd/MM/yyyy HH:mm:ss.SSS"), "dd/MM/yyyy kk:mm:ss.SSS")
+
+
 LAST_EVENT = Catalog(
     "last_event",
     "user_id",
@@ -707,7 +755,7 @@ def stream_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile_table(config).scan(spark)
 
 
-@query("SELECT DISTINCT CAST(0 AS DOUBLE) AS avg_response_time FROM {updates}")
+@query("SELECT CAST(0 AS DOUBLE) AS avg_response_time, count(*) AS n FROM {updates}")
 def stream_batch_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The average of a random metric, once per micro-batch and without state between them."""
     config = profile_config(spark, formats=())
@@ -715,8 +763,21 @@ def stream_batch_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     for early in (True, False):
         publish_updates(topics, spark, sf_dir, early)
         run(stream_profiles(topics.stream(spark, "profile_updates", batch_limit=BATCH_FILES), config))
-    averages = spark.read.schema("avg_response_time DOUBLE").parquet(f"{config.output}-AVERAGE")
-    return averages.select("avg_response_time").distinct()
+    averages = spark.read.schema("avg_response_time DOUBLE, n BIGINT").parquet(f"{config.output}-AVERAGE")
+    return averages.agg(F.max("avg_response_time").alias("avg_response_time"), F.sum("n").alias("n"))
+
+
+@query("SELECT address, updated_at, user_fname, user_id, user_lname, datepart FROM {updates}")
+def stream_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams with checkpoints of their own write to one output, each its half of the messages."""
+    config = profile_config(spark, formats=("json",))
+    for half in (0, 1):
+        events = stream_table(spark, sf_dir, "events").where(F.col("user_id") % 2 == half)
+        own = dataclasses.replace(config, checkpoint=f"{config.checkpoint}-{half}")
+        run(stream_profiles_once(update_records(events), own))
+    kind = T.StructType([*PROFILE_UPDATE.fields[:4], T.StructField("modified_fields", T.ArrayType(T.StructType([T.StructField("address", T.StringType())])))])
+    rows = spark.read.schema(T.StructType([*kind.fields, T.StructField("datepart", T.StringType())])).json(f"{config.output}-JSON")
+    return rows.select(F.col("modified_fields")[0]["address"].alias("address"), "updated_at", "user_fname", "user_id", "user_lname", "datepart")
 
 
 @query("SELECT address, updated_at, user_fname, user_id, user_lname, datepart FROM {updates}")

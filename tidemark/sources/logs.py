@@ -37,10 +37,19 @@ def stream_lines(spark: SparkSession, path: str, batch_limit: int | None = None)
     return reader.text(path)
 
 
-def parse_log_lines(lines: DataFrame, schema: T.StructType = APP_LOG, header: bool = False) -> DataFrame:
-    """Typed log records from CSV lines; with ``header`` the lines repeating the names are left out."""
+def parse_log_lines(
+    lines: DataFrame, schema: T.StructType = APP_LOG, header: bool = False, corrupt: str | None = None
+) -> DataFrame:
+    """Typed log records from CSV lines; with ``header`` the lines repeating the names, quoted or not, are left out.
+
+    Values that do not fit are null. With ``corrupt`` the whole line stands in a column of that name if some value does
+    not fit its type or the number of fields is another.
+    """
     if header:
-        lines = lines.where(F.col("value") != ",".join(schema.names))
+        lines = lines.where(F.translate("value", '"', "") != ",".join(schema.names))
     options = {key: CSV_OPTIONS[key] for key in ("sep", "quote", "escape")}
+    if corrupt:
+        schema = T.StructType([*schema, T.StructField(corrupt, T.StringType())])
+        options["columnNameOfCorruptRecord"] = corrupt
     record = F.from_csv("value", schema.toDDL(), options)
     return lines.select(record.alias("data")).select("data.*")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.schemas import TOPIC_RECORD
+from tidemark.session import last_batch
 from tidemark.sources.topics import FileTopics, KafkaTopics
 
 
@@ -18,6 +19,11 @@ def _start(writer: DataStreamWriter, checkpoint: str, interval: int | None) -> S
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+def writer_of(batch: DataFrame) -> str:
+    """The id of the running query, which its checkpoint keeps over restarts; empty outside a stream."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
 def each_batch(
     stream: DataFrame, action: Callable[[DataFrame, int], None], checkpoint: str, interval: int | None = None
 ) -> StreamingQuery:
@@ -42,7 +48,14 @@ def write_stream(
     interval: int | None = None,
     partition: str | None = "datepart",
 ) -> StreamingQuery:
-    """Append to one file dataset; the sink's log keeps each row exactly once."""
+    """Append to one file dataset; the sink's log keeps each row exactly once.
+
+    That log counts the batches of one query. Under another checkpoint the counting starts over, and batches the log
+    already has would be skipped without a word, so such a start is refused.
+    """
+    spark = stream.sparkSession
+    if last_batch(spark, f"{path}/_spark_metadata") > last_batch(spark, f"{checkpoint}/offsets"):
+        raise ValueError(f"{path} belongs to a query with another checkpoint than {checkpoint}")
     writer = stream.writeStream.outputMode("append").format(fmt).option("path", path)
     return _start(writer.partitionBy(partition) if partition else writer, checkpoint, interval)
 
