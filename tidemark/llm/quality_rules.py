@@ -79,7 +79,7 @@ def measured(documents: DataFrame, *kept: str) -> DataFrame:
     )
     rows = rows.withColumn("n_repeat_words", covered)
     share = lambda a, b: F.coalesce(F.col(a) / F.nullif(F.col(b), F.lit(0)), F.lit(0.0))
-    return rows.select(
+    result = F.struct(
         *kept, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         share("word_chars", "n_words").alias("word_length"),
         share("n_symbols", "word_chars").alias("symbol_share"),
@@ -88,6 +88,9 @@ def measured(documents: DataFrame, *kept: str) -> DataFrame:
         share("n_capitals", "word_chars").alias("capital_share"),
         share("n_bangs", "word_chars").alias("bang_share"),
     )
+    # A filter on a result is not pushed below a generator; below these projections it would split the text anew for
+    # each element of the arrays.
+    return rows.select(F.inline(F.array(result)))
 
 
 def _counts(mask: np.ndarray, bad: np.ndarray) -> tuple[int, int]:
