@@ -24,7 +24,7 @@ from tidemark.plans.jobs import (
     write_profile_batch,
 )
 from tidemark.schemas import TOPIC_RECORD
-from tidemark.sources import FileTopics, as_records
+from tidemark.sources import RecordFiles, as_records
 from tidemark.streaming import each_batch, offset_ranges, partition_report, pass_through, run
 
 HEADER = "application,module,message,date,response_time"
@@ -35,14 +35,18 @@ def message(user, updated="2020-03-30 14:15:16.000", **more):
     return json.dumps({**given, "modified_fields": [{"address": "new value"}], **more})
 
 
+OFFSETS = itertools.count()
+
+
 def send(spark, topics, *messages):
-    rows = spark.createDataFrame([("user.id", text) for text in messages], "k STRING, v STRING")
-    topics.publish(as_records(rows, "updates", "k", F.col("v")))
+    """Add messages after those sent before, in partition 0."""
+    rows = spark.createDataFrame([("user.id", text, next(OFFSETS)) for text in messages], "k STRING, v STRING, o BIGINT")
+    topics.publish(as_records(rows, "updates", "k", F.col("v"), partition=F.lit(0), offset=F.col("o")))
 
 
 @pytest.fixture
 def topics(spark, out):
-    return FileTopics(f"{out}/topics").create(spark)
+    return RecordFiles(f"{out}/topics").create(spark)
 
 
 @pytest.fixture
@@ -373,7 +377,7 @@ def test_offset_ranges(spark):
 def test_pass_through_is_the_identity_and_takes_a_map(spark, topics, out):
     send(spark, topics, "one", "two")
     records = topics.stream(spark, "updates")
-    same, mapped = FileTopics(f"{out}/same"), FileTopics(f"{out}/mapped")
+    same, mapped = RecordFiles(f"{out}/same"), RecordFiles(f"{out}/mapped")
     for _ in range(2):
         run(pass_through(records, same, "Sink", f"{out}/c1"))
     run(pass_through(records, mapped, "Sink", f"{out}/c2", key=F.lit("k"), value=F.upper("value")))
@@ -387,7 +391,7 @@ def test_pass_through_is_the_identity_and_takes_a_map(spark, topics, out):
 
 
 def test_a_query_with_an_interval_runs_until_stopped(spark, topics, out):
-    query = pass_through(topics.stream(spark, "updates"), FileTopics(f"{out}/sink"), "Sink", f"{out}/c", interval=1)
+    query = pass_through(topics.stream(spark, "updates"), RecordFiles(f"{out}/sink"), "Sink", f"{out}/c", interval=1)
     assert not run(query, timeout=2).isActive
 
 
@@ -411,7 +415,7 @@ def test_command_line_batch(spark, log_config, out, capsys):
 def test_command_line_produce(spark, out):
     given = {"topic.directory": f"{out}/topics", "topic.name": "updates", "topic.key": "user.id", "message": message("cli")}
     main(["produce", properties(out, **given)])
-    row = FileTopics(f"{out}/topics").read(spark, "updates").first()
+    row = RecordFiles(f"{out}/topics").read(spark, "updates").first()
     assert (row["key"], row["value"]) == ("user.id", message("cli"))
 
 
@@ -441,7 +445,7 @@ def test_command_line_streams(spark, out, config, monkeypatch):
     main(["profile-stream-once", properties(out, **once)])
     assert sink(spark, config, "json") == [("cli", "2020-03-30")]
     assert Path(f"{out}/Once-OFFSETS").is_dir()
-    assert FileTopics(f"{out}/topics-sink").read(spark, "SinkTopic").count() == 1
+    assert RecordFiles(f"{out}/topics-sink").read(spark, "SinkTopic").count() == 1
     Path(out, "in").mkdir()
     Path(out, "in", "a.csv").write_text("web,A,x,2020-03-27T05:05:05,5\n")
     logs = {"file.stream.input.path": f"{out}/in", "outputDirectory": f"{out}/Logs", "checkpointDirectory": f"{out}/cl"}

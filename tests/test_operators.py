@@ -23,6 +23,7 @@ from tidemark.operators import (
     write_partitioned,
     write_text,
 )
+from tidemark.session import names_in, read_note, write_note
 
 PROFILE = Catalog.parse(USER_PROFILE_CATALOG)
 ORDER = (("updated_at", "string"), ("partition", "int"), ("offset", "long"))
@@ -131,10 +132,53 @@ def test_arrival_order_without_ordering_columns(spark, out):
     table.upsert(second, 1)
     table.upsert(first, 0)
     assert contents(spark, table) == [("u", "2", "")]
-    compacted = table.compact_to(spark, f"{out}/compacted")
-    compacted.upsert(first, 0)
-    assert contents(spark, compacted) == [("u", "2", "")]
-    assert compacted.next_batch(spark) == 2
+    assert table.compact(spark)
+    table.upsert(first, 0)
+    assert contents(spark, table) == [("u", "2", "")]
+    assert table.next_batch(spark) == 2
+
+
+def test_compaction_keeps_what_any_order_of_puts_and_replays_gives(spark, out):
+    table = KeyedTable(out, PROFILE, ORDER)
+    early, late = profiles(spark, ("u", "old", "", "2020", 0, 1)), profiles(spark, ("u", "new", "", "2021", 0, 2))
+    table.upsert(late, 0, "s1")
+    table.upsert(early, 0, "s2")
+    for _ in range(3):
+        assert table.compact(spark)
+        assert table.loose_puts(spark) == []
+        table.upsert(early, 0, "s2")  # replayed: merged by the newest base or, once that forgot it, put anew
+        table.upsert(profiles(spark, ("v", "more", "", "2020", 0, 3)), 1, "s2")
+        assert contents(spark, table) == [("u", "new", ""), ("v", "more", "")]
+    assert len([name for name in names_in(spark, out) if name.startswith("base=")]) == 2
+
+
+def test_unfinished_puts_stay_out_of_a_base(spark, out):
+    table = KeyedTable(out, PROFILE, ORDER)
+    table.upsert(profiles(spark, ("u", "a", "", "2020", 0, 1)), 0)
+    Path(out, "put=1", "_temporary").mkdir(parents=True)
+    table.compact(spark)
+    assert table.loose_puts(spark) == ["put=1"]
+    assert contents(spark, table) == [("u", "a", "")]
+
+
+def test_a_note_is_given_once(spark, out):
+    assert write_note(spark, f"{out}/0", "x")
+    assert not write_note(spark, f"{out}/0", "y")
+    assert read_note(spark, f"{out}/0") == "x"
+    assert names_in(spark, out) == ["0"]
+
+
+def test_replace_takes_every_earlier_row_away(spark, out):
+    table = KeyedTable(out, PROFILE)
+    table.upsert(profiles(spark, ("u", "1", "", None, 0, 0), ("v", "1", "", None, 0, 0)), 0)
+    for name in "23":
+        table.replace(profiles(spark, ("u", name, "", None, 0, 0)))
+        assert contents(spark, table) == [("u", name, "")]
+    with pytest.raises(Exception, match="null row key"):
+        table.replace(profiles(spark, (None, "4", "", None, 0, 0)))
+    assert contents(spark, table) == [("u", "3", "")]
+    table.upsert(profiles(spark, ("v", "5", "", None, 0, 0)), table.next_batch(spark))
+    assert contents(spark, table) == [("u", "3", ""), ("v", "5", "")]
 
 
 def test_key_order(spark, out):

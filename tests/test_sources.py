@@ -17,8 +17,8 @@ from tidemark.config import (
 from tidemark.schemas import APP_LOG, TOPIC_RECORD
 from tidemark.session import scratch_dir
 from tidemark.sources import (
-    FileTopics,
     KafkaTopics,
+    RecordFiles,
     as_records,
     infer_log_schema,
     open_topics,
@@ -91,100 +91,80 @@ def test_line_stream_takes_new_files(spark, out):
 # --- topics
 
 
-def publish(spark, topics, topic, *pairs, **given):
-    rows = spark.createDataFrame(list(pairs), "k STRING, v STRING")
-    return topics.publish(as_records(rows, topic, "k", F.col("v")), **given)
+def publish(spark, topics, topic, *records):
+    """Add records (partition, offset, value)."""
+    rows = spark.createDataFrame(list(records), "p INT, o BIGINT, v STRING")
+    topics.publish(as_records(rows, topic, value=F.col("v"), partition=F.col("p"), offset=F.col("o")))
 
 
 def values(df):
     return sorted(row["value"] for row in df.select("value").collect())
 
 
-def test_published_records_keep_key_order_and_unique_offsets(spark, out):
-    topics = FileTopics(out, partitions=3)
-    publish(spark, topics, "t", *[(f"k{i % 5}", f"{i:03}") for i in range(40)])
-    publish(spark, topics, "t", *[(f"k{i % 5}", f"{i:03}") for i in range(40, 80)])
-    rows = topics.read(spark, "t").collect()
-    assert len(rows) == 80
-    assert len({(row["partition"], row["offset"]) for row in rows}) == 80
-    for key in {row["key"] for row in rows}:
-        own = sorted((row for row in rows if row["key"] == key), key=lambda row: row["offset"])
-        assert len({row["partition"] for row in own}) == 1
-        assert [row["value"] for row in own] == sorted(row["value"] for row in own)
+def test_records_keep_their_positions(spark, out):
+    topics = RecordFiles(out)
+    publish(spark, topics, "t", (0, 7, "a"), (1, 7, "b"))
+    publish(spark, topics, "t", (0, 8, "c"))
+    rows = topics.read(spark, "t")
+    assert rows.columns == TOPIC_RECORD.names
+    assert {(row["partition"], row["offset"], row["value"]) for row in rows.collect()} == {(0, 7, "a"), (1, 7, "b"), (0, 8, "c")}
 
 
-def test_records_without_key_are_spread(spark, out):
-    topics = FileTopics(out, partitions=2)
-    publish(spark, topics, "t", *[(None, str(i)) for i in range(20)])
-    assert {row["partition"] for row in topics.read(spark, "t").select("partition").collect()} == {0, 1}
-
-
-def test_publish_id_again_replaces(spark, out):
-    topics = FileTopics(out)
-    publish(spark, topics, "t", ("a", "1"))
-    publish(spark, topics, "t", ("a", "2"), publish_id=1)
-    publish(spark, topics, "t", ("a", "2"), publish_id=1)
-    assert publish(spark, topics, "t", ("a", "3")) == 2
-    assert values(topics.read(spark, "t")) == ["1", "2", "3"]
-    with pytest.raises(ValueError, match="start at 0"):
-        publish(spark, topics, "t", ("a", "2"), publish_id=-1)
-    with pytest.raises(ValueError, match="followed by others"):
-        publish(spark, topics, "t", ("a", "2"), publish_id=1)
+def test_records_without_positions_are_refused(spark, out):
+    rows = spark.createDataFrame([("k", "v")], "k STRING, v STRING")
+    with pytest.raises(ValueError, match="offset, partition"):
+        RecordFiles(out).publish(as_records(rows, "t", "k", F.col("v")))
 
 
 def test_subscription_is_a_set_of_topics(spark, out):
-    topics = FileTopics(out)
-    publish(spark, topics, "t1", ("a", "1"))
-    publish(spark, topics, "t2", ("a", "2"))
-    publish(spark, topics, "t3", ("a", "3"))
+    topics = RecordFiles(out).create(spark)
+    for i in "123":
+        publish(spark, topics, f"t{i}", (0, 0, i))
     assert values(topics.read(spark, "t1, t3,t1")) == ["1", "3"]
     assert values(topics.read(spark, ["t2"])) == ["2"]
 
 
 def test_read_between_positions(spark, out):
-    topics = FileTopics(out, partitions=2)
-    publish(spark, topics, "t", *[(f"k{i}", f"a{i}") for i in range(10)])
+    topics = RecordFiles(out)
+    publish(spark, topics, "t", *[(i % 2, i, f"a{i}") for i in range(10)])
     middle = json.dumps(end_positions(topics.read(spark, "t")))
-    publish(spark, topics, "t", *[(f"k{i}", f"b{i}") for i in range(10)])
-    assert values(topics.read(spark, "t", starting=middle)) == [f"b{i}" for i in range(10)]
+    publish(spark, topics, "t", *[(i % 2, i, f"b{i}") for i in range(10, 20)])
+    assert values(topics.read(spark, "t", starting=middle)) == [f"b{i}" for i in range(10, 20)]
     assert values(topics.read(spark, "t", ending=middle)) == [f"a{i}" for i in range(10)]
-    assert values(topics.read(spark, "t", starting="latest")) == []
-    both_ends = json.dumps({"t": {"0": -2, "1": -1}})
-    rows = topics.read(spark, "t", starting=both_ends).collect()
-    assert {row["partition"] for row in rows} == {0}
-    assert len(topics.read(spark, "t", ending=json.dumps({"t": {"0": -1, "1": -1}})).collect()) == 20
+    assert len(topics.read(spark, "t", starting='{"t": {"0": -2, "1": 19}}').collect()) == 11
+    assert len(topics.read(spark, "t", starting='{"t": {"1": 19}}').collect()) == 11  # partition 0 isn't named
+    assert len(topics.read(spark, "t", ending='{"t": {"0": -1, "1": 1}}').collect()) == 10
+    assert len(topics.read(spark, "t", starting='{"other": {"0": 99}}').collect()) == 20
+    for given in ("latest", '{"t": {"0": -1}}'):
+        with pytest.raises(ValueError, match="end_positions"):
+            topics.read(spark, "t", starting=given)
 
 
 def test_positions_reach_the_scan(spark, out):
-    topics = FileTopics(out, partitions=2)
-    publish(spark, topics, "t", ("a", "1"))
+    topics = RecordFiles(out)
+    publish(spark, topics, "t", (0, 1, "1"))
     rows = topics.read(spark, "t", starting='{"t": {"0": 5, "1": 7}}')
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(offset,5)" in plan
+    assert "GreaterThanOrEqual(offset,5)" in plan.split("PushedFilters")[1]
     assert "Join" not in plan
 
 
-def test_stream_from_latest_survives_a_restart(spark, out):
-    topics = FileTopics(f"{out}/topics").create(spark)
-    publish(spark, topics, "t", ("a", "old"))
+def test_stream_from_a_position_survives_a_restart(spark, out):
+    topics = RecordFiles(f"{out}/topics").create(spark)
+    publish(spark, topics, "t", (0, 1, "old"))
 
     def drain():
-        records = topics.stream(spark, "t", "latest", f"{out}/checkpoint")
+        records = topics.stream(spark, "t", '{"t": {"0": 2}}')
         run(write_stream(records, f"{out}/seen", "parquet", f"{out}/checkpoint", partition=None))
         return values(spark.read.schema(TOPIC_RECORD).parquet(f"{out}/seen"))
 
     assert drain() == []
-    publish(spark, topics, "t", ("a", "while stopped"))
+    publish(spark, topics, "t", (0, 2, "while stopped"))
     assert drain() == ["while stopped"]
-    publish(spark, topics, "t", ("a", "new"))
+    publish(spark, topics, "t", (0, 3, "new"))
     assert drain() == ["new", "while stopped"]
 
 
-def test_stream_from_a_position_needs_a_checkpoint(spark, out):
-    with pytest.raises(ValueError, match="checkpoint"):
-        FileTopics(out).create(spark).stream(spark, "t", "latest")
-
-
 def test_kafka_options():
     topics = open_topics(TopicConfig(topics=("b", "a"), servers="h:1", group_id="g", client_id="c"))
     assert isinstance(topics, KafkaTopics)
@@ -200,9 +180,9 @@ def test_kafka_options():
 
 
 def test_stream_batches_are_limited(spark, out):
-    topics = FileTopics(f"{out}/topics").create(spark)
-    for value in "abc":
-        publish(spark, topics, "t", ("k", value))
+    topics = RecordFiles(f"{out}/topics").create(spark)
+    for offset, value in enumerate("abc"):
+        publish(spark, topics, "t", (0, offset, value))
     records = topics.stream(spark, "t", batch_limit=1)
     query = run(write_stream(records, f"{out}/seen", "parquet", f"{out}/checkpoint", partition=None))
     assert max(progress["numInputRows"] for progress in query.recentProgress) == 1

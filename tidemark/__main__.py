@@ -27,7 +27,7 @@ from tidemark.plans.jobs import (
     stream_profiles_once,
 )
 from tidemark.session import get_spark, scratch_dir
-from tidemark.sources.topics import FileTopics, as_records, open_topics
+from tidemark.sources.topics import RecordFiles, as_records, open_topics
 from tidemark.streaming.run import console, pass_through, run
 
 Properties = dict[str, str]
@@ -85,16 +85,17 @@ def topic_copy(spark: SparkSession, properties: Properties) -> None:
     checkpoint = properties.get("checkpointDirectory")
     if not checkpoint:
         raise ValueError("topic-copy needs the property 'checkpointDirectory': a copy goes on where the last one ended")
-    sink = FileTopics(f"{config.directory}-sink", config.partitions) if config.directory else open_topics(config)
+    sink = RecordFiles(f"{config.directory}-sink") if config.directory else open_topics(config)
     records = _records(spark, properties, checkpoint, config.source_topic)
     run(pass_through(records, sink, config.sink_topic, checkpoint, int(properties.get("micro.batch.interval", 5))))
 
 
 def produce(spark: SparkSession, properties: Properties) -> None:
-    """Send the configured message."""
+    """Send the configured message. In a directory it gets partition 0 and the time as its offset."""
     config = from_properties(TopicConfig, properties)
     rows = spark.createDataFrame([(config.key, config.message)], "key STRING, value STRING")
-    open_topics(config).publish(as_records(rows, config.topics[0], "key", F.col("value")))
+    position = {"partition": F.lit(0), "offset": F.unix_micros(F.current_timestamp())} if config.directory else {}
+    open_topics(config).publish(as_records(rows, config.topics[0], "key", F.col("value"), **position))
 
 
 def consume(spark: SparkSession, properties: Properties) -> None:

@@ -64,6 +64,7 @@ class LogBatchConfig:
     infer_schema: bool = _set("infer.schema", True, _flag)
     rebalance: bool = _set("rebalance", True, _flag)
     tables: str | None = _set("table.directory", None)  # beside the output unless given
+    row_key: str = _set("row.key", "run")  # run: a run replaces the table; content: runs add to it
 
 
 @dataclass(frozen=True)
@@ -102,7 +103,6 @@ class TopicConfig:
     client_id: str | None = _set("client.id", None)
     starting: str = _set("auto.offset.reset", "earliest")
     batch_limit: int | None = _set("batch.limit", None, int)  # files of a directory, records of Kafka
-    partitions: int = _set("topic.partitions", 2, int)
     key: str | None = _set("topic.key", None)
     message: str = _set("message", DEFAULT_MESSAGE)
     source_topic: str = _set("source.topic", "SourceTopic")
@@ -121,6 +121,8 @@ class ProfileStreamConfig:
     on_error: str = _set("on.error", "fail")
     formats: tuple[str, ...] = _set("output.formats", ("json", "orc", "avro"), _topics)
     tables: str | None = _set("table.directory", None)  # beside the output unless given
+    compact_after: int = _set("compact.after", 1000, int)  # puts of the keyed table; 0: never
+    message_schema: str | None = _set("message.schema", None)  # DDL, instead of inferring each batch's
     single_text_file: bool = _set("single.text.file", False, _flag)
     seed: int = _set("random.seed", 0, int)
     record_name: str = _set("avro.record.name", "MyAVRO")

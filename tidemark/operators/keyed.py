@@ -5,18 +5,25 @@ of each key by (ordering columns, batch id, writer). A greatest row does not dep
 order rows were added, so replaying any batch, old or new, changes nothing, and no write ever
 rewrites the table. The cost of a write follows the batch, not the table. Writers whose batch ids are counted
 apart, such as two streams, need names of their own: the same name and batch id replaces that put.
+
+Compaction merges puts into a ``base=...`` directory and then adds a note to ``_bases`` that names this base and the
+puts in it; from then on readers take the base and the other puts. Until the note is there they read as before.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import last_batch, names_in, read_note, remove, write_note
+
 # The two column catalogs.
 USER_PROFILE_CATALOG = """{
   "table": {"namespace": "default", "name": "user_profile"},
@@ -88,7 +95,8 @@ class KeyedTable:
     catalog: Catalog
     ordering: tuple[tuple[str, str], ...] = ()  # (column of the input, type), most significant first
 
-    _BASE = "put=base"  # the rows a table starts with; no batch ever replaces them
+    # The state of a table without a note: an empty base, no puts in it.
+    _START: ClassVar = {"base": "base=0", "puts": [], "next": 0, "old": None}
 
     @property
     def _order(self) -> T.StructType:
@@ -103,57 +111,98 @@ class KeyedTable:
 
     def create(self, spark: SparkSession) -> KeyedTable:
         """Make the table if it is absent."""
-        spark.createDataFrame([], self._layout).write.mode("ignore").parquet(f"{self.path}/{self._BASE}")
+        if not names_in(spark, f"{self.path}/_bases"):
+            empty = spark.createDataFrame([], self._layout)
+            empty.write.mode("ignore").parquet(f"{self.path}/{self._START['base']}")
         return self
 
-    def upsert(self, df: DataFrame, batch_id: int, writer: str = "") -> None:
-        """Put every row of ``df``. The same writer's batch id again replaces that batch; a null key fails."""
-        if batch_id < 0:
-            raise ValueError("batch ids start at 0")
-        self.create(df.sparkSession)
+    def _checked(self, df: DataFrame, batch_id: int, writer: str = "") -> DataFrame:
         order = [F.col(name).cast(kind).alias(f"_order_{name}") for name, kind in self.ordering]
         put = [F.lit(batch_id).cast("long").alias("_order_batch"), F.lit(writer).alias("_order_writer")]
         rows = self.catalog.project(df, *order, *put)
         key = F.col(self.catalog.key)
         kind = self.catalog.schema[self.catalog.key].dataType
         checked = F.coalesce(key, F.raise_error(F.lit(f"null row key for {self.catalog.name}")).cast(kind))
-        rows.withColumn(self.catalog.key, checked).write.mode("overwrite").parquet(
-            f"{self.path}/put={writer + '-' if writer else ''}{batch_id}"
-        )
+        return rows.withColumn(self.catalog.key, checked)
 
-    def next_batch(self, spark: SparkSession) -> int:
-        """The id after the last batch written."""
-        last = self.create(spark)._rows(spark).agg(F.max("_order_batch")).first()[0]
-        return 0 if last is None else last + 1
+    def upsert(self, df: DataFrame, batch_id: int, writer: str = "") -> None:
+        """Put every row of ``df``. The same writer's batch id again replaces that batch; a null key fails."""
+        if batch_id < 0:
+            raise ValueError("batch ids start at 0")
+        self.create(df.sparkSession)
+        put = f"put={writer + '-' if writer else ''}{batch_id}"
+        self._checked(df, batch_id, writer).write.mode("overwrite").parquet(f"{self.path}/{put}")
 
-    def _rows(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(self._layout).parquet(self.path)
+    def replace(self, df: DataFrame) -> None:
+        """Make ``df`` the whole table, at once: until it is written, readers find the rows there were."""
+        spark = df.sparkSession
+        batch_id = self.next_batch(spark)
+        if not self._switch(spark, self._newest_of(self._checked(df, batch_id)), self._puts(spark), batch_id + 1):
+            raise RuntimeError(f"another writer gave {self.path} a new base meanwhile")
 
-    def _newest(self, spark: SparkSession, columns: Sequence[str] | None = None) -> DataFrame:
+    def next_batch(self, spark: SparkSession) -> int:
+        """The id after the last batch written without a writer's name, told from the names of the puts."""
+        self.create(spark)
+        numbers = [put.removeprefix("put=") for put in self._puts(spark)]
+        return max([self._state(spark)["next"], *[int(number) + 1 for number in numbers if number.isdigit()]])
+
+    def _state(self, spark: SparkSession) -> dict:
+        notes = f"{self.path}/_bases"
+        newest = last_batch(spark, notes)
+        return json.loads(read_note(spark, f"{notes}/{newest}")) if newest >= 0 else self._START
+
+    def _puts(self, spark: SparkSession) -> list[str]:
+        return [name for name in names_in(spark, self.path) if name.startswith("put=")]
+
+    def loose_puts(self, spark: SparkSession) -> list[str]:
+        """The puts that are in no base."""
+        merged = set(self._state(spark)["puts"])
+        return [put for put in self._puts(spark) if put not in merged]
+
+    def _rows(self, spark: SparkSession, puts: Sequence[str] | None = None) -> DataFrame:
+        """The base and the given puts, by default all that are in no base."""
+        parts = [self._state(spark)["base"], *(self.loose_puts(spark) if puts is None else puts)]
+        return spark.read.schema(self._layout).parquet(*[f"{self.path}/{part}" for part in parts])
+
+    def _newest_of(self, rows: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         """One row per key with its ordering columns; tasks reduce each key before the shuffle."""
         key = self.catalog.key
         values = [name for name in columns or self.catalog.stored if name != key]
         greatest = F.max(F.struct(*self._order.names, *values)).alias("row")
-        return self._rows(spark).groupBy(key).agg(greatest).select(key, "row.*")
+        return rows.groupBy(key).agg(greatest).select(key, "row.*")
 
     def scan(self, spark: SparkSession, columns: Sequence[str] | None = None, ordered: bool = False) -> DataFrame:
         """All rows, in key order if ``ordered``. Only the given columns are read, besides the key."""
-        rows = self._newest(spark, columns).select(*(columns or self.catalog.stored))
+        rows = self._newest_of(self._rows(spark), columns).select(*(columns or self.catalog.stored))
         return rows.orderBy(self.catalog.key) if ordered else rows
 
-    def compact_to(self, spark: SparkSession, path: str) -> KeyedTable:
-        """Copy the merged rows to a new directory and return that table; this one is left as it is.
+    def compact(self, spark: SparkSession) -> bool:
+        """Merge the base and all finished puts into a new base; False if another writer was faster.
 
-        Later batches go to the copy. A batch that is replayed there merges as it would have here.
+        A put that is written meanwhile stays loose, and one that is replayed later merges as it would have before. What
+        the base before this one had replaced is removed: readers that began before that one are taken to be done.
         """
-        compacted = KeyedTable(path, self.catalog, self.ordering)
-        newest = self._newest(spark).select(self._layout.names)
-        newest.write.mode("errorifexists").parquet(f"{path}/{self._BASE}")
-        return compacted
+        finished = [put for put in self.loose_puts(spark) if "_SUCCESS" in names_in(spark, f"{self.path}/{put}")]
+        merged = self._state(spark)["puts"]
+        rows = self._newest_of(self._rows(spark, finished))
+        return self._switch(spark, rows, [*merged, *finished], self.next_batch(spark))
+
+    def _switch(self, spark: SparkSession, rows: DataFrame, puts: list[str], next_batch: int) -> bool:
+        before, notes = self._state(spark), f"{self.path}/_bases"
+        number = last_batch(spark, notes) + 1
+        base = f"base={number + 1}-{uuid.uuid4().hex}"
+        rows.select(self._layout.names).write.parquet(f"{self.path}/{base}")
+        gone = before["puts"]
+        left = [put for put in puts if put not in set(gone)]
+        note = {"base": base, "puts": left, "next": next_batch, "old": before["base"]}
+        switched = write_note(spark, f"{notes}/{number}", json.dumps(note))
+        for part in [*gone, *([before["old"]] if before["old"] else [])] if switched else [base]:
+            remove(spark, f"{self.path}/{part}")
+        return switched
 
 
 def run_key(df: DataFrame, name: str = "key") -> DataFrame:
-    """Add a long key that is unique within one run, with gaps; a second run uses the same keys."""
+    """Add a long key that is unique within one run, with gaps; a second run uses the same keys again."""
     return df.withColumn(name, F.monotonically_increasing_id())
 
 

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from tidemark.config import LogBatchConfig, LogStreamConfig, ProfileStreamConfig
 from tidemark.functions.aggregates import my_average
 from tidemark.functions.dates import UPDATE_DATE_PATTERN, add_date_part, date_part, date_time
 from tidemark.functions.json_text import CORRUPT_RECORD, has_text, parse_declared, parse_inferred
-from tidemark.operators.keyed import LOG_AGG_CATALOG, USER_PROFILE_CATALOG, Catalog, KeyedTable, run_key
+from tidemark.operators.keyed import LOG_AGG_CATALOG, USER_PROFILE_CATALOG, Catalog, KeyedTable, content_key, run_key
 from tidemark.operators.sinks import fan_out, group_for, require_avro, write_avro, write_partitioned, write_text
 from tidemark.schemas import APP_LOG, PROFILE_UPDATE
 from tidemark.sources.logs import parse_log_lines, read_logs, stream_lines
@@ -23,8 +25,12 @@ from tidemark.streaming.run import console, each_batch, write_stream, writer_of
 QUARANTINE = "quarantine"
 
 LOG_AGG = Catalog.parse(LOG_AGG_CATALOG)
+# The same columns under a text key.
+LOG_BY_CONTENT = Catalog("log_agg_content", LOG_AGG.key, (("key", "key", "string"), *LOG_AGG.columns[1:]))
 USER_PROFILE = Catalog.parse(USER_PROFILE_CATALOG)
 
+# The endings of output directories (-FB-ORC, -FS-ORC, -JSON, ...) are those existing users have.
+
 # The newer of two updates of a user: by the time its text means, then by the text and the topic position.
 UPDATE_TIME = "_update_time"
 PROFILE_ORDER = ((UPDATE_TIME, "timestamp_ntz"), ("updated_at", "string"), ("partition", "int"), ("offset", "long"))
@@ -80,16 +86,23 @@ def batch_logs(spark: SparkSession, config: LogBatchConfig) -> dict[str, DataFra
     }
 
 
-def batch_logs_keyed(spark: SparkSession, config: LogBatchConfig, batch_id: int | None = None) -> dict[str, DataFrame]:
+def batch_logs_keyed(spark: SparkSession, config: LogBatchConfig) -> dict[str, DataFrame]:
     """``batch_logs``, and the log lines under a generated key into the keyed log table.
 
-    The keys are unique in one run and start over in the next, so a later run puts its rows over
-    the earlier ones.
+    With ``row_key=run`` the keys are numbers that the next run uses again, so each run replaces the table as a whole.
+    With ``row_key=content`` the key is made from all columns of the line: runs add their lines, and lines that are equal
+    in every column are one row.
     """
+    if config.row_key not in ("run", "content"):
+        raise ValueError(f"row_key must be 'run' or 'content', got {config.row_key!r}")
     written = batch_logs(spark, config)
-    table = KeyedTable(_table_path(config, LOG_AGG), LOG_AGG)
-    rows = run_key(written["enriched"].select("application", "module", "message"))
-    table.upsert(rows, table.next_batch(spark) if batch_id is None else batch_id)
+    lines, cells = written["enriched"].drop("datepart"), ("application", "module", "message")
+    if config.row_key == "run":
+        table = KeyedTable(_table_path(config, LOG_AGG), LOG_AGG)
+        table.replace(run_key(lines.select(*cells)))
+    else:
+        table = KeyedTable(_table_path(config, LOG_BY_CONTENT), LOG_BY_CONTENT)
+        table.upsert(content_key(lines, lines.columns).select("key", *cells), table.next_batch(spark), uuid.uuid4().hex)
     return {**written, "keyed": table.scan(spark)}
 
 
@@ -148,6 +161,8 @@ def write_profile_batch(
     filled = has_text("value") if inferred else F.lit(True)
     packed = batch.select(F.struct(*wanted, filled.alias("is_message")).alias("_record"), "value")
     if inferred:
+        if schema is None:
+            packed = packed.persist(StorageLevel.DISK_ONLY)  # the inference reads it all, and the parse once more
         rows = parse_inferred(packed, keep=("_record",), schema=schema, skip_blank=False)
         missing = [name for name in PROFILE_UPDATE.names if name not in rows.columns]
         rows = rows.withColumns({name: F.lit(None).cast(PROFILE_UPDATE[name].dataType) for name in missing})
@@ -191,7 +206,10 @@ def write_profile_batch(
     def keyed(df: DataFrame) -> None:
         position = {name: F.col(f"_record.{name}") for name in ("partition", "offset")}
         rows = with_update_time(df.where(usable).withColumns(position), config.date_pattern)
-        profile_table(config).upsert(rows, batch_id, writer)
+        table = profile_table(config)
+        table.upsert(rows, batch_id, writer)
+        if config.compact_after and len(table.loose_puts(df.sparkSession)) >= config.compact_after:
+            table.compact(df.sparkSession)
 
     sinks = [positions] if replay_safe else [archive]
     sinks.append(average)
@@ -199,7 +217,10 @@ def write_profile_batch(
     sinks.append(keyed)
     if config.on_error == QUARANTINE:
         sinks.append(quarantine)
-    fan_out(enriched, *sinks)  # each file sink groups by date for itself, which splits a hot date
+    try:
+        fan_out(enriched, *sinks)  # each file sink groups by date for itself, which splits a hot date
+    finally:
+        packed.unpersist()
 
 
 def _start_profiles(
@@ -228,8 +249,10 @@ def stream_profiles_once(
     """Messages with a schema inferred per batch, to files and the profile table, without duplicates.
 
     Positions are reported per batch and count as read only once every sink is done. A ``schema``
-    inferred earlier keeps the columns the same in every batch, and saves the inference.
+    inferred earlier, or named in the config, keeps the columns the same in every batch, and saves the inference.
     """
+    if schema is None and config.message_schema:
+        schema = T.StructType.fromDDL(config.message_schema)
     return _start_profiles(records, config, interval, replay_safe=True, inferred=True, schema=schema)
 
 

@@ -12,11 +12,11 @@ import io
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.config import LogBatchConfig, LogStreamConfig, ProfileStreamConfig
+from tidemark.config import LogBatchConfig, LogStreamConfig, ProfileStreamConfig, from_properties, parse_properties
 from tidemark.functions.aggregates import expand_my_average, my_average
 from tidemark.functions.dates import (
     LOG_DATE_PATTERN,
@@ -45,7 +45,7 @@ from tidemark.plans.jobs import (
 from tidemark.schemas import APP_LOG, PROFILE_UPDATE, TOPIC_RECORD
 from tidemark.session import scratch_dir
 from tidemark.sources.logs import CSV_OPTIONS, read_logs
-from tidemark.sources.topics import FileTopics, as_records, end_positions
+from tidemark.sources.topics import RecordFiles, as_records, end_positions
 from tidemark.streaming.offsets import offset_ranges, partition_report
 from tidemark.streaming.run import each_batch, pass_through, run, write_stream
 
@@ -114,11 +114,12 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_logs(table(spark, sf_dir, "events"))
 
 
-def csv_logs(spark: SparkSession, sf_dir: str, whole_times: bool = False) -> str:
-    """Logs as CSV files with a header; returns their directory."""
+def csv_logs(spark: SparkSession, sf_dir: str, whole_times: bool = False, where: Column | None = None) -> str:
+    """Logs as CSV files with a header, of all events unless told which; returns their directory."""
     path = scratch_dir(spark, "csv-logs")
     timed = F.when(F.col("event_type") != "error", F.col("value").cast("bigint")) if whole_times else None
-    as_logs(table(spark, sf_dir, "events"), timed).write.options(**CSV_OPTIONS).csv(path)
+    events = table(spark, sf_dir, "events")
+    as_logs(events if where is None else events.where(where), timed).write.options(**CSV_OPTIONS).csv(path)
     return path
 
 
@@ -160,12 +161,15 @@ def event_records(events: DataFrame) -> DataFrame:
     )
 
 
-def publish_updates(topics: FileTopics, spark: SparkSession, sf_dir: str, early: bool) -> None:
+def early(first: bool) -> Column:
+    """Events of the earlier or of the later dates."""
+    is_early = F.col("ts") < "2024-01-16"
+    return is_early if first else ~is_early
+
+
+def publish_updates(topics: RecordFiles, spark: SparkSession, sf_dir: str, first: bool) -> None:
     """Add the profile updates of the earlier or the later dates to a directory topic."""
-    events = table(spark, sf_dir, "events")
-    first = F.col("ts") < "2024-01-16"
-    part = update_records(events.where(first if early else ~first))
-    topics.publish(as_records(part, "profile_updates", "key", F.col("value")))
+    topics.publish(update_records(table(spark, sf_dir, "events").where(early(first))))
 
 
 def profile_config(spark: SparkSession, **given) -> ProfileStreamConfig:
@@ -456,6 +460,17 @@ def text_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("SELECT n_name AS value FROM nation")
+def text_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A small table as one text file: only a file with all lines counts."""
+    path = scratch_dir(spark, "archive")
+    names = table(spark, sf_dir, "nation").select(F.col("n_name").alias("value")).repartition(4)
+    write_text(names, path, single_file=True)
+    lines = spark.read.text(path).withColumn("file", F.input_file_name())
+    counted = lines.withColumn("lines", F.count("*").over(Window.partitionBy("file")))
+    return counted.where(F.col("lines") == names.count()).select("value")
+
+
 @query("SELECT doc_id, text, lang FROM documents")
 def text_archive_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages with long texts stay one line each in the archive."""
@@ -543,10 +558,12 @@ def keyed_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(LAST_EVENT_SQL)
 def keyed_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A compacted table reads the same, also after another replay."""
-    compacted = last_events(spark, sf_dir).compact_to(spark, scratch_dir(spark, "last-event"))
-    compacted.upsert(table(spark, sf_dir, "events").where(F.col("ts") < "2024-01-16"), 0)
-    return compacted.scan(spark)
+    """A compacted table reads the same, also after a replay of merged puts and another compaction."""
+    keyed = last_events(spark, sf_dir)
+    for _ in range(2):
+        keyed.compact(spark)
+        keyed.upsert(table(spark, sf_dir, "events").where(early(True)), 0)
+    return keyed.scan(spark)
 
 
 LAST_TURN = """{
@@ -622,23 +639,31 @@ def content_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def topic_publish_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two topics published together and read with one subscription."""
-    topics = FileTopics(scratch_dir(spark, "topics"))
-    events = as_records(table(spark, sf_dir, "events"), "events", "user_id", F.col("props"))
-    value = json_value("o_orderkey")
-    orders = as_records(table(spark, sf_dir, "orders"), "orders", "o_custkey", value)
+    topics = RecordFiles(scratch_dir(spark, "topics"))
+    events = event_records(table(spark, sf_dir, "events"))
+    orders = as_records(
+        table(spark, sf_dir, "orders"),
+        "orders",
+        "o_custkey",
+        json_value("o_orderkey"),
+        partition=F.col("o_custkey") % 2,
+        offset=F.col("o_orderkey"),
+    )
     topics.publish(events.unionByName(orders))
     return topics.read(spark, "events,orders").select("topic", "key", "value")
 
 
-@query("SELECT CAST(user_id AS VARCHAR) AS key, props AS value FROM events WHERE ts >= '2024-01-16'")
+@query(
+    "SELECT CAST(e.user_id AS VARCHAR) AS key, e.props AS value FROM events e JOIN (SELECT user_id % 2 AS part, "
+    "max(event_id) AS last FROM events WHERE ts < '2024-01-16' GROUP BY 1) p ON e.user_id % 2 = part WHERE event_id > last"
+)
 def topic_start_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A read from per-partition positions: what was published after they were taken."""
-    topics = FileTopics(scratch_dir(spark, "topics"))
+    """A read from per-partition positions: what lies after the records that were there when they were taken."""
+    topics = RecordFiles(scratch_dir(spark, "topics"))
     events = table(spark, sf_dir, "events")
-    early = F.col("ts") < "2024-01-16"
-    topics.publish(as_records(events.where(early), "events", "user_id", F.col("props")))
+    topics.publish(event_records(events.where(early(True))))
     starting = json.dumps(end_positions(topics.read(spark, "events")))
-    topics.publish(as_records(events.where(~early), "events", "user_id", F.col("props")))
+    topics.publish(event_records(events.where(early(False))))
     return topics.read(spark, "events", starting).select("key", "value")
 
 
@@ -665,10 +690,9 @@ def task_range_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- batch jobs -------------------------------------------------------------------------------
 
 
-def log_config(spark: SparkSession, sf_dir: str) -> LogBatchConfig:
-    return LogBatchConfig(
-        input_path=csv_logs(spark, sf_dir), output=scratch_dir(spark, "log-job"), module="click", on_error="quarantine"
-    )
+def log_config(spark: SparkSession, sf_dir: str, **given) -> LogBatchConfig:
+    given = {"output": scratch_dir(spark, "log-job"), "module": "click", "on_error": "quarantine", **given}
+    return LogBatchConfig(input_path=csv_logs(spark, sf_dir, where=given.pop("where", None)), **given)
 
 
 @query("SELECT substr(date, 1, 10) AS datepart, module, count(*) AS lines FROM {logs} GROUP BY ALL")
@@ -682,12 +706,32 @@ def log_batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT application, module, message FROM {logs}")
 def log_keyed_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV logs into the keyed log table, run twice; the second run lands on the same keys."""
+    """CSV logs into the keyed log table, run twice; the second run replaces the first one's rows as a whole."""
     config = log_config(spark, sf_dir)
     batch_logs_keyed(spark, config)
     return batch_logs_keyed(spark, config)["keyed"].select("application", "module", "message")
 
 
+@query("SELECT application, module, message FROM (SELECT DISTINCT * FROM {logs})")
+def log_keyed_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over different halves, the first one again: keys made from the lines keep all rows."""
+    output = scratch_dir(spark, "log-job")
+    halves = [log_config(spark, sf_dir, output=output, row_key="content", where=early(first)) for first in (True, False)]
+    for config in (*halves, halves[0]):
+        keyed = batch_logs_keyed(spark, config)["keyed"]
+    return keyed.select("application", "module", "message")
+
+
+@query("SELECT datepart, module, count(*) AS lines FROM (SELECT substr(date, 1, 10) AS datepart, module FROM {logs}) GROUP BY ALL")
+def log_job_from_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job as a properties text sets it up; what it leaves to the defaults included."""
+    source, output = csv_logs(spark, sf_dir, whole_times=True), scratch_dir(spark, "log-job")
+    text = f"# a job\nfile.stream.input.path = {source}\noutputDirectory={output}\ninfer.schema=false\nunknown=x\n"
+    batch_logs(spark, from_properties(LogBatchConfig, parse_properties(text)))
+    rows = spark.read.schema("module STRING, datepart STRING").orc(f"{output}-FB-ORC")
+    return rows.groupBy("datepart", "module").agg(F.count("*").alias("lines"))
+
+
 # --- streams ----------------------------------------------------------------------------------
 
 
@@ -724,26 +768,57 @@ def stream_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT 'json' AS sink, datepart, count(*) AS records FROM {updates} GROUP BY datepart UNION ALL "
-    "SELECT 'orc', datepart, count(*) FROM {updates} GROUP BY datepart UNION ALL "
-    "SELECT 'text', NULL, count(*) FROM {updates} UNION ALL "
-    "SELECT 'keyed', NULL, count(DISTINCT user_id) FROM {updates}"
+    "SELECT substr(date, 1, 10) AS datepart, module, replace(date, ' ', 'T') AS date, NULL AS line FROM {logs} "
+    "WHERE module NOT IN ('error', 'view') UNION ALL "
+    "SELECT NULL, NULL, NULL, 'shop,error' FROM {logs} WHERE module = 'error' UNION ALL "
+    "SELECT NULL, NULL, NULL, 'shop,view,x,' || replace(date, ' ', 'T') || ',12ms' FROM {logs} WHERE module = 'view'"
+)
+def log_lines_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with too few fields or a number that is none are kept whole, apart from the good ones."""
+    source, output = scratch_dir(spark, "log-files"), scratch_dir(spark, "log-stream")
+    date = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    kind = F.col("event_type")
+    line = (
+        F.when(kind == "error", "shop,error")
+        .when(kind == "view", F.concat(F.lit("shop,view,x,"), date, F.lit(",12ms")))
+        .otherwise(F.concat(F.lit("shop,"), kind, F.lit(",x,"), date, F.lit(",12")))
+    )
+    write_text(table(spark, sf_dir, "events").select(line.alias("value")), source)
+    config = LogStreamConfig(
+        input_path=source, output=output, checkpoint=f"{output}-checkpoint", on_error="quarantine", batch_limit=BATCH_FILES
+    )
+    run(stream_logs(spark, config))
+    rows = spark.read.schema("module STRING, date STRING, _corrupt_record STRING, datepart STRING").orc(f"{output}-FS-ORC")
+    good = F.col("_corrupt_record").isNull()
+    return rows.select("datepart", *[F.when(good, F.col(name)).alias(name) for name in ("module", "date")], F.col("_corrupt_record").alias("line"))
+
+
+@query(
+    "SELECT sink, datepart, user_id, updated_at AS detail FROM {updates}, (VALUES ('json'), ('orc')) v(sink) UNION ALL "
+    "SELECT 'text', NULL, user_id, address FROM {updates} UNION ALL "
+    "SELECT 'average', NULL, NULL, '0.0 of ' || count(*) FROM {updates} UNION ALL "
+    "SELECT 'keyed', NULL, user_id, user_fname FROM (" + LATEST_UPDATE + ")"
 )
 def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One parsed batch to a raw archive, files and the profile table; counted per sink."""
+    """One parsed batch to a raw archive, files, the average and the profile table: the rows of each sink."""
     config = profile_config(spark)
     run(stream_profiles(update_records(stream_table(spark, sf_dir, "events")), config))
-    layout = "user_id STRING, datepart STRING"
+    layout, null = "user_id STRING, updated_at STRING, datepart STRING", F.lit(None).cast("string")
 
-    def count(df: DataFrame, sink: str, *by: Column) -> DataFrame:
-        grouped = df.groupBy(*by) if by else df.groupBy(F.lit(None).cast("string").alias("datepart"))
-        return grouped.agg(F.count("*").alias("records")).select(F.lit(sink).alias("sink"), "datepart", "records")
+    def rows(df: DataFrame, sink: str, detail: Column, user: Column | None = None, day: Column = null) -> DataFrame:
+        user = F.col("user_id") if user is None else user
+        return df.select(F.lit(sink).alias("sink"), day.alias("datepart"), user.alias("user_id"), detail.alias("detail"))
 
+    written, day = F.col("updated_at"), F.col("datepart")
+    message = lambda path: F.get_json_object("value", path)
+    average = spark.read.schema("avg_response_time DOUBLE, n BIGINT").parquet(f"{config.output}-AVERAGE")
+    total = average.agg(F.max("avg_response_time").alias("average"), F.sum("n").alias("n"))
     return (
-        count(spark.read.schema(layout).json(f"{config.output}-JSON"), "json", F.col("datepart"))
-        .unionByName(count(spark.read.schema(layout).orc(f"{config.output}-ORC"), "orc", F.col("datepart")))
-        .unionByName(count(spark.read.text(f"{config.output}-TEXT"), "text"))
-        .unionByName(count(profile_table(config).scan(spark), "keyed"))
+        rows(spark.read.schema(layout).json(f"{config.output}-JSON"), "json", written, day=day)
+        .unionByName(rows(spark.read.schema(layout).orc(f"{config.output}-ORC"), "orc", written, day=day))
+        .unionByName(rows(spark.read.text(f"{config.output}-TEXT"), "text", message("$.modified_fields[0].address"), message("$.user_id")))
+        .unionByName(rows(total, "average", F.concat_ws(" of ", F.col("average").cast("string"), "n"), null))
+        .unionByName(rows(profile_table(config).scan(spark), "keyed", F.col("user_fname")))
     )
 
 
@@ -755,16 +830,24 @@ def stream_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile_table(config).scan(spark)
 
 
-@query("SELECT CAST(0 AS DOUBLE) AS avg_response_time, count(*) AS n FROM {updates}")
+@query(
+    "SELECT CASE WHEN datepart < '2024-01-16' THEN 0 ELSE 2 END AS batch, CAST(0 AS DOUBLE) AS avg_response_time, "
+    "count(*) AS n FROM {updates} GROUP BY 1"
+)
 def stream_batch_average(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The average of a random metric, once per micro-batch and without state between them."""
+    """The average of a random metric, once per micro-batch and without state between them; a batch without records,
+    between the two, runs no sink."""
     config = profile_config(spark, formats=())
-    topics = FileTopics(scratch_dir(spark, "topics")).create(spark)
-    for early in (True, False):
-        publish_updates(topics, spark, sf_dir, early)
-        run(stream_profiles(topics.stream(spark, "profile_updates", batch_limit=BATCH_FILES), config))
-    averages = spark.read.schema("avg_response_time DOUBLE, n BIGINT").parquet(f"{config.output}-AVERAGE")
-    return averages.agg(F.max("avg_response_time").alias("avg_response_time"), F.sum("n").alias("n"))
+    topics = RecordFiles(scratch_dir(spark, "topics")).create(spark)
+    records = topics.stream(spark, "profile_updates")
+    for first in (True, None, False):
+        if first is None:
+            topics.publish(event_records(table(spark, sf_dir, "events")))  # of another topic
+        else:
+            publish_updates(topics, spark, sf_dir, first)
+        run(stream_profiles(records, config))
+    rows = spark.read.schema("avg_response_time DOUBLE, n BIGINT, batch STRING").parquet(f"{config.output}-AVERAGE")
+    return rows.select(F.substring_index("batch", "-", -1).cast("int").alias("batch"), "avg_response_time", "n")
 
 
 @query("SELECT address, updated_at, user_fname, user_id, user_lname, datepart FROM {updates}")
@@ -785,8 +868,8 @@ def stream_replay_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch fails after its sinks wrote, more messages come in, and the stream is restarted:
     every message is there once."""
     config = profile_config(spark)
-    topics = FileTopics(scratch_dir(spark, "topics")).create(spark)
-    publish_updates(topics, spark, sf_dir, early=True)
+    topics = RecordFiles(scratch_dir(spark, "topics")).create(spark)
+    publish_updates(topics, spark, sf_dir, first=True)
 
     def fail_late(batch: DataFrame, batch_id: int) -> None:
         write_profile_batch(batch, batch_id, config, replay_safe=True, inferred=True)
@@ -800,7 +883,7 @@ def stream_replay_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
         except Exception as error:
             if "lost after the sinks" not in str(error):
                 raise
-    publish_updates(topics, spark, sf_dir, early=False)
+    publish_updates(topics, spark, sf_dir, first=False)
     run(stream_profiles_once(records, config))
     layout = (
         "modified_fields ARRAY<STRUCT<address: STRING>>, updated_at STRING, user_fname STRING, "
@@ -830,16 +913,26 @@ def stream_offset_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id AS position, CAST(user_id AS VARCHAR) AS key, props AS value FROM events")
 def topic_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source topic copied to a sink topic."""
-    sink = FileTopics(scratch_dir(spark, "sink-topic"))
+    sink = RecordFiles(scratch_dir(spark, "sink-topic"))
     records = event_records(stream_table(spark, sf_dir, "events")).select(TOPIC_RECORD.names)
     run(pass_through(records, sink, "SinkTopic", f"{sink.path}-checkpoint"))
     return sink.read(spark, "SinkTopic").select(F.col("offset").alias("position"), "key", "value")
 
 
+@query("SELECT event_id AS position, CAST(user_id AS VARCHAR) AS key, props AS value FROM events")
+def topic_passthrough_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy that stops, finds more records when it starts again, and goes on where it was."""
+    source, sink = RecordFiles(scratch_dir(spark, "topics")), RecordFiles(scratch_dir(spark, "sink-topic"))
+    for first in (True, False):
+        source.publish(event_records(table(spark, sf_dir, "events").where(early(first))))
+        run(pass_through(source.stream(spark, "events"), sink, "SinkTopic", f"{sink.path}-checkpoint"))
+    return sink.read(spark, "SinkTopic").select(F.col("offset").alias("position"), "key", "value")
+
+
 @query("SELECT 'user.' || user_id AS key, upper(props) AS value FROM events")
 def topic_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source topic copied with a new key and a changed value."""
-    sink = FileTopics(scratch_dir(spark, "sink-topic"))
+    sink = RecordFiles(scratch_dir(spark, "sink-topic"))
     records = event_records(stream_table(spark, sf_dir, "events"))
     mapped = {"key": F.concat(F.lit("user."), "key"), "value": F.upper("value")}
     run(pass_through(records, sink, "SinkTopic", f"{sink.path}-checkpoint", **mapped))

@@ -1,9 +1,9 @@
 from tidemark.sources.logs import infer_log_schema, parse_log_lines, read_logs, stream_lines
-from tidemark.sources.topics import FileTopics, KafkaTopics, as_records, open_topics
+from tidemark.sources.topics import KafkaTopics, RecordFiles, as_records, open_topics
 
 __all__ = [
-    "FileTopics",
     "KafkaTopics",
+    "RecordFiles",
     "as_records",
     "infer_log_schema",
     "open_topics",

@@ -1,20 +1,19 @@
-"""Topics of keyed text records, held by Kafka or by a shared directory.
+"""Topics of keyed text records, held by Kafka or by a shared directory of record files.
 
 Both kinds give the columns of ``TOPIC_RECORD`` and the same calls, so everything downstream is
-written once. The directory form needs no connector: each publish adds Parquet files under
-``publish=<n>/topic=<name>``, and the file source turns new files into stream input.
+written once. The directory form needs no connector: its Parquet files hold whole records, whose
+partition and offset come with the data, and the file source turns new files into stream input.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.config import TopicConfig
 from tidemark.functions.json_text import json_value
@@ -23,7 +22,7 @@ from tidemark.schemas import TOPIC_RECORD
 Positions = dict[str, dict[int, int]]  # topic -> partition -> offset
 
 # The two special positions of a per-partition offset document.
-LATEST, EARLIEST = -1, -2
+LATEST, EARLIEST = -1, -2  # every offset is past EARLIEST: as a start it needs no rule
 
 
 def as_records(
@@ -32,13 +31,18 @@ def as_records(
     key: Column | str | None = None,
     value: Column | None = None,
     timestamp: Column | None = None,
+    **position: Column,
 ) -> DataFrame:
-    """Rows as ``(topic, key, value, timestamp)``; the value is the whole row as JSON by default."""
+    """Rows as ``(topic, key, value, timestamp)``; the value is the whole row as JSON by default.
+
+    ``partition`` and ``offset``, both given, make them whole records for a directory.
+    """
     return df.select(
         (F.lit(topic) if isinstance(topic, str) else topic).alias("topic"),
         (F.lit(None) if key is None else F.col(key) if isinstance(key, str) else key).cast("string").alias("key"),
         (json_value() if value is None else value).cast("string").alias("value"),
         (F.current_timestamp() if timestamp is None else timestamp).cast("timestamp").alias("timestamp"),
+        *[column.cast(TOPIC_RECORD[name].dataType).alias(name) for name, column in position.items()],
     )
 
 
@@ -57,73 +61,34 @@ def end_positions(records: DataFrame) -> Positions:
 
 
 @dataclass(frozen=True)
-class FileTopics:
-    """Topics in a shared directory."""
+class RecordFiles:
+    """Records in a shared directory, ``topic=<name>`` below it. Whoever writes them gives partitions and offsets."""
 
     path: str
-    partitions: int = 2
-
-    _LAYOUT = T.StructType([*TOPIC_RECORD, T.StructField("publish", T.LongType())])
 
-    def create(self, spark: SparkSession) -> FileTopics:
-        """Make the directory, so that a stream may start before the first publish."""
+    def create(self, spark: SparkSession) -> RecordFiles:
+        """Make the directory, so that a stream may start before the first records."""
         empty = spark.createDataFrame([], TOPIC_RECORD)
-        empty.drop("topic").write.mode("ignore").parquet(f"{self.path}/publish=-1/topic=none")
+        empty.drop("topic").write.mode("ignore").parquet(f"{self.path}/topic=__HIVE_DEFAULT_PARTITION__")
         return self
 
-    def _all(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(self._LAYOUT).parquet(self.path)
-
-    def publish(self, records: DataFrame, publish_id: int | None = None) -> int:
-        """Add records, and return the id of this publish. Giving the last id again replaces it.
-
-        Records with the same key share a topic partition. Offsets grow in input order within a
-        partition and never repeat, but leave gaps: they start after the publish before and then
-        follow the row numbering of the write tasks, which needs no shuffle and no counting.
-        """
-        spark = records.sparkSession
-        self.create(spark)
-        stored = self._all(spark)
-        newest = stored.agg(F.coalesce(F.max("publish"), F.lit(-1))).first()[0]
-        publish_id = newest + 1 if publish_id is None else publish_id
-        if publish_id < 0:
-            raise ValueError("publish ids start at 0")
-        if publish_id < newest:
-            raise ValueError(f"publish {publish_id} was followed by others, whose offsets start after its own")
-        before = newest
-        if publish_id == newest:
-            before = stored.where(F.col("publish") < publish_id).agg(F.max("publish")).first()[0]
-        last = None
-        if before is not None and before >= 0:
-            last = stored.where(F.col("publish") == before).agg(F.max("offset")).first()[0]
-        number = F.col("_number")
-        spread_by = F.when(F.col("key").isNotNull(), F.xxhash64("key")).otherwise(number)
-        (
-            records.withColumn("_number", F.monotonically_increasing_id())
-            .withColumn("partition", F.pmod(spread_by, F.lit(self.partitions)).cast("int"))
-            .withColumn("offset", number + F.lit(0 if last is None else last + 1))
-            .select(TOPIC_RECORD.names)
-            .write.partitionBy("topic")
-            .mode("overwrite")
-            .parquet(f"{self.path}/publish={publish_id}")
-        )
-        return publish_id
+    def publish(self, records: DataFrame) -> None:
+        """Add whole records as new files; nothing that is there is read."""
+        lacking = set(TOPIC_RECORD.names) - set(records.columns)
+        if lacking:
+            raise ValueError(f"records of a directory come with {', '.join(sorted(lacking))}")
+        typed = [F.col(kind.name).cast(kind.dataType) for kind in TOPIC_RECORD]
+        records.select(*typed).write.partitionBy("topic").mode("append").parquet(self.path)
 
     def read(
         self, spark: SparkSession, topics: str | Iterable[str], starting: str = "earliest", ending: str = "latest"
     ) -> DataFrame:
         """Records from ``starting`` (inclusive) to ``ending`` (exclusive).
 
-        Each is earliest, latest, or a document ``{"topic": {"partition": offset}}``.
+        Each is a document ``{"topic": {"partition": offset}}``, or the directory's first or last record.
         """
-        records = self._subscribed(self._all(spark), topics)
-        if starting == "latest":
-            return records.where(F.lit(False))
-        if starting != "earliest":
-            records = records.where(self._from(topics, self._resolve(spark, topics, starting)))
-        if ending != "latest":
-            records = records.where(self._until(topics, json.loads(ending)))
-        return records
+        records = self._subscribed(spark.read.schema(TOPIC_RECORD).parquet(self.path), topics)
+        return records.where(_from(topics, starting)).where(_until(topics, ending))
 
     def stream(
         self,
@@ -135,68 +100,51 @@ class FileTopics:
     ) -> DataFrame:
         """The records as a stream, at most ``batch_limit`` files per micro-batch.
 
-        A start other than earliest is worked out once and kept next to the checkpoint, so that a
-        restarted query goes on where it was instead of jumping to a newer end.
+        A start is a filter and stays the same over restarts, so no checkpoint has to remember it.
         """
-        reader = spark.readStream.schema(self._LAYOUT)
+        reader = spark.readStream.schema(TOPIC_RECORD)
         if batch_limit:
             reader = reader.option("maxFilesPerTrigger", batch_limit)
-        records = self._subscribed(reader.parquet(self.path), topics)
-        if starting == "earliest":
-            return records
-        if not checkpoint:
-            raise ValueError("a start other than earliest needs the checkpoint location of the query")
-        kept = f"{checkpoint.rstrip('/')}-start"
-        try:
-            positions = json.loads(spark.read.text(kept).first()[0])
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            positions = self._resolve(spark, topics, starting)
-            spark.createDataFrame([(json.dumps(positions),)], "value STRING").coalesce(1).write.text(kept)
-        return records.where(self._from(topics, positions))
+        return self._subscribed(reader.parquet(self.path), topics).where(_from(topics, starting))
 
     def _subscribed(self, records: DataFrame, topics: str | Iterable[str]) -> DataFrame:
         return records.where(F.col("topic").isin(_names(topics))).select(TOPIC_RECORD.names)
 
-    def _resolve(self, spark: SparkSession, topics: str | Iterable[str], given: str) -> Positions:
-        """A start as numbers: the special positions are replaced."""
-        if given == "latest":
-            return end_positions(self.read(spark, topics))
-        asked = json.loads(given)
-        if any(offset == LATEST for by_partition in asked.values() for offset in by_partition.values()):
-            ends = end_positions(self.read(spark, topics))
-            for topic, by_partition in asked.items():
-                for partition, offset in by_partition.items():
-                    if offset == LATEST:
-                        by_partition[partition] = ends.get(topic, {}).get(int(partition), 0)
-        return asked
-
-    def _from(self, topics: str | Iterable[str], positions: Positions) -> Column:
-        offset, start = F.col("offset"), _position(positions)
-        kept = start.isNull() | (offset >= start)
-        bounds = self._bounds(topics, positions)
-        return kept & (offset >= min(bounds)) if bounds else kept
-
-    def _until(self, topics: str | Iterable[str], positions: Positions) -> Column:
-        offset, end = F.col("offset"), _position(positions)
-        kept = end.isNull() | (end == LATEST) | (offset < end)
-        bounds = self._bounds(topics, positions)
-        return kept & (offset < max(bounds)) if bounds and LATEST not in bounds else kept
-
-    def _bounds(self, topics: str | Iterable[str], positions: Positions) -> list[int]:
-        """All positions, if every partition has one. Their minimum or maximum is a plain bound on
-        the offset, which the Parquet scan can use to skip row groups."""
-        wanted = {(topic, partition) for topic in _names(topics) for partition in range(self.partitions)}
-        given = {(topic, int(partition)): offset for topic, by in positions.items() for partition, offset in by.items()}
-        return list(given.values()) if wanted <= given.keys() else []
-
-
-def _position(positions: Positions) -> Column:
-    """The position of a record's topic partition, looked up in a constant map: no join, no shuffle."""
-    constant = F.from_json(F.lit(json.dumps(positions)), "MAP<STRING, MAP<STRING, BIGINT>>")
-    by_partition = F.try_element_at(constant, F.col("topic"))
-    return F.try_element_at(by_partition, F.col("partition").cast("string"))
+
+def _bounded(topics: str | Iterable[str], positions: Positions, within: Callable[[Column, int], Column], loosest) -> Column:
+    """Whether a record is within the position of its partition; partitions that are not named stay whole.
+
+    No join and no shuffle: one comparison per topic partition, and for each partition that all topics name one that is
+    free of the topic, which the scan can use to skip row groups.
+    """
+    names, offset, partition = _names(topics), F.col("offset"), F.col("partition")
+    kept = F.lit(True)
+    for name in names:
+        for number, position in positions.get(name, {}).items():
+            kept &= (F.col("topic") != name) | (partition != int(number)) | within(offset, position)
+    shared = set.intersection(*[set(positions.get(name, {})) for name in names]) if names else set()
+    for number in sorted(shared, key=int):
+        kept &= (partition != int(number)) | within(offset, loosest(positions[name][number] for name in names))
+    return kept
+
+
+def _from(topics: str | Iterable[str], starting: str) -> Column:
+    if starting == "earliest":
+        return F.lit(True)
+    positions = {} if starting == "latest" else json.loads(starting)
+    if not positions or any(position == LATEST for by in positions.values() for position in by.values()):
+        raise ValueError("a directory is read from its earliest record or from given offsets; see end_positions")
+    return _bounded(topics, positions, lambda offset, position: offset >= position, min)
+
+
+def _until(topics: str | Iterable[str], ending: str) -> Column:
+    if ending == "latest":
+        return F.lit(True)
+    named = {
+        topic: {number: position for number, position in by.items() if position != LATEST}
+        for topic, by in json.loads(ending).items()
+    }
+    return _bounded(topics, named, lambda offset, position: offset < position, max)
 
 
 @dataclass(frozen=True)
@@ -233,7 +181,7 @@ class KafkaTopics:
         reader = spark.readStream.format("kafka").options(**self.reader_options(topics, starting))
         return _envelope(_load(reader.option("maxOffsetsPerTrigger", batch_limit) if batch_limit else reader))
 
-    def publish(self, records: DataFrame, publish_id: int | None = None) -> None:
+    def publish(self, records: DataFrame) -> None:
         out = records.select("topic", "key", "value").write.format("kafka")
         _with_connector(out.option("kafka.bootstrap.servers", self.servers).options(**self.options).save)
 
@@ -264,9 +212,9 @@ def _envelope(records: DataFrame) -> DataFrame:
     )
 
 
-def open_topics(config: TopicConfig) -> FileTopics | KafkaTopics:
+def open_topics(config: TopicConfig) -> RecordFiles | KafkaTopics:
     if config.directory:
-        return FileTopics(config.directory, config.partitions)
+        return RecordFiles(config.directory)
     options = {"kafka.security.protocol": config.security_protocol}
     if config.group_id:
         options["kafka.group.id"] = config.group_id

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.schemas import TOPIC_RECORD
 from tidemark.session import last_batch
-from tidemark.sources.topics import FileTopics, KafkaTopics
+from tidemark.sources.topics import KafkaTopics, RecordFiles
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, interval: int | None) -> StreamingQuery:
@@ -67,7 +67,7 @@ def console(stream: DataFrame, checkpoint: str, interval: int | None = None) ->
 
 def pass_through(
     records: DataFrame,
-    sink: FileTopics | KafkaTopics,
+    sink: KafkaTopics | RecordFiles,
     topic: str,
     checkpoint: str,
     interval: int | None = None,
@@ -88,7 +88,7 @@ def pass_through(
         (F.col("key") if key is None else key).cast("string").alias("key"),
         (F.col("value") if value is None else value).cast("string").alias("value"),
     ).select(TOPIC_RECORD.names)
-    if isinstance(sink, FileTopics):
+    if isinstance(sink, RecordFiles):
         return write_stream(mapped, sink.path, "parquet", checkpoint, interval, partition="topic")
     writer = mapped.select("topic", "key", "value").writeStream.outputMode("append").format("kafka")
     writer = writer.option("kafka.bootstrap.servers", sink.servers).options(**sink.options)
