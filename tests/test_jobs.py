@@ -106,6 +106,23 @@ def test_batch_logs_set_bad_dates_aside(spark, log_config):
     assert [row["message"] for row in spark.read.orc(f"{config.output}-FB-BAD").collect()] == ["bad"]
 
 
+@pytest.mark.parametrize("infer", [True, False])
+def test_batch_lines_that_do_not_fit(spark, log_config, infer):
+    """Too few and too many fields; with a declared schema also a number that is none."""
+    bad = ["web,short", "web,ModuleA,long,2020-03-27 05:05:05,1,2"] + ([] if infer else ["web,ModuleA,x,2020-03-27 05:05:05,12ms"])
+    Path(log_config.input_path, "bad.csv").write_text("\n".join([HEADER, *bad]) + "\n")
+    config = dataclasses.replace(log_config, infer_schema=infer, date_pattern="yyyy-MM-dd kk:mm:ss")
+    with pytest.raises(Exception, match="not a log line"):
+        batch_logs(spark, config)
+    output = f"{config.output}2"
+    keyed = batch_logs_keyed(spark, dataclasses.replace(config, output=output, on_error="quarantine", row_key="content"))
+    assert keyed["enriched"].columns == [*HEADER.split(","), "datepart"]
+    assert keyed["module"].columns == HEADER.split(",")
+    assert keyed["keyed"].count() == 3
+    assert spark.read.orc(f"{output}-FB-ORC").count() == 3
+    assert sorted(row["_corrupt_record"] for row in spark.read.orc(f"{output}-FB-BAD").collect()) == sorted(bad)
+
+
 def test_nothing_is_set_aside_without_bad_dates(spark, log_config):
     config = LogBatchConfig(input_path=log_config.input_path, output=log_config.output, on_error="quarantine")
     batch_logs(spark, config)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -19,6 +20,8 @@ def group_for(df: DataFrame, partition: str) -> DataFrame:
     a plain shuffle by date would put a hot date into one task.
     """
     adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true"
+    if not adaptive:
+        warnings.warn("adaptive execution is off: rows are written ungrouped, in many files per date", stacklevel=2)
     return df.hint("rebalance", partition) if adaptive else df
 
 

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import LogBatchConfig, LogStreamConfig, ProfileStreamConfig
 from tidemark.functions.aggregates import my_average
-from tidemark.functions.dates import UPDATE_DATE_PATTERN, add_date_part, date_part, date_time
+from tidemark.functions.dates import UPDATE_DATE_PATTERN, date_part, date_time
 from tidemark.functions.json_text import CORRUPT_RECORD, has_text, parse_declared, parse_inferred
 from tidemark.operators.keyed import LOG_AGG_CATALOG, USER_PROFILE_CATALOG, Catalog, KeyedTable, content_key, run_key
 from tidemark.operators.sinks import fan_out, group_for, require_avro, write_avro, write_partitioned, write_text
@@ -53,35 +53,45 @@ def _table_path(config: LogBatchConfig | ProfileStreamConfig, catalog: Catalog)
 
 
 def read_app_logs(spark: SparkSession, config: LogBatchConfig) -> DataFrame:
-    """The logs, also as the view ``app_logs``."""
-    logs = read_logs(spark, config.input_path, None if config.infer_schema else APP_LOG)
-    logs.createOrReplaceTempView("app_logs")
-    return logs
+    """The logs, also as the view ``app_logs``, with the text of misfit lines beside them in ``_corrupt_record``."""
+    checked = read_logs(spark, config.input_path, None if config.infer_schema else APP_LOG, CORRUPT_RECORD)
+    checked.drop(CORRUPT_RECORD).createOrReplaceTempView("app_logs")
+    return checked
+
+
+def _dated(logs: DataFrame, pattern: str, on_error: str) -> DataFrame:
+    """The logs with their date partition. A line that does not fit stops the job, or has no partition."""
+    day, broken = date_part("date", pattern, _date_errors(on_error)), F.col(CORRUPT_RECORD)
+    if on_error == QUARANTINE:
+        return logs.withColumn("datepart", F.when(broken.isNull(), day))
+    problem = F.raise_error(F.concat(F.lit("not a log line: "), broken)).cast("string")
+    return logs.withColumn("datepart", F.when(broken.isNull(), day).otherwise(problem)).drop(CORRUPT_RECORD)
 
 
 def batch_logs(spark: SparkSession, config: LogBatchConfig) -> dict[str, DataFrame]:
     """Logs to date-partitioned ORC; the rows of one module and the average response time as queries.
 
-    With ``on_error=quarantine`` rows whose date does not parse go to their own dataset. The main
+    A line whose fields do not fit the schema or whose date does not parse stops the job. With ``on_error=quarantine``
+    such lines go to their own dataset, the misfits with their text in ``_corrupt_record``. The main
     write counts them on the way, so the input is read a second time only if there are any.
     """
-    logs = read_app_logs(spark, config)
+    checked = read_app_logs(spark, config)
+    logs = spark.table("app_logs")
     target = f"{config.output}-FB-ORC"
-    enriched = add_date_part(logs, "date", config.date_pattern, _date_errors(config.on_error))
+    enriched = _dated(checked, config.date_pattern, config.on_error)
     if config.on_error == QUARANTINE:
-        seen = Observation()
-        counted = enriched.observe(seen, F.count_if(F.col("datepart").isNull()).alias("bad"))
-        good = counted.where(F.col("datepart").isNotNull())
-        write_partitioned(good, target, "orc", rebalance=config.rebalance)
+        seen, is_good = Observation(), F.col("datepart").isNotNull()
+        counted = enriched.observe(seen, F.count_if(~is_good).alias("bad"))
+        bad, enriched = enriched.where(~is_good).drop("datepart"), enriched.where(is_good).drop(CORRUPT_RECORD)
+        write_partitioned(counted.where(is_good).drop(CORRUPT_RECORD), target, "orc", rebalance=config.rebalance)
         if seen.get["bad"]:
-            bad = enriched.where(F.col("datepart").isNull()).drop("datepart")
             bad.write.mode("append").orc(f"{config.output}-FB-BAD")
     else:
         write_partitioned(enriched, target, "orc", rebalance=config.rebalance)
     return {
-        "module": spark.table("app_logs").where(F.col("module") == config.module),
+        "module": logs.where(F.col("module") == config.module),
         "average": logs.agg(my_average("response_time").alias("avg_response_time")),
-        "enriched": enriched if config.on_error == "fail" else enriched.where(F.col("datepart").isNotNull()),
+        "enriched": enriched,
     }
 
 
@@ -117,13 +127,7 @@ def stream_logs(spark: SparkSession, config: LogStreamConfig, interval: int | No
     """
     lines = stream_lines(spark, config.input_path, config.batch_limit)
     logs = parse_log_lines(lines, header=config.header, corrupt=CORRUPT_RECORD)
-    day = date_part("date", config.date_pattern, _date_errors(config.on_error))
-    broken = F.col(CORRUPT_RECORD)
-    if config.on_error == "fail":
-        problem = F.raise_error(F.concat(F.lit("not a log line: "), broken)).cast("string")
-        enriched = logs.withColumn("datepart", F.when(broken.isNull(), day).otherwise(problem)).drop(CORRUPT_RECORD)
-    else:
-        enriched = logs.withColumn("datepart", F.when(broken.isNull(), day))
+    enriched = _dated(logs, config.date_pattern, config.on_error)
     if config.rebalance:
         enriched = group_for(enriched, "datepart")
     return write_stream(enriched, f"{config.output}-FS-ORC", "orc", config.checkpoint, interval)

@@ -21,9 +21,20 @@ def infer_log_schema(spark: SparkSession, path: str) -> T.StructType:
     return spark.read.options(**CSV_OPTIONS, inferSchema="true").csv(path).schema
 
 
-def read_logs(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV files of a path, directory or glob; types are inferred unless a schema is given."""
-    return spark.read.options(**CSV_OPTIONS).schema(schema or infer_log_schema(spark, path)).csv(path)
+def read_logs(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, corrupt: str | None = None
+) -> DataFrame:
+    """CSV files of a path, directory or glob; types are inferred unless a schema is given.
+
+    Values that do not fit are null. With ``corrupt`` the whole line stands in a column of that name if some value does
+    not fit its type or the number of fields is another; select it along with all others, as what is not selected is
+    not checked.
+    """
+    schema, options = schema or infer_log_schema(spark, path), CSV_OPTIONS
+    if corrupt:
+        schema = T.StructType([*schema, T.StructField(corrupt, T.StringType())])
+        options = {**options, "columnNameOfCorruptRecord": corrupt}
+    return spark.read.options(**options).schema(schema).csv(path)
 
 
 def stream_lines(spark: SparkSession, path: str, batch_limit: int | None = None) -> DataFrame:
