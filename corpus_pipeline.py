@@ -13,6 +13,7 @@ from tidemark.llm import decontam, langid, mixing, secrets, simhash
 from tidemark.llm.common import table, written
 
 MIN_LANGUAGE_SCORE = 0.3
+MIX_COLUMNS = ("size", "source_size", "target", "copy")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +23,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays, once. Rows without a doc_id are in no
-    group and stay."""
+    """Of each group of near copies the document with the smallest doc_id stays, once; rows that share a doc_id are one
+    document. Rows without a doc_id are in no group and stay."""
     groups = simhash.near_copies(docs, shingle=4, max_bits=4, seed=42)
     firsts = written(groups.filter("doc_id = component_id").select("doc_id").distinct(), "pipeline-firsts")
     kept = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -44,19 +45,21 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it (copy 1, 2, 3), with its size and its source's size and target."""
-    taken = mixing.mix(docs).filter("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-        "source_size", "target", "copies",
-    )
-    plan = written(taken.distinct(), "pipeline-mix")
-    sized = docs.withColumn("_words", mixing.word_count(F.col("text")))
+    """Each document as often as the mix takes it (copy 1, 2, 3), with its size and its source's size and target. Columns
+    of docs that have one of these names give way to them."""
+    taken = mixing.mix(docs).filter("copies > 0").select("doc_id", "source", "size", "source_size", "target", "copies")
+    plan = written(taken.distinct(), "pipeline-mix").select(F.struct("*").alias("plan"))
+    rows = docs.select(F.struct("*").alias("row"), mixing.word_count(F.col("text")).alias("words"))
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size"))
+        F.col("row.doc_id").eqNullSafe(F.col("plan.doc_id"))
+        & F.col("row.source").eqNullSafe(F.col("plan.source"))
+        & (F.col("words") == F.col("plan.size"))
     )
     # The plan has a row per document: it is merged at every size, never broadcast where a small input would allow it.
-    return sized.join(plan.hint("merge"), same).select(
-        *docs.columns, F.col("_size").alias("size"), "source_size", "target", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
+    return rows.join(plan.hint("merge"), same).select(
+        *[F.col(f"row.{c}") for c in docs.columns if c.lower() not in MIX_COLUMNS],
+        "plan.size", "plan.source_size", "plan.target",
+        F.explode(F.sequence(F.lit(1), F.col("plan.copies"))).alias("copy"),
     )
 
 
