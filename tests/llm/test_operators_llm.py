@@ -286,6 +286,12 @@ def test_decontamination_of_short_and_odd_items(spark):
     assert nothing.filter("contaminated or n_hit <> 0").count() == 0 and nothing.count() == len(docs)
 
 
+def test_an_item_that_repeats_itself_has_few_fingerprints(spark):
+    items = spark.createDataFrame([("y", ["aa"] * 5000)], "item string, words array<string>")
+    grams = decontam.Grams(6, 10)
+    assert decontam.item_fingerprints(items, grams).count() <= 2 * grams.reach + 1
+
+
 # --- 7
 
 

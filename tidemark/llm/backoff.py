@@ -87,10 +87,9 @@ def _block_rows(block: int, docs: list[tuple[int | None, bytes]], order: int, bu
     for n in range(1, order + 1):
         keys, counts, _ = _distinct(hashes, ids_, lengths_, n)
         cuts = _cuts(keys, buckets)
-        for bucket in range(buckets):
+        for bucket in np.flatnonzero(np.diff(cuts)).tolist():
             own = slice(cuts[bucket], cuts[bucket + 1])
-            if cuts[bucket + 1] > cuts[bucket]:
-                rows.append((bucket, block, n * buckets + bucket, _pack(np.diff(keys[own], prepend=np.uint64(0)), counts[own])))
+            rows.append((bucket, block, n * buckets + bucket, _pack(np.diff(keys[own], prepend=np.uint64(0)), counts[own])))
     # The empty n-gram counts all words.
     rows.append((0, block, 0, _pack(np.zeros(1, "<u8"), np.array([len(ids)], "<i8"))))
     return rows

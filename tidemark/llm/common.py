@@ -31,9 +31,11 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def row_key(*columns: Column) -> Column:
-    """A 64-bit key of a row's content; equal rows share it, nulls count. It only pairs rows whose equality does no harm."""
-    return F.xxhash64(*[F.coalesce(c.cast("string"), F.lit("\x00null")) for c in columns])
+def row_key(doc_id: Column, text: Column) -> Column:
+    """A 128-bit key of a row's id and text, as 16 bytes: equal rows share it, others don't at any size of a corpus. A null
+    text counts as empty."""
+    named = F.coalesce(doc_id.cast("string"), F.lit("null"))
+    return F.unhex(F.md5(F.concat_ws(":", F.length(named), named, F.coalesce(text, F.lit("")))))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -54,7 +54,8 @@ def _around(name: str, at: Column, grams: Grams) -> Column:
 
 
 def item_fingerprints(items: DataFrame, grams: Grams) -> DataFrame:
-    """(hash, item, context) for every position of a kept fingerprint in items (item, words)."""
+    """(hash, item, context) of the positions of kept fingerprints in items (item, words). Positions with the same words
+    around them are one row, so an item that repeats itself does not multiply a document's hits."""
     if grams.reach:
         own = items.filter(F.size("words") >= grams.need)
     else:
@@ -63,7 +64,7 @@ def item_fingerprints(items: DataFrame, grams: Grams) -> DataFrame:
     places = marked.select("item", "words", "kept", F.posexplode("hashes").alias("at", "hash"))
     return places.filter(F.array_contains("kept", F.col("hash"))).select(
         "hash", "item", _around("words", F.col("at"), grams).alias("item_context")
-    )
+    ).distinct()
 
 
 def _runs(found: DataFrame, grams: Grams) -> DataFrame:

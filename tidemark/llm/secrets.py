@@ -195,7 +195,7 @@ def scan(documents: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES
     nor missing ids share one.
     """
     text = F.coalesce("text", F.lit(""))
-    texts = documents.select(row_key(F.col("doc_id"), text).alias("key"), "doc_id", text.alias("text"))
+    texts = documents.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "doc_id", text.alias("text"))
     kinds = F.array(*[F.lit(r.kind) for r in rules])
     grouped = (
         spans(texts.select("key", "text"), rules)
@@ -220,7 +220,7 @@ def scan(documents: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES
 def redacted(documents: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES) -> DataFrame:
     """The documents with every span replaced by its kind in angle brackets (where spans overlap: the first's), and
     n_chars, if there is such a column, counted anew for these. All other documents and columns stay as they are."""
-    keyed = documents.select("*", row_key(F.col("doc_id"), F.coalesce("text", F.lit(""))).alias("_row_key"))
+    keyed = documents.select("*", row_key(F.col("doc_id"), F.col("text")).alias("_row_key"))
     found = spans(keyed.select(F.col("_row_key").alias("key"), F.coalesce("text", F.lit("")).alias("text")), rules)
     grouped = found.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("_spans"))
     grouped = written(grouped.withColumnRenamed("key", "_row_key"), "secret-spans")
