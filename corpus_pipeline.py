@@ -6,7 +6,7 @@ taken. Rows are written between stages.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, langid, mixing, secrets, simhash
@@ -47,19 +47,37 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it (copy 1, 2, 3), with its size and its source's size and target. Columns
     of docs that have one of these names give way to them."""
-    taken = mixing.mix(docs).filter("copies > 0").select("doc_id", "source", "size", "source_size", "target", "copies")
-    plan = written(taken.distinct(), "pipeline-mix").select(F.struct("*").alias("plan"))
+    plan = written(
+        mixing.planned(docs).filter("low > 0 or n_high > 0").withColumn("plan_id", F.monotonically_increasing_id()), "pipeline-mix"
+    )
     rows = docs.select(F.struct("*").alias("row"), mixing.word_count(F.col("text")).alias("words"))
-    same = (
-        F.col("row.doc_id").eqNullSafe(F.col("plan.doc_id"))
-        & F.col("row.source").eqNullSafe(F.col("plan.source"))
-        & (F.col("words") == F.col("plan.size"))
+
+    def joined(plan: DataFrame) -> DataFrame:
+        same = (
+            F.col("row.doc_id").eqNullSafe(F.col("plan.doc_id"))
+            & F.col("row.source").eqNullSafe(F.col("plan.source"))
+            & (F.col("words") == F.col("plan.size"))
+        )
+        # The plan has a row per document: it is merged at every size, never broadcast where a small input would allow it.
+        return rows.join(plan.select(F.struct("*").alias("plan")).hint("merge"), same).select("row", "plan")
+
+    # Rows of a group with two numbers of copies are numbered: in runs by their place in a written table, so that a hot
+    # group is spread, and the runs by the number of the group's rows before them.
+    place = F.monotonically_increasing_id()
+    shared = written(joined(plan.filter("n_high > 0")).select("row", "plan", place.alias("place")), "pipeline-shared")
+    shared = shared.withColumn("plan_id", F.col("plan.plan_id")).withColumn("run", F.floor(F.col("place") / mixing.RUN))
+    earlier = Window.partitionBy("plan_id").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    starts = shared.groupBy("plan_id", "run").agg(F.count("*").alias("rows"))
+    starts = starts.select("plan_id", "run", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("start"))
+    number = F.row_number().over(Window.partitionBy("plan_id", "run").orderBy("place")) + F.col("start")
+    numbered = shared.join(starts, ["plan_id", "run"]).select(
+        "row", "plan", (F.col("plan.low") + (number <= F.col("plan.n_high")).cast("int")).alias("copies")
     )
-    # The plan has a row per document: it is merged at every size, never broadcast where a small input would allow it.
-    return rows.join(plan.hint("merge"), same).select(
+    taken = joined(plan.filter("n_high = 0")).select("row", "plan", F.col("plan.low").alias("copies")).unionByName(numbered)
+    return taken.filter("copies > 0").select(
         *[F.col(f"row.{c}") for c in docs.columns if c.lower() not in MIX_COLUMNS],
         "plan.size", "plan.source_size", "plan.target",
-        F.explode(F.sequence(F.lit(1), F.col("plan.copies"))).alias("copy"),
+        F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"),
     )
 
 

@@ -406,6 +406,23 @@ def test_mixing_caps_and_null_sources(spark):
     assert found[2].target == 1020 - 60
 
 
+def test_repeated_rows_are_rounded_row_by_row(spark, sf_dir):
+    """Half of a source is one repeated row, or rows without an id: the source still meets its target."""
+    text = "x " * 10
+    docs = [(i if i < 1500 else None if s == "c" else 5000, s, text, "en", 20) for s in "abc" for i in range(3000)]
+    docs = spark.createDataFrame(docs, "doc_id bigint, source string, text string, lang string, n_chars bigint")
+    found = mixing.mix(docs)
+    sources = found.groupBy("source").agg(F.count("*").alias("n"), F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    assert [r.n for r in sources] == [3000] * 3
+    assert all(abs(r.taken - r.target) <= 100 for r in sources)
+    for r in found.groupBy("source", "doc_id").agg(F.max("copies").alias("most"), F.min("copies").alias("least")).collect():
+        assert r.most - r.least <= 1
+    mixed = corpus_pipeline.mixed(spark, docs, sf_dir)
+    assert rows(mixed.groupBy("source", "doc_id").agg(F.count("*").alias("n"))) == rows(
+        found.filter("copies > 0").groupBy("source", "doc_id").agg(F.sum("copies").alias("n"))
+    )
+
+
 # --- 10
 
 

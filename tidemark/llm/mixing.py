@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .common import SPACE_CLASS, written
 
 EXACT = "decimal(38,6)"  # sums of it don't depend on the order of the rows, so reruns agree
+RUN = 4096  # equal rows that one row of a plan is turned back into at a time
 
 
 def word_count(text: Column) -> Column:
@@ -114,11 +115,12 @@ def balance(histogram: DataFrame, sources: DataFrame, most: int, tolerance: floa
 
 
 def rounded(rows: DataFrame, most: int, per_bucket: int = 512) -> DataFrame:
-    """rows (doc_id, source, size, m, n_source, rate, ...) with copies: a whole number for each row.
+    """rows (doc_id, source, size, m, n_source, rate, ...) with low and n_high: of the m equal rows n_high have low + 1
+    copies and the others low.
 
     A source's documents are dealt into buckets of about per_bucket rows. In a bucket, from the largest to the smallest,
-    each row's words still owed are rounded to copies and the rest is carried on, so a bucket misses its expected words
-    by half its smallest document or so.
+    each group's words still owed are rounded to copies of one row and the rest is carried on, so a bucket misses its
+    expected words by half its smallest document or so, however often a row repeats.
     """
     buckets = F.greatest(F.ceil(F.col("n_source") / per_bucket), F.lit(1))
     dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size"), buckets))
@@ -126,16 +128,17 @@ def rounded(rows: DataFrame, most: int, per_bucket: int = 512) -> DataFrame:
         (-F.col("size")).alias("order"), F.col("doc_id"), F.col("size"), F.col("m"), F.col("rate"), F.col("source_size"), F.col("target")
     )
     bucket = dealt.groupBy("source", "bucket").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    kind = "struct<doc_id:bigint,size:bigint,m:bigint,source_size:bigint,target:double,copies:int>"
+    kind = "struct<doc_id:bigint,size:bigint,m:bigint,source_size:bigint,target:double,low:int,n_high:bigint>"
     start = F.struct(F.lit(0.0).alias("owed"), F.expr(f"CAST(array() AS array<{kind}>)").alias("out"))
 
     def settle(state: Column, x: Column) -> Column:
-        words = (x["size"] * x["m"]).cast("double")
-        want = state["owed"] + x["rate"] * words
-        copies = F.when(words > 0, F.least(F.greatest(F.round(want / words), F.lit(0.0)), F.lit(float(most)))).otherwise(0.0)
+        words = x["size"].cast("double")
+        want = state["owed"] + x["rate"] * words * x["m"]
+        copies = F.when(words > 0, F.least(F.greatest(F.round(want / words), F.lit(0.0)), most * x["m"].cast("double"))).otherwise(0.0)
+        low = F.floor(copies / x["m"])
         row = F.struct(
             x["doc_id"].alias("doc_id"), x["size"].alias("size"), x["m"].alias("m"), x["source_size"].alias("source_size"),
-            x["target"].alias("target"), copies.cast("int").alias("copies"),
+            x["target"].alias("target"), low.cast("int").alias("low"), (copies - low * x["m"]).cast("bigint").alias("n_high"),
         )
         return F.struct((want - copies * words).alias("owed"), F.concat(state["out"], F.array(row)).alias("out"))
 
@@ -143,13 +146,9 @@ def rounded(rows: DataFrame, most: int, per_bucket: int = 512) -> DataFrame:
     return bucket.select("source", F.inline(done))
 
 
-def mix(documents: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
-    """One row (doc_id, source, size, source_size, target, copies, taken) per document.
-
-    Size counts words (null text: 0). taken = copies * size, and no document has over `most` copies; a document without
-    words has none. Rows that repeat doc_id, source and size share one decision and stay as many rows. Null sources are a
-    source of their own, last; null doc_ids are dealt like any other. No rows give no rows; other columns aren't looked at.
-    """
+def planned(documents: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
+    """One row (source, doc_id, size, m, source_size, target, low, n_high) per group of m documents equal in the first
+    three: n_high of them are taken low + 1 times, the others low times."""
     sized = documents.select("doc_id", "source", word_count(F.col("text")).alias("size"))
     rows = written(sized.groupBy("doc_id", "source", "size").agg(F.count("*").alias("m")), "mix-rows")
     histogram = written(rows.groupBy("source", "size").agg(F.sum("m").alias("n")), "mix-histogram")
@@ -163,7 +162,28 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
     rated = rows.join(known, F.col("source").eqNullSafe(F.col("s"))).withColumn(
         "rate", F.when(full, F.lit(float(most))).otherwise(F.least(F.lit(float(most)), F.exp(F.round("dual", 9) * F.col("size") / F.col("mean"))))
     )
-    settled = rounded(rated, most).withColumn("again", F.explode(F.array_repeat(F.lit(0), F.col("m").cast("int"))))
-    return settled.select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+    return rounded(rated, most)
+
+
+def mix(documents: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
+    """One row (doc_id, source, size, source_size, target, copies, taken) per document.
+
+    Size counts words (null text: 0). taken = copies * size, and no document has over `most` copies; a document without
+    words has none. Rows that repeat doc_id, source and size stay as many rows, each rounded by itself: their copies differ
+    by one at most. Null sources are a source of their own, last; null doc_ids are dealt like any other. No rows give no
+    rows; other columns aren't looked at.
+    """
+    # A group's rows are made again in runs of RUN that are dealt out first: no task or array holds a hot key's rows.
+    share = F.explode(
+        F.array(
+            F.struct(F.col("low").alias("copies"), (F.col("m") - F.col("n_high")).alias("n")),
+            F.struct((F.col("low") + 1).alias("copies"), F.col("n_high").alias("n")),
+        )
+    )
+    shares = planned(documents, weights, most).withColumn("share", share).filter("share.n > 0")
+    last = F.floor((F.col("share.n") - 1) / RUN)
+    runs = shares.withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).repartition("source", "doc_id", "size", "share", "run")
+    length = F.least(F.lit(RUN), F.col("share.n") - F.col("run") * RUN).cast("int")
+    return runs.withColumn("again", F.explode(F.array_repeat(F.lit(0), length))).select(
+        "doc_id", "source", "size", "source_size", "target", "share.copies", (F.col("share.copies") * F.col("size")).alias("taken")
     )
