@@ -447,6 +447,19 @@ def test_attention_weighs_each_bag_alone():
     assert attention.train(bags, np.ones(5, int)) is None and rng is not None
 
 
+def test_training_texts_are_distinct_and_bounded(spark):
+    """A labelled doc_id that many rows repeat, with one text or with many, fills no sample."""
+    docs = [(i, f"text {i}") for i in range(50)] + [(7, "again " * 60)] * 300 + [(8, f"other {i}") for i in range(300)]
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)] + [(7, 1)] * 20 + [(None, 1), (9, None)], "doc_id bigint, quality int")
+    found = common.labelled_texts(docs, labels, 1000).collect()
+    assert len(found) == len(set(found)) == 50 + 1 + 300
+    assert len(common.labelled_texts(docs, labels, 40).collect()) <= 40
+    data, bad = quality_rules.training_rows(docs, labels, 1000)
+    assert len(bad) == len(data["n_words"]) == 351 and (data["n_words"] == 60).sum() == 1
+    assert len(quality_rules.training_rows(docs, labels, 40)[1]) <= 40
+
+
 # --- pipeline
 
 

@@ -13,7 +13,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample
+from .common import labelled_texts
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -153,15 +153,9 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learned(documents: DataFrame, labels: DataFrame, limit: int = 4000, most: int = 32) -> Attention | None:
-    """Fit to at most `limit` labelled documents that aren't held out (smallest hashes of their ids), of a long one to
-    `most` passages; scoring takes all passages. Labels without id or quality are left out."""
-    known = (
-        labels.filter("doc_id is not null and quality is not null")
-        .filter(~held_out(F.col("doc_id")))
-        .select(F.col("doc_id").alias("label_id"), "quality")
-    )
-    picked = hash_sample(known, limit, "label_id", "quality")
-    own = documents.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("label_id"))
+    """Fit to at most `limit` different texts of labelled documents that aren't held out (smallest hashes), of a long one
+    to `most` passages; scoring takes all passages. Labels without id or quality are left out."""
+    own = labelled_texts(documents, labels.filter(~held_out(F.col("doc_id"))), limit)
     rows = own.select("doc_id", "quality", _features(F.col("text"), most).alias("bag")).collect()
     rows.sort(key=lambda r: (r.doc_id, r.quality, bytes(r.bag)))
     bags = [np.frombuffer(bytes(r.bag), np.float32).reshape(-1, FEATURES) for r in rows]

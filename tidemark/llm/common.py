@@ -81,3 +81,16 @@ def hash_sample(rows: DataFrame, limit: int, *keys: str) -> DataFrame:
     share = min(1.0, 1.2 * limit / max(rows.count(), 1) + 1e-9)
     spot = F.pmod(F.xxhash64(*keys), F.lit(1 << 31))
     return rows.filter(spot < int(share * (1 << 31))).orderBy(F.xxhash64(*keys), *keys).limit(limit)
+
+
+def labelled_texts(documents: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
+    """(doc_id, quality, text) of at most `limit` rows: each text of a labelled document once, however often it or its
+    label is repeated. First the labels, then their texts are those with the smallest hashes. Labels without id or quality
+    are left out; a null text counts as empty."""
+    known = labels.filter("doc_id is not null and quality is not null").select(F.col("doc_id").alias("label_id"), "quality")
+    picked = hash_sample(known.distinct(), limit, "label_id", "quality")
+    own = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(picked, F.col("doc_id") == F.col("label_id"))
+    own = own.select("doc_id", "quality", "text", F.unhex(F.md5("text")).alias("text_hash"))
+    keys = ["doc_id", "quality", "text_hash"]
+    chosen = hash_sample(written(own.select(keys).distinct(), "labelled-texts"), limit, *keys)
+    return own.join(written(chosen, "labelled-sample"), keys).dropDuplicates(keys).select("doc_id", "quality", "text")

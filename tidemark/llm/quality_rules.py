@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, WORD_CLASS, hash_sample
+from .common import SPACE_CLASS, WORD_CLASS, labelled_texts
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\f\r"
@@ -168,12 +168,11 @@ def verdict(rules: list[Rule]) -> Column:
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, limit: int = 10_000) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """Statistics and badness (quality 0) of at most `limit` labels, the ones with the smallest hashes; rows without a
-    document, id or label are left out."""
-    known = labels.filter("doc_id is not null and quality is not null").select(F.col("doc_id").alias("label_id"), "quality")
-    picked = hash_sample(known, limit, "label_id", "quality")
-    own = documents.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("label_id"))
-    rows = measured(own, "quality").select("quality", *STATISTICS).collect()
+    """Statistics and badness (quality 0) of at most `limit` different texts of labelled documents, the ones with the
+    smallest hashes; rows without a document, id or label are left out."""
+    own = labelled_texts(documents, labels, limit)
+    rows = measured(own, "doc_id", "quality").select("doc_id", "quality", *STATISTICS).collect()
+    rows.sort()  # learn() splits them by their place
     data = {s: np.array([r[s] for r in rows], float) for s in STATISTICS}
     return data, np.array([r.quality == 0 for r in rows], bool)
 
