@@ -23,12 +23,20 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays, once; rows that share a doc_id are one
-    document. Rows without a doc_id are in no group and stay."""
-    groups = simhash.near_copies(docs, shingle=4, max_bits=4, seed=42)
-    firsts = written(groups.filter("doc_id = component_id").select("doc_id").distinct(), "pipeline-firsts")
-    kept = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    """Of each group of near copies one row stays: the one with the smallest doc_id, without one only if all lack it, and
+    of several the one with the smallest key of id and text. Rows are compared one by one, whatever doc_ids they share."""
+    keyed = docs.withColumn("_row_key", decontam.document_key())
+    # Orders rows as above and tells all apart that differ in id or text.
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.col("_row_key").alias("key"))
+    groups = simhash.near_copies(keyed.select(order.alias("doc_id"), "text"), shingle=4, max_bits=4, seed=42)
+    firsts = written(
+        groups.filter("doc_id = component_id").select(F.col("doc_id.key").alias("_row_key")).distinct(), "pipeline-firsts"
+    )
+    # Rows equal in id and text are one group's first together: one of them stays.
+    kept = keyed.join(firsts, "_row_key", "left_semi").groupBy("_row_key").agg(
+        F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row")
+    )
+    return kept.select("_row.*")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -463,6 +463,21 @@ def test_training_texts_are_distinct_and_bounded(spark):
 # --- pipeline
 
 
+def test_near_copies_go_by_rows(spark, sf_dir):
+    rng = random.Random(6)
+    text = lambda: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(80))
+    a, b, c, d = (text() for _ in range(4))
+    docs = [
+        (1, a), (2, a), (2, b),  # 2 holds a copy of 1 and a text of its own
+        (3, c), (3, d), (3, d),
+        (None, a), (None, c), (None, "unnamed " + (e := text())), (None, "unnamed " + e),
+    ]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in docs], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    found = corpus_pipeline.near_copies(spark, docs, sf_dir)
+    assert found.columns == docs.columns
+    assert rows(found, "doc_id", "text") == sorted([(1, a), (2, b), (3, c), (3, d), (None, "unnamed " + e)], key=repr)
+
+
 def test_pipeline_stages(spark, sf_dir, documents):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     odd = spark.createDataFrame([(-1, "12 34 !", "en", "src0", 7), (-2, None, "en", "src0", None)], docs.schema)
