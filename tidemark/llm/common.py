@@ -38,6 +38,23 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.unhex(F.md5(F.concat_ws(":", F.length(named), named, F.coalesce(text, F.lit("")))))
 
 
+def meet_classes(rows: DataFrame, classes: DataFrame, key: str) -> DataFrame:
+    """rows with the columns of their class, by inner join; classes has one row per key and its number of `rows`.
+
+    A class with over a thousandth of all these rows is one of a thousand at most: those are sent to every task, so a hot
+    key's rows stay where they are. The others meet their rows in a shuffle.
+    """
+    total = classes.agg(F.sum("rows")).first()[0] or 0
+    is_hot = F.col("rows") * 1000 > total
+    given = [c for c in classes.columns if c not in (key, "rows")]
+    found = classes.select(key, "rows", F.struct(*given).alias("found"))
+    hot = written(found.filter(is_hot).drop("rows"), "classes-hot")
+    met = rows.join(F.broadcast(hot), key, "left")
+    rest = met.filter("found is null").drop("found").join(found.filter(~is_hot).drop("rows"), key)
+    every = met.filter("found is not null").unionByName(rest.select(met.columns))
+    return every.select(*rows.columns, "found.*")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node in edges (a, b: bigint); a component is named by its smallest node.
 
