@@ -16,6 +16,7 @@ from tidemark.functions import (
     UPDATE_DATE_PATTERN,
     add_date_part,
     date_part,
+    date_part_with,
     expand_my_average,
     infer_json_schema,
     json_field,
@@ -24,6 +25,7 @@ from tidemark.functions import (
     my_average_sql,
     parse_declared,
     parse_inferred,
+    text_list,
 )
 from tidemark.schemas import PROFILE_UPDATE
 
@@ -327,3 +329,15 @@ def test_json_write_and_schema_free_read(spark):
     read = text.select(json_field("value", "$.n", "int"), json_field("value", "$.none"))
     assert read.first() == (1, None)
     assert texts(spark, "{broken").select(json_field("value", "$.n")).first()[0] is None
+
+
+def test_text_list(spark):
+    rows = spark.createDataFrame([("g", 2, "b"), ("g", 1, "c"), ("g", 2, "a"), ("g", 0, None), ("h", 1, None)], "g STRING, t INT, v STRING")
+    found = rows.groupBy("g").agg(text_list("v", "t", "|").alias("v"), text_list("v").alias("sorted"))
+    assert sorted(map(tuple, found.collect())) == [("g", "c|a|b", "a,b,c"), ("h", "", "")]
+
+
+def test_date_part_with(spark):
+    rows = spark.createDataFrame([("1-2-2024",), (None,), ("x",)], "d STRING")
+    parsed = lambda t: datetime.datetime.strptime(t, "%d-%m-%Y") if t != "x" else None
+    assert [r[0] for r in rows.select(date_part_with(parsed, "d")).collect()] == ["2024-02-01", None, None]

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import itertools
+import uuid
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -16,14 +18,16 @@ from tidemark.operators import (
     avro_available,
     content_key,
     create_external_table,
+    dense_key,
     fan_out,
+    merge_into,
     preview,
     run_key,
     write_avro,
     write_partitioned,
+    write_registered,
     write_text,
 )
-from tidemark.session import names_in, read_note, write_note
 
 PROFILE = Catalog.parse(USER_PROFILE_CATALOG)
 ORDER = (("updated_at", "string"), ("partition", "int"), ("offset", "long"))
@@ -126,59 +130,142 @@ def test_any_replay_gives_the_same_table(spark, tmp_path_factory, updates, repla
 def test_arrival_order_without_ordering_columns(spark, out):
     table = KeyedTable(f"{out}/t", PROFILE)
     first, second = profiles(spark, ("u", "1", "", None, 0, 0)), profiles(spark, ("u", "2", "", None, 0, 0))
-    assert table.next_batch(spark) == 0
     table.upsert(first, 0)
-    assert table.next_batch(spark) == 1
     table.upsert(second, 1)
     table.upsert(first, 0)
     assert contents(spark, table) == [("u", "2", "")]
-    assert table.compact(spark)
+    table = table.compact(spark, f"{out}/compacted")
     table.upsert(first, 0)
     assert contents(spark, table) == [("u", "2", "")]
-    assert table.next_batch(spark) == 2
 
 
 def test_compaction_keeps_what_any_order_of_puts_and_replays_gives(spark, out):
-    table = KeyedTable(out, PROFILE, ORDER)
+    table = KeyedTable(f"{out}/0", PROFILE, ORDER)
     early, late = profiles(spark, ("u", "old", "", "2020", 0, 1)), profiles(spark, ("u", "new", "", "2021", 0, 2))
     table.upsert(late, 0, "s1")
     table.upsert(early, 0, "s2")
-    for _ in range(3):
-        assert table.compact(spark)
-        assert table.loose_puts(spark) == []
-        table.upsert(early, 0, "s2")  # replayed: merged by the newest base or, once that forgot it, put anew
+    for n in range(1, 4):
+        table = table.compact(spark, f"{out}/{n}")
+        assert {path.name for path in Path(out, str(n)).iterdir()} == {"put=compacted"}
+        table.upsert(early, 0, "s2")  # a replay of what the fresh table holds
         table.upsert(profiles(spark, ("v", "more", "", "2020", 0, 3)), 1, "s2")
         assert contents(spark, table) == [("u", "new", ""), ("v", "more", "")]
-    assert len([name for name in names_in(spark, out) if name.startswith("base=")]) == 2
-
-
-def test_unfinished_puts_stay_out_of_a_base(spark, out):
+    assert contents(spark, KeyedTable(f"{out}/0", PROFILE, ORDER)) == [("u", "new", "")]
+    with pytest.raises(ValueError, match="fresh table"):
+        table.compact(spark, f"{out}/1")
+
+
+def test_compactions_at_once_lose_no_row(spark, out, monkeypatch):
+    """A second compaction, with a newer put, begins and ends while the first one is at work."""
+    table = KeyedTable(f"{out}/t", PROFILE, ORDER)
+    table.upsert(profiles(spark, ("a", "1", "", "2020", 0, 1)), 0)
+    read, made = KeyedTable._rows, []
+
+    def meanwhile(self, session):
+        rows = read(self, session)
+        if not made:
+            made.append(None)
+            table.upsert(profiles(spark, ("b", "1", "", "2020", 0, 2)), 1)
+            made[0] = table.compact(spark, f"{out}/second")
+        return rows
+
+    monkeypatch.setattr(KeyedTable, "_rows", meanwhile)
+    first = table.compact(spark, f"{out}/first")
+    both = [("a", "1", ""), ("b", "1", "")]
+    assert contents(spark, table) == contents(spark, made[0]) == both
+    assert contents(spark, first)[0] == both[0]
+    first.upsert(profiles(spark, ("b", "1", "", "2020", 0, 2)), 1)  # the stream goes on with the table it is pointed to
+    assert contents(spark, first) == both
+
+
+def test_unfinished_puts_are_not_read(spark, out):
     table = KeyedTable(out, PROFILE, ORDER)
     table.upsert(profiles(spark, ("u", "a", "", "2020", 0, 1)), 0)
-    Path(out, "put=1", "_temporary").mkdir(parents=True)
-    table.compact(spark)
-    assert table.loose_puts(spark) == ["put=1"]
+    written = next(Path(out, "put=0").glob("*.parquet"))
+    unfinished = Path(out, "put=1", "_temporary", "0")
+    unfinished.mkdir(parents=True)
+    (unfinished / "part-0.parquet").write_bytes(written.read_bytes()[:-9])
     assert contents(spark, table) == [("u", "a", "")]
 
 
-def test_a_note_is_given_once(spark, out):
-    assert write_note(spark, f"{out}/0", "x")
-    assert not write_note(spark, f"{out}/0", "y")
-    assert read_note(spark, f"{out}/0") == "x"
-    assert names_in(spark, out) == ["0"]
-
-
-def test_replace_takes_every_earlier_row_away(spark, out):
+def test_the_same_put_takes_its_earlier_rows_away(spark, out):
     table = KeyedTable(out, PROFILE)
-    table.upsert(profiles(spark, ("u", "1", "", None, 0, 0), ("v", "1", "", None, 0, 0)), 0)
-    for name in "23":
-        table.replace(profiles(spark, ("u", name, "", None, 0, 0)))
-        assert contents(spark, table) == [("u", name, "")]
-    with pytest.raises(Exception, match="null row key"):
-        table.replace(profiles(spark, (None, "4", "", None, 0, 0)))
-    assert contents(spark, table) == [("u", "3", "")]
-    table.upsert(profiles(spark, ("v", "5", "", None, 0, 0)), table.next_batch(spark))
-    assert contents(spark, table) == [("u", "3", ""), ("v", "5", "")]
+    for name in "12":
+        table.upsert(profiles(spark, ("u" + name, name, "", None, 0, 0)), 0, "run")
+        assert contents(spark, table) == [("u" + name, name, "")]
+
+
+def test_lookups_skip_row_groups(spark, out):
+    rows = spark.range(200_000).select(F.lpad(F.col("id").cast("string"), 9, "0").alias("user_id"), F.lit("f").alias("user_fname"), F.sha2(F.col("id").cast("string"), 256).alias("user_lname"))
+    table = KeyedTable(f"{out}/t", PROFILE, group_bytes=1 << 20)
+    table.upsert(rows, 0)
+    table = table.compact(spark, f"{out}/ranges")
+    files = list(Path(out, "ranges", "put=compacted").glob("*.parquet"))
+    groups = [pq.ParquetFile(f).metadata.row_group(g) for f in files for g in range(pq.ParquetFile(f).metadata.num_row_groups)]
+    key = groups[0].to_dict()["columns"][0]
+    assert key["path_in_schema"] == "user_id"
+    spans = sorted((g.column(0).statistics.min, g.column(0).statistics.max) for g in groups)
+    assert len(spans) > 4 and all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False))
+    assert contents(spark, KeyedTable(f"{out}/ranges", PROFILE)) == contents(spark, KeyedTable(f"{out}/t", PROFILE))
+    one = table.get(spark, "000123456")
+    assert [r["user_id"] for r in one.collect()] == ["000123456"]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(user_id,000123456)" in plan
+    assert plan.index("Aggregate") < plan.index("PushedFilters")  # the scan is below: it filters before rows are told
+    assert scanned(one) < 200_000 / len(spans) * 2
+    few = table.between(spark, "000000010", "000000019")
+    assert few.count() == 10
+    assert scanned(few) < 200_000 / len(spans) * 2
+    named = table.lookup(spark.createDataFrame([("000000007",), ("000000007",), ("none",), (None,)], "k STRING"))
+    assert [r["user_id"] for r in named.collect()] == ["000000007"]
+
+
+def scanned(df):
+    """The rows that the scans of a query put out."""
+    df.collect()
+    todo, found = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("Scan parquet"):
+            found += node.metrics().apply("numOutputRows").value()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif node.nodeName().endswith("QueryStage"):
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_a_format_without_row_level_writes_takes_no_merge(spark):
+    name = f"merged_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} (k STRING, t INT, v STRING) USING parquet")
+    rows = spark.createDataFrame([("a", 1, "x")], "k STRING, t INT, v STRING")
+    with pytest.raises(RuntimeError, match="no row-level writes"):
+        merge_into(rows, name, "k", ["t"])
+    assert spark.table(name).count() == 0
+
+
+def test_only_partitions_of_a_write_are_registered(spark, out):
+    name, columns = f"registered_{uuid.uuid4().hex}", "v INT"
+    rows = lambda *days: spark.createDataFrame([(i, day) for i, day in enumerate(days)], "v INT, datepart STRING")
+    assert write_registered(rows("2024-01-01", "2024-01-01", None), name, columns, out) == ["2024-01-01", "__HIVE_DEFAULT_PARTITION__"]
+    rows("unseen").write.partitionBy("datepart").mode("append").orc(out)  # by someone else
+    assert write_registered(rows("2024-01-01", "it's 1/2"), name, columns, out) == ["2024-01-01", "it's 1/2"]
+    found = [(r["datepart"], r["v"]) for r in spark.table(name).collect()]
+    expected = [("2024-01-01", 0), ("2024-01-01", 0), ("2024-01-01", 1), ("it's 1/2", 1), (None, 2)]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
+    assert len(spark.sql(f"SHOW PARTITIONS {name}").collect()) == 3
+
+
+def test_dense_keys(spark):
+    rows = spark.range(0, 1000, 1, 7).where("id % 7 <> 3").withColumns({"row": F.lit("r"), "part": F.lit(1), "place": F.lit(2), "KEY": F.lit(0)})
+    found = dense_key(rows)
+    assert found.columns == ["id", "row", "part", "place", "key"]
+    taken = found.collect()
+    assert sorted(r["key"] for r in taken) == list(range(1, rows.count() + 1))
+    assert sorted(r["id"] for r in taken) == sorted(r["id"] for r in rows.collect())
+    assert dense_key(rows.limit(0)).count() == 0
 
 
 def test_key_order(spark, out):

@@ -27,7 +27,7 @@ from tidemark.sources import (
     stream_lines,
 )
 from tidemark.sources.topics import end_positions
-from tidemark.streaming import run, write_stream
+from tidemark.streaming import each_batch, run, write_stream
 
 HEADER = "application,module,message,date,response_time"
 
@@ -140,6 +140,29 @@ def test_read_between_positions(spark, out):
             topics.read(spark, "t", starting=given)
 
 
+def test_a_stream_from_the_latest_records_keeps_its_start(spark, out):
+    topics = RecordFiles(f"{out}/topic").create(spark)
+    arrived = []
+
+    def taken(starting, checkpoint):
+        arrived.clear()
+        rows = topics.stream(spark, "t", starting, f"{out}/{checkpoint}")
+        run(each_batch(rows, lambda batch, _: arrived.extend(r["value"] for r in batch.collect()), f"{out}/{checkpoint}"))
+        return sorted(arrived)
+
+    publish(spark, topics, "t", (0, 0, "a"), (1, 4, "b"))
+    assert taken("latest", "c") == []
+    assert taken('{"t": {"0": -1, "1": -2}}', "d") == ["b"]
+    publish(spark, topics, "t", (0, 1, "c"), (1, 5, "d"), (2, 0, "new partition"))
+    assert taken("latest", "c") == ["c", "d", "new partition"]
+    assert taken('{"t": {"0": -1, "1": -2}}', "d") == ["c", "d", "new partition"]
+    publish(spark, topics, "t", (0, 2, "e"))
+    assert taken("latest", "c") == ["e"]
+    assert taken("latest", "first start") == []
+    with pytest.raises(ValueError, match="needs a checkpoint"):
+        topics.stream(spark, "t", "latest")
+
+
 def test_positions_reach_the_scan(spark, out):
     topics = RecordFiles(out)
     publish(spark, topics, "t", (0, 1, "1"))

@@ -65,6 +65,7 @@ class LogBatchConfig:
     rebalance: bool = _set("rebalance", True, _flag)
     tables: str | None = _set("table.directory", None)  # beside the output unless given
     row_key: str = _set("row.key", "run")  # run: a run replaces the table; content: runs add to it
+    run_id: str | None = _set("run.id", None)  # the same run again replaces what it wrote
 
 
 @dataclass(frozen=True)
@@ -83,9 +84,9 @@ class LogStreamConfig:
     rebalance: bool = _set("rebalance", True, _flag)
 
 
-# Fixed value: what is sent when no message is configured.
+# What is sent when no message is configured.
 DEFAULT_MESSAGE = (
-    '{"user_fname":"sunil", "user_lname":"miriyala", "user_id":"sunil.miriyala", '
+    '{"user_fname":"first", "user_lname":"last", "user_id":"user.1", '
     '"updated_at":"2020-03-22 14:15:16.000", "modified_fields":[{"address":"new value"}]} '
 )
 
@@ -121,7 +122,6 @@ class ProfileStreamConfig:
     on_error: str = _set("on.error", "fail")
     formats: tuple[str, ...] = _set("output.formats", ("json", "orc", "avro"), _topics)
     tables: str | None = _set("table.directory", None)  # beside the output unless given
-    compact_after: int = _set("compact.after", 1000, int)  # puts of the keyed table; 0: never
     message_schema: str | None = _set("message.schema", None)  # DDL, instead of inferring each batch's
     single_text_file: bool = _set("single.text.file", False, _flag)
     seed: int = _set("random.seed", 0, int)

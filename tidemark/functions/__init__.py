@@ -1,10 +1,11 @@
-from tidemark.functions.aggregates import expand_my_average, my_average, my_average_sql
+from tidemark.functions.aggregates import expand_my_average, my_average, my_average_sql, text_list
 from tidemark.functions.dates import (
     LOG_DATE_PATTERN,
     LOG_STREAM_DATE_PATTERN,
     UPDATE_DATE_PATTERN,
     add_date_part,
     date_part,
+    date_part_with,
 )
 from tidemark.functions.json_text import (
     infer_json_schema,
@@ -20,6 +21,7 @@ __all__ = [
     "UPDATE_DATE_PATTERN",
     "add_date_part",
     "date_part",
+    "date_part_with",
     "expand_my_average",
     "infer_json_schema",
     "json_field",
@@ -28,4 +30,5 @@ __all__ = [
     "my_average_sql",
     "parse_declared",
     "parse_inferred",
+    "text_list",
 ]

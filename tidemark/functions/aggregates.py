@@ -66,3 +66,14 @@ def expand_my_average(query: str) -> str:
     if depth:
         raise ValueError("a call of myAverage has no closing parenthesis")
     return "".join(done) + query[at:]
+
+
+def text_list(value: Column | str, order: Column | str | None = None, delimiter: str = ",") -> Column:
+    """The texts of a group as one, in the order given (ties, and no order, by the text); null texts are left out, and
+    an empty group gives an empty text. What one group holds meets in one task, as the text it becomes does: group finer
+    where a group's text is too long to be one value."""
+    value = F.col(value) if isinstance(value, str) else value
+    order = value if order is None else F.col(order) if isinstance(order, str) else order
+    text = value.cast("string")
+    cells = F.collect_list(F.when(text.isNotNull(), F.struct(order.alias("order"), text.alias("text"))))
+    return F.array_join(F.transform(F.array_sort(cells), lambda cell: cell["text"]), delimiter)

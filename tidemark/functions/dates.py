@@ -7,8 +7,11 @@ month means its last day (30 February is 28 or 29 February). It is strict about
 
 from __future__ import annotations
 
+import datetime
 import re
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,3 +93,14 @@ def add_date_part(
     df: DataFrame, source: str, pattern: str = LOG_DATE_PATTERN, on_error: str = "fail", name: str = "datepart"
 ) -> DataFrame:
     return df.withColumn(name, date_part(source, pattern, on_error))
+
+
+def date_part_with(parser: Callable[[str], datetime.date | None], text: Column | str) -> Column:
+    """The partition value by a function of the user's, called in Arrow batches. Null texts stay null and are not passed on;
+    the native ``date_part`` is the faster way wherever a pattern can say it."""
+
+    def each(texts: pa.Array) -> pa.Array:
+        days = [parser(t) if t is not None else None for t in texts.to_pylist()]
+        return pa.array([day.strftime("%Y-%m-%d") if day else None for day in days], pa.string())
+
+    return F.arrow_udf(each, "string")(F.col(text) if isinstance(text, str) else text)

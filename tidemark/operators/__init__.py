@@ -1,12 +1,14 @@
-from tidemark.operators.keyed import LOG_AGG_CATALOG, USER_PROFILE_CATALOG, Catalog, KeyedTable, content_key, run_key
+from tidemark.operators.keyed import LOG_AGG_CATALOG, USER_PROFILE_CATALOG, Catalog, KeyedTable, content_key, dense_key, merge_into, run_key
 from tidemark.operators.sinks import (
     avro_available,
+    add_partitions,
     create_external_table,
     fan_out,
     group_for,
     preview,
     write_avro,
     write_partitioned,
+    write_registered,
     write_text,
 )
 
@@ -15,8 +17,11 @@ __all__ = [
     "USER_PROFILE_CATALOG",
     "Catalog",
     "KeyedTable",
+    "add_partitions",
     "avro_available",
     "content_key",
+    "dense_key",
+    "merge_into",
     "create_external_table",
     "fan_out",
     "group_for",
@@ -24,5 +29,6 @@ __all__ = [
     "run_key",
     "write_avro",
     "write_partitioned",
+    "write_registered",
     "write_text",
 ]

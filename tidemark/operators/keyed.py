@@ -6,23 +6,23 @@ order rows were added, so replaying any batch, old or new, changes nothing, and
 rewrites the table. The cost of a write follows the batch, not the table. Writers whose batch ids are counted
 apart, such as two streams, need names of their own: the same name and batch id replaces that put.
 
-Compaction merges puts into a ``base=...`` directory and then adds a note to ``_bases`` that names this base and the
-puts in it; from then on readers take the base and the other puts. Until the note is there they read as before.
+``compact`` writes the newest rows as a fresh table elsewhere, by ranges of the key, and leaves the old one as it is; the
+caller points readers and writers to the fresh one. Where a catalog holds a table format with row-level writes,
+``merge_into`` does the same by ``MERGE``.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
-from typing import ClassVar
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException, UnsupportedOperationException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import last_batch, names_in, read_note, remove, write_note
+from tidemark.session import names_in, scratch_dir
 
 # The two column catalogs.
 USER_PROFILE_CATALOG = """{
@@ -94,9 +94,7 @@ class KeyedTable:
     path: str
     catalog: Catalog
     ordering: tuple[tuple[str, str], ...] = ()  # (column of the input, type), most significant first
-
-    # The state of a table without a note: an empty base, no puts in it.
-    _START: ClassVar = {"base": "base=0", "puts": [], "next": 0, "old": None}
+    group_bytes: int | None = None  # size of the files' row groups, which lookups skip one by one
 
     @property
     def _order(self) -> T.StructType:
@@ -111,9 +109,7 @@ class KeyedTable:
 
     def create(self, spark: SparkSession) -> KeyedTable:
         """Make the table if it is absent."""
-        if not names_in(spark, f"{self.path}/_bases"):
-            empty = spark.createDataFrame([], self._layout)
-            empty.write.mode("ignore").parquet(f"{self.path}/{self._START['base']}")
+        spark.createDataFrame([], self._layout).write.mode("ignore").parquet(f"{self.path}/put=none")
         return self
 
     def _checked(self, df: DataFrame, batch_id: int, writer: str = "") -> DataFrame:
@@ -131,38 +127,19 @@ class KeyedTable:
             raise ValueError("batch ids start at 0")
         self.create(df.sparkSession)
         put = f"put={writer + '-' if writer else ''}{batch_id}"
-        self._checked(df, batch_id, writer).write.mode("overwrite").parquet(f"{self.path}/{put}")
-
-    def replace(self, df: DataFrame) -> None:
-        """Make ``df`` the whole table, at once: until it is written, readers find the rows there were."""
-        spark = df.sparkSession
-        batch_id = self.next_batch(spark)
-        if not self._switch(spark, self._newest_of(self._checked(df, batch_id)), self._puts(spark), batch_id + 1):
-            raise RuntimeError(f"another writer gave {self.path} a new base meanwhile")
-
-    def next_batch(self, spark: SparkSession) -> int:
-        """The id after the last batch written without a writer's name, told from the names of the puts."""
-        self.create(spark)
-        numbers = [put.removeprefix("put=") for put in self._puts(spark)]
-        return max([self._state(spark)["next"], *[int(number) + 1 for number in numbers if number.isdigit()]])
-
-    def _state(self, spark: SparkSession) -> dict:
-        notes = f"{self.path}/_bases"
-        newest = last_batch(spark, notes)
-        return json.loads(read_note(spark, f"{notes}/{newest}")) if newest >= 0 else self._START
-
-    def _puts(self, spark: SparkSession) -> list[str]:
-        return [name for name in names_in(spark, self.path) if name.startswith("put=")]
-
-    def loose_puts(self, spark: SparkSession) -> list[str]:
-        """The puts that are in no base."""
-        merged = set(self._state(spark)["puts"])
-        return [put for put in self._puts(spark) if put not in merged]
-
-    def _rows(self, spark: SparkSession, puts: Sequence[str] | None = None) -> DataFrame:
-        """The base and the given puts, by default all that are in no base."""
-        parts = [self._state(spark)["base"], *(self.loose_puts(spark) if puts is None else puts)]
-        return spark.read.schema(self._layout).parquet(*[f"{self.path}/{part}" for part in parts])
+        self._write(self._checked(df, batch_id, writer), put, "overwrite")
+
+    def _write(self, rows: DataFrame, put: str, mode: str) -> None:
+        """Files in key order with Bloom filters on the key: a lookup skips the row groups that can't hold it."""
+        key = self.catalog.key
+        options = {f"parquet.bloom.filter.enabled#{key}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+        if self.group_bytes:
+            options["parquet.block.size"] = str(self.group_bytes)
+        rows.sortWithinPartitions(key).write.options(**options).mode(mode).parquet(f"{self.path}/{put}")
+
+    def _rows(self, spark: SparkSession) -> DataFrame:
+        """Every row of every put. Files of a put that is being written are not seen."""
+        return spark.read.schema(self._layout).option("recursiveFileLookup", "true").parquet(self.path)
 
     def _newest_of(self, rows: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         """One row per key with its ordering columns; tasks reduce each key before the shuffle."""
@@ -176,29 +153,58 @@ class KeyedTable:
         rows = self._newest_of(self._rows(spark), columns).select(*(columns or self.catalog.stored))
         return rows.orderBy(self.catalog.key) if ordered else rows
 
-    def compact(self, spark: SparkSession) -> bool:
-        """Merge the base and all finished puts into a new base; False if another writer was faster.
+    def _one(self, value: object) -> Column:
+        return F.lit(value).cast(self.catalog.schema[self.catalog.key].dataType)
+
+    def get(self, spark: SparkSession, *keys: object, columns: Sequence[str] | None = None) -> DataFrame:
+        """The rows of the given keys. The condition reaches the scan, before the newest rows are told."""
+        wanted = F.col(self.catalog.key).isin([self._one(key) for key in keys])
+        taken = [self.catalog.key, *(name for name in columns or self.catalog.stored if name != self.catalog.key)]
+        return self.scan(spark, taken).where(wanted).select(*(columns or self.catalog.stored))
+
+    def between(self, spark: SparkSession, low: object, high: object) -> DataFrame:
+        """The rows whose keys lie from ``low`` to ``high``, both included."""
+        return self.scan(spark).where(F.col(self.catalog.key).between(self._one(low), self._one(high)))
+
+    def lookup(self, keys: DataFrame) -> DataFrame:
+        """The rows whose key is in the first column of ``keys``; other rows are left out before the newest are told."""
+        key = self.catalog.key
+        wanted = keys.select(F.col(keys.columns[0]).cast(self.catalog.schema[key].dataType).alias(key))
+        rows = self._rows(keys.sparkSession).join(wanted, key, "left_semi")
+        return self._newest_of(rows).select(*self.catalog.stored)
+
+    def compact(self, spark: SparkSession, target: str) -> KeyedTable:
+        """The newest rows as a fresh table at ``target``, each file a range of keys; this table stays as it is.
 
-        A put that is written meanwhile stays loose, and one that is replayed later merges as it would have before. What
-        the base before this one had replaced is removed: readers that began before that one are taken to be done.
+        Replays of batches from before change the fresh table as little as this one. Rows put here after the start are not
+        in it, so a stream is stopped first and goes on with the table it is pointed to, or the fresh table is made again.
         """
-        finished = [put for put in self.loose_puts(spark) if "_SUCCESS" in names_in(spark, f"{self.path}/{put}")]
-        merged = self._state(spark)["puts"]
-        rows = self._newest_of(self._rows(spark, finished))
-        return self._switch(spark, rows, [*merged, *finished], self.next_batch(spark))
-
-    def _switch(self, spark: SparkSession, rows: DataFrame, puts: list[str], next_batch: int) -> bool:
-        before, notes = self._state(spark), f"{self.path}/_bases"
-        number = last_batch(spark, notes) + 1
-        base = f"base={number + 1}-{uuid.uuid4().hex}"
-        rows.select(self._layout.names).write.parquet(f"{self.path}/{base}")
-        gone = before["puts"]
-        left = [put for put in puts if put not in set(gone)]
-        note = {"base": base, "puts": left, "next": next_batch, "old": before["base"]}
-        switched = write_note(spark, f"{notes}/{number}", json.dumps(note))
-        for part in [*gone, *([before["old"]] if before["old"] else [])] if switched else [base]:
-            remove(spark, f"{self.path}/{part}")
-        return switched
+        if names_in(spark, target):
+            raise ValueError(f"{target} is not empty: a compaction writes a fresh table")
+        fresh = replace(self, path=target)
+        newest = self._newest_of(self._rows(spark)).select(self._layout.names)
+        fresh._write(newest.repartitionByRange(self.catalog.key), "put=compacted", "error")
+        return fresh
+
+
+def merge_into(rows: DataFrame, table: str, key: str, ordering: Sequence[str]) -> None:
+    """Put rows into a catalog table by ``MERGE``: of each key the row that is greatest by the ordering columns stays.
+
+    The table holds the columns of ``rows``. Its format has to take row-level writes; one that does not is an error, and
+    nothing is written. A null key fails.
+    """
+    checked = rows.withColumn(key, F.coalesce(key, F.raise_error(F.lit(f"null key for {table}")).cast(rows.schema[key].dataType)))
+    others = [name for name in rows.columns if name != key and name not in ordering]
+    newest = checked.groupBy(key).agg(F.max(F.struct(*ordering, *others)).alias("row")).select(key, "row.*")
+    order = lambda side: f"struct({', '.join(f'{side}.`{name}`' for name in ordering)})"
+    merge = newest.select(rows.columns).alias("given").mergeInto(table, F.expr(f"{table}.`{key}` = given.`{key}`"))
+    newer = F.expr(f"{order('given')} > {order(table)}") if ordering else F.lit(True)
+    try:
+        merge.whenMatched(newer).updateAll().whenNotMatched().insertAll().merge()
+    except (AnalysisException, UnsupportedOperationException) as error:
+        if "MERGE" in str(error).upper() and "support" in str(error).lower():
+            raise RuntimeError(f"the format of {table} takes no row-level writes; use KeyedTable") from error
+        raise
 
 
 def run_key(df: DataFrame, name: str = "key") -> DataFrame:
@@ -206,6 +212,24 @@ def run_key(df: DataFrame, name: str = "key") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def dense_key(df: DataFrame, name: str = "key") -> DataFrame:
+    """Add the numbers 1 to n, without gaps, in no order that means anything.
+
+    Rows are written once with their place; a number is the place in its part plus the rows of the parts before, which are
+    added up over one row per part. No row goes through a common task. A column called like the key is replaced.
+    """
+    kept = [column for column in df.columns if column.lower() != name.lower()]
+    path = scratch_dir(df.sparkSession, "dense-key")
+    place = F.monotonically_increasing_id()
+    df.select(F.struct(*kept).alias("row"), place.alias("place")).write.parquet(path)
+    placed = df.sparkSession.read.parquet(path).withColumn("part", F.shiftright("place", 33))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("part").agg(F.count("*").alias("n"))
+    starts = starts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    number = F.col("start") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1).cast("bigint")) + 1
+    return placed.join(starts, "part").select("row.*", number.alias(name))
+
+
 def content_key(df: DataFrame, columns: Sequence[str], name: str = "key") -> DataFrame:
     """Add a text key made from the row's content, the same in every run.
 

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tidemark.session import qualified
 
 
+NO_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the directory name of a null
+
+
 def group_for(df: DataFrame, partition: str) -> DataFrame:
     """Group rows by partition value into tasks of about the advisory size.
 
@@ -33,14 +37,17 @@ def write_partitioned(
     mode: str = "append",
     rebalance: bool = True,
     options: dict[str, str] | None = None,
+    seen: Observation | None = None,
 ) -> None:
-    """Write one directory per partition value.
+    """Write one directory per partition value. ``seen`` gets the values this write held, as ``partitions``.
 
     ``rebalance`` keeps the number of files low, at the price of a shuffle. Switch it off for
     input that already arrives date by date.
     """
     if rebalance:
         df = group_for(df, partition)
+    if seen is not None:
+        df = df.observe(seen, F.collect_set(F.coalesce(F.col(partition).cast("string"), F.lit(NO_PARTITION))).alias("partitions"))
     df.write.partitionBy(partition).mode(mode).format(fmt).options(**(options or {})).save(path)
 
 
@@ -81,10 +88,17 @@ def write_text(
 
 
 def create_external_table(
-    spark: SparkSession, table: str, columns: str, path: str, partition: str = "datepart STRING", fmt: str = "ORC"
+    spark: SparkSession,
+    table: str,
+    columns: str,
+    path: str,
+    partition: str = "datepart STRING",
+    fmt: str = "ORC",
+    recover: bool = True,
 ) -> DataFrame:
-    """Put a table over files a sink wrote, and register the partitions found there.
+    """Put a table over files a sink wrote, and with ``recover`` register the partitions found there.
 
+    Finding them lists every directory; ``write_registered`` adds those of one write.
     ``partition`` lists the columns of the directory levels, outermost first.
     """
     names = ", ".join(column.split()[0] for column in partition.split(","))
@@ -97,10 +111,36 @@ def create_external_table(
     found = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted}").collect()}["Location"]
     if qualified(spark, found) != qualified(spark, path):
         raise ValueError(f"table {table} already lies over {found}, not over {path}")
-    spark.sql(f"ALTER TABLE {quoted} RECOVER PARTITIONS")
+    if recover:
+        spark.sql(f"ALTER TABLE {quoted} RECOVER PARTITIONS")
     return spark.table(quoted)
 
 
+def add_partitions(spark: SparkSession, table: str, path: str, values: Iterable[str], partition: str = "datepart") -> None:
+    """Register partitions that files lie in already, such as those a write reports. No directory is listed, and what is
+    registered stays."""
+    quoted = ".".join("`" + part.replace("`", "``") + "`" for part in table.split("."))
+    text = lambda value: "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    names = sorted(set(values))
+    for at in range(0, len(names), 200):
+        added = [f"PARTITION ({partition}={text(v)}) LOCATION {text(f'{path}/{partition}={escaped(v)}')}" for v in names[at : at + 200]]
+        spark.sql(f"ALTER TABLE {quoted} ADD IF NOT EXISTS {' '.join(added)}")
+
+
+def write_registered(
+    df: DataFrame, table: str, columns: str, path: str, partition: str = "datepart", fmt: str = "ORC", mode: str = "append"
+) -> list[str]:
+    """Write by partition and register the partitions of this write with the external table over them; returns their values.
+    The write reports them on its way, so the cost of a registration follows the write, not the table."""
+    spark, seen = df.sparkSession, Observation()
+    write_partitioned(df, path, fmt, partition, mode, seen=seen)
+    found = sorted(seen.get["partitions"])
+    create_external_table(spark, table, columns, path, f"{partition} STRING", fmt, recover=False)
+    add_partitions(spark, table, path, found, partition)
+    return found
+
+
 def preview(df: DataFrame, rows: int = 2) -> DataFrame:
     """Print the schema and the first rows, and return those rows as a query."""
     df.printSchema()

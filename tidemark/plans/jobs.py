@@ -74,20 +74,24 @@ def batch_logs(spark: SparkSession, config: LogBatchConfig) -> dict[str, DataFra
     A line whose fields do not fit the schema or whose date does not parse stops the job. With ``on_error=quarantine``
     such lines go to their own dataset, the misfits with their text in ``_corrupt_record``. The main
     write counts them on the way, so the input is read a second time only if there are any.
+
+    A run adds its rows to the output. With a ``run_id`` they go to ``run=<run_id>`` below it, and the same run again
+    replaces them instead of adding them twice.
     """
     checked = read_app_logs(spark, config)
     logs = spark.table("app_logs")
-    target = f"{config.output}-FB-ORC"
+    own, mode = (f"/run={config.run_id}", "overwrite") if config.run_id else ("", "append")
+    target = f"{config.output}-FB-ORC{own}"
     enriched = _dated(checked, config.date_pattern, config.on_error)
     if config.on_error == QUARANTINE:
         seen, is_good = Observation(), F.col("datepart").isNotNull()
         counted = enriched.observe(seen, F.count_if(~is_good).alias("bad"))
         bad, enriched = enriched.where(~is_good).drop("datepart"), enriched.where(is_good).drop(CORRUPT_RECORD)
-        write_partitioned(counted.where(is_good).drop(CORRUPT_RECORD), target, "orc", rebalance=config.rebalance)
-        if seen.get["bad"]:
-            bad.write.mode("append").orc(f"{config.output}-FB-BAD")
+        write_partitioned(counted.where(is_good).drop(CORRUPT_RECORD), target, "orc", mode=mode, rebalance=config.rebalance)
+        if seen.get["bad"] or config.run_id:
+            bad.write.mode(mode).orc(f"{config.output}-FB-BAD{own}")
     else:
-        write_partitioned(enriched, target, "orc", rebalance=config.rebalance)
+        write_partitioned(enriched, target, "orc", mode=mode, rebalance=config.rebalance)
     return {
         "module": logs.where(F.col("module") == config.module),
         "average": logs.agg(my_average("response_time").alias("avg_response_time")),
@@ -98,7 +102,8 @@ def batch_logs(spark: SparkSession, config: LogBatchConfig) -> dict[str, DataFra
 def batch_logs_keyed(spark: SparkSession, config: LogBatchConfig) -> dict[str, DataFrame]:
     """``batch_logs``, and the log lines under a generated key into the keyed log table.
 
-    With ``row_key=run`` the keys are numbers that the next run uses again, so each run replaces the table as a whole.
+    With ``row_key=run`` the keys are numbers that the next run uses again, so each run puts its rows in the place of the
+    last one's; readers that must not see a run at work give each run a ``table.directory`` of its own.
     With ``row_key=content`` the key is made from all columns of the line: runs add their lines, and lines that are equal
     in every column are one row.
     """
@@ -108,10 +113,10 @@ def batch_logs_keyed(spark: SparkSession, config: LogBatchConfig) -> dict[str, D
     lines, cells = written["enriched"].drop("datepart"), ("application", "module", "message")
     if config.row_key == "run":
         table = KeyedTable(_table_path(config, LOG_AGG), LOG_AGG)
-        table.replace(run_key(lines.select(*cells)))
+        table.upsert(run_key(lines.select(*cells)), 0, "run")
     else:
         table = KeyedTable(_table_path(config, LOG_BY_CONTENT), LOG_BY_CONTENT)
-        table.upsert(content_key(lines, lines.columns).select("key", *cells), table.next_batch(spark), uuid.uuid4().hex)
+        table.upsert(content_key(lines, lines.columns).select("key", *cells), 0, config.run_id or uuid.uuid4().hex)
     return {**written, "keyed": table.scan(spark)}
 
 
@@ -207,10 +212,7 @@ def write_profile_batch(
     def keyed(df: DataFrame) -> None:
         position = {name: F.col(f"_record.{name}") for name in ("partition", "offset")}
         rows = with_update_time(df.where(usable).withColumns(position), config.date_pattern)
-        table = profile_table(config)
-        table.upsert(rows, batch_id, writer)
-        if config.compact_after and len(table.loose_puts(df.sparkSession)) >= config.compact_after:
-            table.compact(df.sparkSession)
+        profile_table(config).upsert(rows, batch_id, writer)
 
     sinks = [positions] if replay_safe else [archive]
     sinks.append(average)

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import contextlib
 import dataclasses
+import datetime
 import io
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,17 +19,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import LogBatchConfig, LogStreamConfig, ProfileStreamConfig, from_properties, parse_properties
-from tidemark.functions.aggregates import expand_my_average, my_average
+from tidemark.functions.aggregates import expand_my_average, my_average, text_list
 from tidemark.functions.dates import (
     LOG_DATE_PATTERN,
     LOG_STREAM_DATE_PATTERN,
     UPDATE_DATE_PATTERN,
     add_date_part,
     date_part,
+    date_part_with,
 )
 from tidemark.functions.json_text import json_field, json_value, parse_declared, parse_inferred
-from tidemark.operators.keyed import Catalog, KeyedTable, content_key, run_key
-from tidemark.operators.sinks import create_external_table, write_partitioned, write_text
+from tidemark.operators.keyed import Catalog, KeyedTable, content_key, dense_key, run_key
+from tidemark.operators.sinks import create_external_table, write_partitioned, write_registered, write_text
 from tidemark.operators.sinks import preview as first_rows
 from tidemark.plans.jobs import (
     PROFILE_ORDER,
@@ -47,7 +50,7 @@ from tidemark.session import scratch_dir
 from tidemark.sources.logs import CSV_OPTIONS, read_logs
 from tidemark.sources.topics import RecordFiles, as_records, end_positions
 from tidemark.streaming.offsets import offset_ranges, partition_report
-from tidemark.streaming.run import each_batch, pass_through, run, write_stream
+from tidemark.streaming.run import drain, each_batch, pass_through, run, write_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -297,6 +300,16 @@ def my_average_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "SELECT o_custkey, string_agg(o_orderstatus || o_orderkey, ',' ORDER BY o_orderdate, o_orderstatus || o_orderkey) AS orders "
+    "FROM orders GROUP BY o_custkey"
+)
+def text_list_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's orders as one text in order of their dates."""
+    orders = table(spark, sf_dir, "orders")
+    return orders.groupBy("o_custkey").agg(text_list(F.concat("o_orderstatus", "o_orderkey"), "o_orderdate").alias("orders"))
+
+
 # --- dates ------------------------------------------------------------------------------------
 
 
@@ -320,6 +333,16 @@ def datepart_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"SELECT event_id, {DAY} AS day FROM events")
+def datepart_user_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates by a function of the user's, called in batches."""
+
+    def parser(text: str) -> datetime.date:
+        return datetime.datetime.strptime(text, "%d.%m.%Y %H:%M").date()
+
+    return table(spark, sf_dir, "events").select("event_id", date_part_with(parser, F.date_format("ts", "dd.MM.yyyy HH:mm")).alias("day"))
+
+
 @query("SELECT o_orderkey, strftime(last_day(o_orderdate), '%Y-%m-%d') AS datepart FROM orders")
 def datepart_month_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Day 31 in every month means the last day of the month."""
@@ -460,15 +483,16 @@ def text_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT n_name AS value FROM nation")
+@query("SELECT substr(date, 1, 10) || ' ' || module || ' ' || count(*) AS value FROM {logs} GROUP BY substr(date, 1, 10), module")
 def text_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A small table as one text file: only a file with all lines counts."""
+    """A report over all logs, short by nature, as one text file: only a file with all lines counts."""
     path = scratch_dir(spark, "archive")
-    names = table(spark, sf_dir, "nation").select(F.col("n_name").alias("value")).repartition(4)
-    write_text(names, path, single_file=True)
+    counts = logs(spark, sf_dir).groupBy(F.substr("date", F.lit(1), F.lit(10)).alias("day"), "module").agg(F.count("*").alias("n"))
+    report = counts.select(F.concat_ws(" ", "day", "module", F.col("n").cast("string")).alias("value"))
+    write_text(report, path, single_file=True)
     lines = spark.read.text(path).withColumn("file", F.input_file_name())
     counted = lines.withColumn("lines", F.count("*").over(Window.partitionBy("file")))
-    return counted.where(F.col("lines") == names.count()).select("value")
+    return counted.where(F.col("lines") == report.count()).select("value")
 
 
 @query("SELECT doc_id, text, lang FROM documents")
@@ -491,6 +515,16 @@ def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("datepart", "module").agg(F.count("*").alias("lines"))
 
 
+@query("SELECT substr(date, 1, 10) AS datepart, module, count(*) AS lines FROM {logs} GROUP BY ALL")
+def external_table_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appends to a table, each registering the dates it wrote."""
+    path, name = scratch_dir(spark, "appended"), f"appended_{uuid.uuid4().hex}"
+    dated = add_date_part(logs(spark, sf_dir), "date", LOG_DATE_PATTERN)
+    for part in (F.col("date") < "2024-01-16", F.col("date") >= "2024-01-16"):
+        write_registered(dated.where(part).drop("response_time"), name, "application STRING, module STRING, message STRING, date STRING", path)
+    return spark.table(name).groupBy("datepart", "module").agg(F.count("*").alias("lines"))
+
+
 # --- keyed tables -----------------------------------------------------------------------------
 
 
@@ -561,11 +595,33 @@ def keyed_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A compacted table reads the same, also after a replay of merged puts and another compaction."""
     keyed = last_events(spark, sf_dir)
     for _ in range(2):
-        keyed.compact(spark)
+        keyed = keyed.compact(spark, scratch_dir(spark, "last-event"))
         keyed.upsert(table(spark, sf_dir, "events").where(early(True)), 0)
     return keyed.scan(spark)
 
 
+@query(f"SELECT * FROM ({LAST_EVENT_SQL}) WHERE user_id IN (5, 17, 99)")
+def keyed_get(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of some keys, from a table by ranges of the key with a replayed batch beside them."""
+    keyed = last_events(spark, sf_dir).compact(spark, scratch_dir(spark, "last-event"))
+    keyed.upsert(table(spark, sf_dir, "events").where(early(True)), 0)
+    return keyed.get(spark, 5, 17, 99)
+
+
+@query(f"SELECT * FROM ({LAST_EVENT_SQL}) WHERE user_id BETWEEN 20 AND 60")
+def keyed_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return last_events(spark, sf_dir).compact(spark, scratch_dir(spark, "last-event")).between(spark, 20, 60)
+
+
+@query(
+    f"SELECT * FROM ({LAST_EVENT_SQL}) WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"
+)
+def keyed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the keys that another table names."""
+    keys = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select("c_custkey")
+    return last_events(spark, sf_dir).lookup(keys)
+
+
 LAST_TURN = """{
   "table": {"namespace": "default", "name": "last_turn"},
   "rowkey": "conv_id",
@@ -621,6 +677,17 @@ def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_key(logs(spark, sf_dir)).agg(F.count("*").alias("lines"), F.countDistinct("key").alias("keys"))
 
 
+@query("SELECT count(*) AS lines, 1 AS first_key, count(*) AS last_key, count(*) AS keys FROM {logs}")
+def dense_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of all rows from 1 to their number, without gaps."""
+    return dense_key(logs(spark, sf_dir)).agg(
+        F.count("*").alias("lines"),
+        F.min("key").cast("int").alias("first_key"),
+        F.max("key").alias("last_key"),
+        F.countDistinct("key").alias("keys"),
+    )
+
+
 @query(
     "SELECT sha256('{{\"event_id\":' || event_id || ',\"event_type\":\"' || event_type || '\"}}') AS key, "
     "event_id, event_type FROM events"
@@ -732,14 +799,27 @@ def log_job_from_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("datepart", "module").agg(F.count("*").alias("lines"))
 
 
+@query("SELECT substr(date, 1, 10) AS datepart, module, count(*) AS lines FROM {logs} GROUP BY ALL")
+def log_batch_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the batch job with ids of their own, one of them run again: no row is there twice."""
+    output = scratch_dir(spark, "log-job")
+    first, second = (log_config(spark, sf_dir, output=output, run_id=name, where=early(name == "a")) for name in "ab")
+    for config in (first, second, first):
+        batch_logs(spark, config)
+    rows = spark.read.schema("module STRING, run STRING, datepart STRING").orc(f"{output}-FB-ORC")
+    return rows.groupBy("datepart", "module").agg(F.count("*").alias("lines"))
+
+
 # --- streams ----------------------------------------------------------------------------------
 
 
 @query("SELECT user_fname, user_lname, user_id, updated_at FROM {updates}")
 def stream_structured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Topic records parsed by a stateless streaming query."""
-    parsed = parse_profiles(update_records(stream_table(spark, sf_dir, "events")))
+    """Records of a topic parsed by a stateless streaming query."""
+    topics = RecordFiles(scratch_dir(spark, "topics"))
+    topics.publish(updates(spark, sf_dir))
     path = scratch_dir(spark, "stream-structured")
+    parsed = parse_profiles(topics.stream(spark, "profile_updates", checkpoint=f"{path}-checkpoint", batch_limit=BATCH_FILES))
     run(write_stream(parsed, path, "parquet", f"{path}-checkpoint", partition=None))
     return spark.read.schema(parsed.schema).parquet(path).drop("modified_fields")
 
@@ -937,3 +1017,32 @@ def topic_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = {"key": F.concat(F.lit("user."), "key"), "value": F.upper("value")}
     run(pass_through(records, sink, "SinkTopic", f"{sink.path}-checkpoint", **mapped))
     return sink.read(spark, "SinkTopic").select("key", "value")
+
+
+@query(
+    "SELECT CAST(e.user_id AS VARCHAR) AS key, e.props AS value FROM events e JOIN (SELECT user_id % 2 AS part, "
+    "max(event_id) AS last FROM events WHERE ts < '2024-01-16' GROUP BY 1) p ON e.user_id % 2 = part WHERE event_id > last"
+)
+def stream_latest_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream from the latest records: what was there stays out, what comes before and after a restart arrives."""
+    topics = RecordFiles(scratch_dir(spark, "topics"))
+    out = scratch_dir(spark, "latest")
+    events = table(spark, sf_dir, "events")
+    for part in (early(True), early(False) & (F.col("event_id") % 3 == 0), early(False) & (F.col("event_id") % 3 != 0)):
+        topics.publish(event_records(events.where(part)))
+        rows = topics.stream(spark, "events", "latest", f"{out}-checkpoint", BATCH_FILES).select("key", "value")
+        run(write_stream(rows, out, "parquet", f"{out}-checkpoint", partition=None))
+    return spark.read.schema("key STRING, value STRING").parquet(out)
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS key, props AS value, true AS several FROM events")
+def stream_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query that looks for files every second, stopped when it has them all; its batches come from several triggers."""
+    topics = RecordFiles(scratch_dir(spark, "topics"))
+    out = scratch_dir(spark, "interval")
+    for first in (True, False):
+        topics.publish(event_records(table(spark, sf_dir, "events").where(early(first))))
+    rows = topics.stream(spark, "events", batch_limit=1).select("key", "value")
+    batches = drain(lambda: write_stream(rows, out, "parquet", f"{out}-checkpoint", 1, partition=None), spark)
+    found = spark.read.schema("key STRING, value STRING").parquet(out)
+    return found.withColumn("several", F.lit(len({batch for batch, _ in batches}) > 1))

@@ -59,30 +59,3 @@ def last_batch(spark: SparkSession, path: str) -> int:
     """The greatest number that a file of a stream's log directory is named by; -1 without one."""
     names = [name.split(".")[0] for name in names_in(spark, path)]
     return max((int(name) for name in names if name.isdigit()), default=-1)
-
-
-def read_note(spark: SparkSession, path: str) -> str:
-    found, system = _path(spark, path)
-    stream = system.open(found)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def write_note(spark: SparkSession, path: str, text: str) -> bool:
-    """Put a small text into a new file, which is seen whole or not at all; False if there is one already."""
-    found, system = _path(spark, path)
-    draft = found.getParent().suffix(f"/.{uuid.uuid4().hex}")
-    stream = system.create(draft, False)
-    stream.write(text.encode())
-    stream.close()
-    if not system.exists(found) and system.rename(draft, found):
-        return True
-    system.delete(draft, False)
-    return False
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    found, system = _path(spark, path)
-    system.delete(found, True)

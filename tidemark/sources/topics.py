@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.config import TopicConfig
 from tidemark.functions.json_text import json_value
 from tidemark.schemas import TOPIC_RECORD
+from tidemark.session import names_in
 
 Positions = dict[str, dict[int, int]]  # topic -> partition -> offset
 
@@ -100,13 +101,32 @@ class RecordFiles:
     ) -> DataFrame:
         """The records as a stream, at most ``batch_limit`` files per micro-batch.
 
-        A start is a filter and stays the same over restarts, so no checkpoint has to remember it.
+        A start is a filter and stays the same over restarts. ``latest``, or the position -1, is the end of each partition
+        when the stream starts for the first time; the checkpoint keeps these positions for restarts. A partition that
+        appears later is read whole.
         """
+        if _is_open(starting):
+            if not checkpoint:
+                raise ValueError("a start at the latest records needs a checkpoint, which keeps where that was")
+            starting = self._first_start(spark, topics, starting, checkpoint)
         reader = spark.readStream.schema(TOPIC_RECORD)
         if batch_limit:
             reader = reader.option("maxFilesPerTrigger", batch_limit)
         return self._subscribed(reader.parquet(self.path), topics).where(_from(topics, starting))
 
+    def _first_start(self, spark: SparkSession, topics: str | Iterable[str], starting: str, checkpoint: str) -> str:
+        """The start as it was resolved when this checkpoint's stream began."""
+        path = f"{checkpoint}/start-positions"
+        if "_SUCCESS" not in names_in(spark, path):
+            given = {} if starting == "latest" else json.loads(starting)
+            ends = end_positions(self._subscribed(spark.read.schema(TOPIC_RECORD).parquet(self.path), topics))
+            named = {name: ends.get(name, {}) for name in _names(topics)} if starting == "latest" else {
+                name: {n: ends.get(name, {}).get(int(n), 0) if at == LATEST else at for n, at in by.items()} for name, by in given.items()
+            }
+            text = spark.createDataFrame([(json.dumps(named),)], "value STRING").coalesce(1)
+            text.write.mode("overwrite").text(path)
+        return spark.read.text(path).first()["value"]
+
     def _subscribed(self, records: DataFrame, topics: str | Iterable[str]) -> DataFrame:
         return records.where(F.col("topic").isin(_names(topics))).select(TOPIC_RECORD.names)
 
@@ -128,12 +148,19 @@ def _bounded(topics: str | Iterable[str], positions: Positions, within: Callable
     return kept
 
 
+def _is_open(starting: str) -> bool:
+    """Whether a start depends on what there is when it is taken."""
+    if starting in ("earliest", "latest"):
+        return starting == "latest"
+    return any(position == LATEST for by in json.loads(starting).values() for position in by.values())
+
+
 def _from(topics: str | Iterable[str], starting: str) -> Column:
     if starting == "earliest":
         return F.lit(True)
-    positions = {} if starting == "latest" else json.loads(starting)
-    if not positions or any(position == LATEST for by in positions.values() for position in by.values()):
+    if _is_open(starting):
         raise ValueError("a directory is read from its earliest record or from given offsets; see end_positions")
+    positions = json.loads(starting)
     return _bounded(topics, positions, lambda offset, position: offset >= position, min)
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from tidemark.schemas import TOPIC_RECORD
 from tidemark.session import last_batch
@@ -95,6 +96,57 @@ def pass_through(
     return _start(writer, checkpoint, interval)
 
 
+class Progress(StreamingQueryListener):
+    """The progress of one query's micro-batches that took rows, as (batch id, rows), the last ``most`` of them."""
+
+    def __init__(self, most: int = 1000) -> None:
+        self.batches: deque[tuple[int, int]] = deque(maxlen=most)
+        self.of: str | None = None
+        self._early: list[tuple[str, int, int]] = []
+
+    def follow(self, query: StreamingQuery) -> None:
+        self.of = str(query.runId)
+        for run_id, batch_id, rows in self._early:
+            self._add(run_id, batch_id, rows)
+        self._early.clear()
+
+    def _add(self, run_id: str, batch_id: int, rows: int) -> None:
+        if self.of is None:
+            self._early.append((run_id, batch_id, rows))
+        elif run_id == self.of and rows:
+            self.batches.append((batch_id, rows))
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self._add(str(event.progress.runId), event.progress.batchId, event.progress.numInputRows)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def drain(start: Callable[[], StreamingQuery], spark: SparkSession) -> list[tuple[int, int]]:
+    """Run a query that has an interval until all its input there is now is taken, then stop it; returns (batch id, rows) of
+    its micro-batches. A query that fails raises its error."""
+    progress = Progress()
+    spark.streams.addListener(progress)
+    try:
+        query = start()
+        progress.follow(query)
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    finally:
+        spark.streams.removeListener(progress)
+    return list(progress.batches)
+
+
 def run(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
     """Wait until the query ends, or stop it after ``timeout`` seconds."""
     if timeout is None:
