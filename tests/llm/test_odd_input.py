@@ -22,7 +22,8 @@ ROWS = [
 ]
 CLASHING = (
     "key words hash hashes text_ lines size label labels component found rule rules verdict score rank bucket target "
-    "source_size copies copy row plan item items n taken dual mean fingerprint component_id held_out quality"
+    "source_size copies copy row plan item items n taken dual mean fingerprint component_id held_out quality "
+    "_row_key _row _spans _cut number met cut spans order unnamed m low n_high run start nth rows"
 ).split()
 
 
@@ -67,13 +68,16 @@ def test_no_rows_give_no_rows(spark, name):
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
 def test_stages_take_odd_rows(spark, sf_dir, name, stage):
     plain = spark.createDataFrame(ROWS, SCHEMA)
-    wider = plain.select("*", *[F.lit("x").alias(c) for c in CLASHING])
+    wider = plain.select("*", *[F.lit("x").alias(c) for c in CLASHING], F.create_map(F.lit("k"), F.col("source")).alias("map"))
     found = stage(spark, wider, sf_dir)
     # The mix puts its own size and target in the place of columns with these names.
     kept = [c for c in wider.columns if name != "mixed" or c not in corpus_pipeline.MIX_COLUMNS]
     assert found.columns[: len(kept)] == kept
     assert len(set(found.columns)) == len(found.columns)
     assert 0 < found.count() <= 3 * len(ROWS)
+    gone = corpus_pipeline.MIX_COLUMNS if name == "mixed" else ()
+    assert {r[c] for r in found.collect() for c in CLASHING if c not in gone} == {"x"}
+    assert all(r["map"] == {"k": r["source"]} for r in found.collect())
     assert stage(spark, spark.createDataFrame([], SCHEMA), sf_dir).count() == 0
 
 

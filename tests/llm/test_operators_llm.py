@@ -500,3 +500,32 @@ def test_pipeline_stages(spark, sf_dir, documents):
     taken = mixing.mix(fourth).filter("copies > 0").select("doc_id", "copies")
     assert rows(last.groupBy("doc_id").agg(F.count("*").cast("int").alias("copies"))) == rows(taken)
     assert set(docs.columns) < set(last.columns)
+
+
+def test_url_scores_do_not_depend_on_the_batch():
+    rng = random.Random(8)
+    make = lambda: "".join(rng.choices("abc/.-", k=rng.randrange(60))).encode()
+    judge = urls.calibrate([(make(), i % 2 == 0) for i in range(400)])
+    texts = [make() for _ in range(500)] + [b""]
+    assert judge.scores(texts).tolist() == [judge.scores([t])[0] for t in texts]
+
+
+def test_rare_languages_and_wide_scripts_are_learned(spark):
+    """One document in 2,000 is in a rare language; most of its sample's bytes lie past the window's first ones."""
+    common_text, rare = "the thing and the other thing of it " * 9, "где хлеб там и дом же " * 12
+    docs = spark.range(20_000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 2000 == 7, rare).otherwise(common_text).alias("text"),
+        F.when(F.col("id") % 2000 == 7, "ru").otherwise("en").alias("lang"),
+    )
+    taken = Counter(r.lang for r in langid.sample(docs, limit=400).collect())
+    assert taken["ru"] >= 10 and taken["en"] >= 100
+    found = langid.languages(docs, limit=400).join(docs.select("doc_id", "lang"), "doc_id")
+    assert found.filter("lang <> lang_pred").count() == 0
+
+
+def test_unconverged_mixes_are_an_error(spark):
+    rows = spark.createDataFrame([("a", 3, 10), ("a", 50, 2), ("b", 1, 4)], "source string, size bigint, n bigint")
+    sources = spark.createDataFrame([("a", 130, 12, 20.0), ("b", 4, 4, 5.0)], "source string, source_size bigint, n bigint, target double")
+    with pytest.raises(RuntimeError, match="Newton turns"):
+        mixing.balance(rows, sources, 3, turns=1)

@@ -127,8 +127,8 @@ def hits(texts: DataFrame, benchmark: DataFrame, window: int = 10, k: int = 6) -
     return counted.join(named, "key")
 
 
-def document_key() -> Column:
-    return row_key(F.col("doc_id"), F.col("text"))
+def document_key(doc_id: Column | None = None, text: Column | None = None) -> Column:
+    return row_key(F.col("doc_id") if doc_id is None else doc_id, F.col("text") if text is None else text)
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = 10, k: int = 6) -> DataFrame:

@@ -5,17 +5,18 @@ from __future__ import annotations
 import functools
 import pickle
 import sys
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hash_sample
+from .common import written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -93,16 +94,19 @@ def _predict(packed: bytes, data: np.ndarray, offsets: np.ndarray, block: int =
 
 
 def train(samples: list[tuple[str, str]], window: int = 256, filters: int = 8, epochs: int = 24, seed: int = 7) -> ByteConvNet | None:
-    """Fit the network to (language, passage) samples by Adam; each language weighs the same. None without samples."""
+    """Fit the network to (language, passage) samples by Adam; each language weighs the same. A passage of more bytes than a
+    window is as many samples as it fills windows. None without samples."""
     labels = tuple(sorted({lang for lang, _ in samples}))
     if not labels:
         return None
     rng = np.random.default_rng(seed)
-    encoded = [np.frombuffer(text.encode()[:window], np.uint8) for _, text in samples]
+    whole = [(lang, text.encode()) for lang, text in samples]
+    cut = [(lang, data[at : at + window]) for lang, data in whole for at in range(0, max(len(data), 1), window)]
+    encoded = [np.frombuffer(data, np.uint8) for _, data in cut]
     offsets = np.concatenate(([0], np.cumsum([len(x) for x in encoded])))
     data = _lower_bytes(np.concatenate([*encoded, np.zeros(1, np.uint8)]))
     x = _gather(data, offsets[:-1], offsets[1:], window).astype(np.int64)
-    y = np.array([labels.index(lang) for lang, _ in samples])
+    y = np.array([labels.index(lang) for lang, _ in cut])
     weight = 1 / np.bincount(y, minlength=len(labels))[y]
     params = [rng.normal(0, 0.3, (w, 256, filters)).astype(np.float32) for w in WIDTHS]
     params += [np.zeros(len(WIDTHS) * filters, np.float32)]
@@ -140,16 +144,22 @@ def train(samples: list[tuple[str, str]], window: int = 256, filters: int = 8, e
     return ByteConvNet(labels, window, tuple(params[:3]), params[3], params[4], params[5])
 
 
-def sample(labelled: DataFrame, limit: int = 6000, window: int = 256) -> list[tuple[str, str]]:
-    """Up to limit (lang, passage) samples: two passages, anywhere in it, of each text picked by a hash of its doc_id, so a
-    rerun takes the same. Null ids, null languages and null or empty texts are left out."""
-    rows = labelled.filter("doc_id is not null and lang is not null")
+def sample(labelled: DataFrame, limit: int = 6000, window: int = 256) -> DataFrame:
+    """(lang, passage): up to limit samples, two passages, anywhere in it, of each text picked by a hash of its doc_id, so a
+    rerun takes the same. Languages share the texts evenly, so a rare one is learned at any size of the table. Null ids,
+    null languages and null or empty texts are left out."""
+    rows = labelled.filter("doc_id is not null and lang is not null").select("doc_id", "lang", "text")
+    counts = written(rows.groupBy("lang").agg(F.count("*").alias("n")), "language-counts")
+    each = max(limit // 2 // max(counts.count(), 1), 1)
+    # The counts set a hash below which about 1.2 * each rows of a language lie, so a task sends few rows.
+    code, spots = F.xxhash64("doc_id", "lang"), 1 << 31
+    below = rows.join(counts, "lang").filter(F.pmod(code, F.lit(spots)) < F.lit(1.2 * each * spots) / F.col("n") + 1)
+    ids = below.select("doc_id", "lang").distinct().withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(code, "doc_id")))
+    ids = written(ids.filter(F.col("nth") <= each).select("doc_id", "lang"), "language-ids")
+    picked = rows.join(ids, ["doc_id", "lang"]).filter("text <> ''")
     spot = lambda i: F.lit(1) + F.pmod(F.xxhash64("text", F.lit(i)), F.greatest(F.length("text") - window + 1, F.lit(1))).cast("int")
-    ids = hash_sample(rows.select("doc_id", "lang"), limit // 2, "doc_id", "lang").select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
-    picked = rows.join(ids, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))).filter("text <> ''")
     passages = F.explode(F.array(*[F.substr("text", spot(i), F.lit(window)) for i in range(2)]))
-    taken = picked.select("doc_id", "lang", passages.alias("passage")).distinct().orderBy("doc_id", "lang", "passage").limit(limit)
-    return [(r.lang, r.passage) for r in taken.collect()]
+    return picked.select("doc_id", "lang", passages.alias("passage")).distinct().orderBy("doc_id", "lang", "passage").limit(limit).select("lang", "passage")
 
 
 def identify(text: Column, net: ByteConvNet | None) -> Column:
@@ -178,8 +188,18 @@ def held_out(doc_id: Column) -> Column:
 
 
 def network(documents: DataFrame, limit: int = 6000) -> ByteConvNet | None:
-    """Train on a bounded sample of the documents that aren't held out."""
-    return train(sample(documents.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))), limit))
+    """Train on a bounded sample of the documents that aren't held out, in a task that holds the sample."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        samples = [(r["lang"], r["passage"]) for batch in batches for r in batch.to_pylist()]
+        if samples:
+            net = train(sorted(samples))
+            parts = pickle.dumps(tuple(getattr(net, f.name) for f in fields(net)))
+            yield pa.RecordBatch.from_arrays([pa.array([parts], pa.binary())], names=["net"])
+
+    samples = sample(documents.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))), limit)
+    fitted = samples.coalesce(1).mapInArrow(each, "net binary").collect()
+    return ByteConvNet(*pickle.loads(fitted[0].net)) if fitted else None
 
 
 def languages(documents: DataFrame, limit: int = 6000) -> DataFrame:

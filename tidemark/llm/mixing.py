@@ -72,9 +72,11 @@ def balance(histogram: DataFrame, sources: DataFrame, most: int, tolerance: floa
         ),
         "mix-state",
     )
-    for _ in range(turns):
+    for turn in range(turns + 1):
         if state.filter("not done").isEmpty():
             break
+        if turn == turns:
+            raise RuntimeError(f"{turns} Newton turns left sources that miss their targets by more than {tolerance:g} of them")
         s = state.filter("not done").withColumnRenamed("source", "s")
         rate = _rate(most)
         tokens = F.col("n") * F.col("size") * rate
@@ -149,7 +151,11 @@ def rounded(rows: DataFrame, most: int, per_bucket: int = 512) -> DataFrame:
 def planned(documents: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
     """One row (source, doc_id, size, m, source_size, target, low, n_high) per group of m documents equal in the first
     three: n_high of them are taken low + 1 times, the others low times."""
-    sized = documents.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    return plan(documents.select("doc_id", "source", word_count(F.col("text")).alias("size")), weights, most)
+
+
+def plan(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
+    """``planned`` for documents (doc_id, source, size) whose words are counted already."""
     rows = written(sized.groupBy("doc_id", "source", "size").agg(F.count("*").alias("m")), "mix-rows")
     histogram = written(rows.groupBy("source", "size").agg(F.sum("m").alias("n")), "mix-histogram")
     sizes = histogram.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"), F.sum("n").alias("n"))

@@ -220,11 +220,11 @@ def scan(documents: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES
 def redacted(documents: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES) -> DataFrame:
     """The documents with every span replaced by its kind in angle brackets (where spans overlap: the first's), and
     n_chars, if there is such a column, counted anew for these. All other documents and columns stay as they are."""
-    keyed = documents.select("*", row_key(F.col("doc_id"), F.col("text")).alias("_row_key"))
-    found = spans(keyed.select(F.col("_row_key").alias("key"), F.coalesce("text", F.lit("")).alias("text")), rules)
-    grouped = found.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("_spans"))
-    grouped = written(grouped.withColumnRenamed("key", "_row_key"), "secret-spans")
-    text, kinds = F.col("text"), F.array(*[F.lit(f"<{r.kind}>") for r in rules])
+    keyed = documents.select(F.struct("*").alias("row"), row_key(F.col("doc_id"), F.col("text")).alias("key"))
+    found = spans(keyed.select("key", F.coalesce("row.text", F.lit("")).alias("text")), rules)
+    grouped = found.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"))
+    grouped = written(grouped, "secret-spans")
+    text, kinds = F.col("row.text"), F.array(*[F.lit(f"<{r.kind}>") for r in rules])
 
     def step(state: Column, x: Column) -> Column:
         piece = F.substr(text, (state["at"] + 1).cast("int"), (x["start"] - state["at"]).cast("int"))
@@ -233,10 +233,8 @@ def redacted(documents: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_R
 
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
     rest = lambda s: F.concat(s["out"], F.substr(text, (s["at"] + 1).cast("int")))
-    cut = F.when(F.col("_spans").isNull(), text).otherwise(F.aggregate("_spans", start, step, rest))
-    joined = keyed.join(grouped, "_row_key", "left").withColumn("_cut", cut)
-    anew = {
-        "text": F.col("_cut"),
-        "n_chars": F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("_cut").cast("bigint")) if "n_chars" in documents.columns else None,
-    }
-    return joined.select(*[anew[c].alias(c) if c in anew else c for c in documents.columns])
+    cut = F.when(F.col("spans").isNull(), text).otherwise(F.aggregate("spans", start, step, rest))
+    joined = keyed.join(grouped, "key", "left").select("row", "spans", cut.alias("cut"))
+    length = F.when(F.col("spans").isNull(), F.col("row")["n_chars"]).otherwise(F.length("cut").cast("bigint")) if "n_chars" in documents.columns else None
+    anew = {"text": F.col("cut"), "n_chars": length}
+    return joined.select(*[(anew[c] if c in anew else F.col("row")[c]).alias(c) for c in documents.columns])

@@ -94,8 +94,9 @@ def linked_components(prints: DataFrame, max_bits: int = 4) -> DataFrame:
     share a chain: from some segment on, the first l segments differ in at most l * max_bits / m bits for every l. So
     the first segment is equal and the second differs in one bit at most, which is the join key; longer chains are
     tested before the full distance. Dense groups are contracted first: each member is tied to the least one under its
-    key, and afterwards only links between different groups leave the join, so a large group of near copies emits
-    about one edge for each member, never all its pairs.
+    key, and afterwards only links between different groups leave the join. Members that are not tied by one round keep labels
+    of their own, and links between these leave the join too: in trials with clouds of thousands of distinct fingerprints
+    around one text, tens of links a member, rising slowly with their number. Fingerprints that many documents share count once.
     """
     count = max(max_bits + 1, 4)
     segments = _segments(count)
