@@ -10,82 +10,81 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, langid, mixing, secrets, simhash
-from tidemark.llm.common import table, written
+from tidemark.llm.common import meet_classes, table, written
 
 MIN_LANGUAGE_SCORE = 0.3
 MIX_COLUMNS = ("size", "source_size", "target", "copy")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, and those no language fits, go. The languages are learned from docs."""
+    """Documents without a letter, null texts among them, and those no language fits, go. The languages are learned from docs.
+    Repeated rows stay or go together; no rows give no rows; other columns of any name and type come along."""
     found = langid.identify(F.col("text"), langid.network(docs))
-    return docs.filter((found["lang_pred"] != langid.UNDETERMINED) & (found["score"] >= MIN_LANGUAGE_SCORE))
+    fits = (found["lang_pred"] != langid.UNDETERMINED) & (found["score"] >= MIN_LANGUAGE_SCORE)
+    return docs.filter(fits)
+
+
+def numbered(docs: DataFrame, purpose: str) -> DataFrame:
+    """(row, number): each document packed, under a number of its own, in a written table that all reads agree on."""
+    return written(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number")), purpose)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies one row stays: the one with the smallest doc_id, without one only if all lack it, and
-    of several the one with the smallest key of id and text. Rows are compared one by one, whatever doc_ids they share."""
-    keyed = docs.withColumn("_row_key", decontam.document_key())
-    # Orders rows as above and tells all apart that differ in id or text.
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.col("_row_key").alias("key"))
-    groups = simhash.near_copies(keyed.select(order.alias("doc_id"), "text"), shingle=4, max_bits=4, seed=42)
-    firsts = written(
-        groups.filter("doc_id = component_id").select(F.col("doc_id.key").alias("_row_key")).distinct(), "pipeline-firsts"
-    )
-    # Rows equal in id and text are one group's first together: one of them stays.
-    kept = keyed.join(firsts, "_row_key", "left_semi").groupBy("_row_key").agg(
-        F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row")
-    )
-    return kept.select("_row.*")
+    of several the one with the smallest key of id and text. Rows are compared one by one, whatever doc_ids they share;
+    repeated rows are copies of each other, and so are rows without words. No rows give no rows; other columns of any name
+    and type come along."""
+    rows = numbered(docs, "pipeline-rows")
+    # Orders rows as above and tells all apart.
+    key = decontam.document_key(F.col("row.doc_id"), F.col("row.text"))
+    order = F.struct(F.col("row.doc_id").isNull().alias("unnamed"), F.col("row.doc_id").alias("doc_id"), key.alias("key"), "number")
+    groups = simhash.near_copies(rows.select(order.alias("doc_id"), F.col("row.text").alias("text")), shingle=4, max_bits=4, seed=42)
+    firsts = written(groups.filter("doc_id = component_id").select("doc_id.number"), "pipeline-firsts")
+    return rows.join(firsts, "number", "left_semi").select("row.*")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
-    keyed = docs.select("*", decontam.document_key().alias("_row_key"))
-    texts = keyed.select(F.col("_row_key").alias("key"), "text")
-    found = written(decontam.hits(texts, table(spark, sf_dir, "benchmark")).select(F.col("key").alias("_row_key")), "pipeline-hits")
-    return keyed.join(found, "_row_key", "left_anti").select(docs.columns)
+    """Documents that hold a window of a benchmark item go, each copy of a repeated row alike; rows without text or words
+    stay. No rows give no rows; other columns of any name and type come along."""
+    keyed = docs.select(F.struct("*").alias("row"), decontam.document_key().alias("key"))
+    texts = keyed.select("key", F.col("row.text").alias("text"))
+    found = written(decontam.hits(texts, table(spark, sf_dir, "benchmark")).select("key"), "pipeline-hits")
+    return keyed.join(found, "key", "left_anti").select("row.*")
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are cut out of the texts, each span replaced by its kind in angle brackets; n_chars follows the text."""
+    """Secrets are cut out of the texts, each span replaced by its kind in angle brackets; n_chars follows the text. Every row
+    stays, repeated ones and those without text too; no rows give no rows; other columns of any name and type come along."""
     return secrets.redacted(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it (copy 1, 2, 3), with its size and its source's size and target. Columns
-    of docs that have one of these names give way to them."""
-    plan = written(
-        mixing.planned(docs).filter("low > 0 or n_high > 0").withColumn("plan_id", F.monotonically_increasing_id()), "pipeline-mix"
-    )
-    rows = docs.select(F.struct("*").alias("row"), mixing.word_count(F.col("text")).alias("words"))
-
-    def joined(plan: DataFrame) -> DataFrame:
-        same = (
-            F.col("row.doc_id").eqNullSafe(F.col("plan.doc_id"))
-            & F.col("row.source").eqNullSafe(F.col("plan.source"))
-            & (F.col("words") == F.col("plan.size"))
-        )
-        # The plan has a row per document: it is merged at every size, never broadcast where a small input would allow it.
-        return rows.join(plan.select(F.struct("*").alias("plan")).hint("merge"), same).select("row", "plan")
-
-    # Rows of a group with two numbers of copies are numbered: in runs by their place in a written table, so that a hot
-    # group is spread, and the runs by the number of the group's rows before them.
-    place = F.monotonically_increasing_id()
-    shared = written(joined(plan.filter("n_high > 0")).select("row", "plan", place.alias("place")), "pipeline-shared")
-    shared = shared.withColumn("plan_id", F.col("plan.plan_id")).withColumn("run", F.floor(F.col("place") / mixing.RUN))
-    earlier = Window.partitionBy("plan_id").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    starts = shared.groupBy("plan_id", "run").agg(F.count("*").alias("rows"))
-    starts = starts.select("plan_id", "run", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("start"))
-    number = F.row_number().over(Window.partitionBy("plan_id", "run").orderBy("place")) + F.col("start")
-    numbered = shared.join(starts, ["plan_id", "run"]).select(
-        "row", "plan", (F.col("plan.low") + (number <= F.col("plan.n_high")).cast("int")).alias("copies")
-    )
-    taken = joined(plan.filter("n_high = 0")).select("row", "plan", F.col("plan.low").alias("copies")).unionByName(numbered)
-    return taken.filter("copies > 0").select(
-        *[F.col(f"row.{c}") for c in docs.columns if c.lower() not in MIX_COLUMNS],
+    of docs that have one of these names give way to them. Repeated rows and rows without an id are taken row by row; rows
+    without words never; a null source is one of its own; no rows give no rows."""
+    rows = numbered(docs, "pipeline-rows")
+    key = F.struct(F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"), mixing.word_count(F.col("row.text")).alias("size"))
+    sized = written(rows.select("number", key.alias("key")), "pipeline-sizes")
+    plan = mixing.plan(sized.select("key.doc_id", "key.source", "key.size")).filter("low > 0 or n_high > 0")
+    groups = plan.select(F.struct("doc_id", "source", "size").alias("key"), F.col("m").alias("rows"), "m", "low", "n_high", "source_size", "target")
+    met = written(meet_classes(sized, written(groups, "pipeline-mix"), "key"), "pipeline-met")
+
+    # Rows of a group with two numbers of copies are counted off: in runs by their numbers, so that a hot group is spread,
+    # and the runs by the group's rows before them.
+    shared = met.filter("m > 1 and n_high > 0").withColumn("run", F.floor(F.col("number") / mixing.RUN))
+    earlier = Window.partitionBy("key").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    starts = shared.groupBy("key", "run").agg(F.count("*").alias("n"))
+    starts = starts.select("key", "run", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    nth = F.row_number().over(Window.partitionBy("key", "run").orderBy("number")) + F.col("start")
+    counted = shared.join(starts, ["key", "run"]).withColumn("copies", F.col("low") + (nth <= F.col("n_high")).cast("int"))
+    alone = met.filter("m = 1 or n_high = 0").withColumn("copies", F.col("low") + F.col("n_high").cast("int"))
+    given = ["number", F.col("key.size").alias("size"), "source_size", "target", "copies"]
+    taken = alone.select(*given).unionByName(counted.select(*given)).filter("copies > 0")
+    taken = written(taken.select("number", F.struct("size", "source_size", "target", "copies").alias("plan")), "pipeline-taken")
+    return rows.join(taken, "number").select(
+        *[F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in MIX_COLUMNS],
         "plan.size", "plan.source_size", "plan.target",
-        F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"),
+        F.explode(F.sequence(F.lit(1), F.col("plan.copies"))).alias("copy"),
     )
 
 
