@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from urllib.parse import urlsplit
 
@@ -292,6 +293,21 @@ def test_an_item_that_repeats_itself_has_few_fingerprints(spark):
     assert decontam.item_fingerprints(items, grams).count() <= 2 * grams.reach + 1
 
 
+def test_long_texts_and_shared_phrases_cost_what_they_hold(spark):
+    """A text of 30,000 words that is an item, and many texts and items that share seven words, but no window."""
+    rng = random.Random(12)
+    long = " ".join(f"w{rng.randrange(10**6)}" for _ in range(30_000))
+    phrase = "all of these begin with seven words"
+    docs = [(0, long + " and more"), (1, "x " * 3000 + " ".join(long.split()[995:1010]))]
+    docs += [(10 + i, f"d{i} d{i} d{i} d{i} {phrase} d{i} d{i} d{i} d{i}") for i in range(600)]
+    items = [(0, long)] + [(10 + i, f"b{i} b{i} b{i} b{i} {phrase} b{i} b{i} b{i} b{i}") for i in range(600)]
+    docs, items = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    began = time.monotonic()
+    found = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontam.decontaminate(docs, items).filter("contaminated").collect()}
+    assert found == {0: (30_002, 30_000, 1), 1: (3015, 15, 1)}
+    assert time.monotonic() - began < 120
+
+
 # --- 7
 
 

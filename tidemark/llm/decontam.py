@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,9 @@ BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
+PIECE = 1000  # words of a text that are looked at together
+
+
 @dataclass(frozen=True)
 class Grams:
     """Fingerprints that find every shared run of `need` words: hashes of k words, of which each window of
@@ -48,49 +52,54 @@ def _winnowed(name: str, grams: Grams) -> Column:
     return F.when(F.size(name) >= span, F.array_distinct(least)).otherwise(F.expr("CAST(array() AS array<bigint>)"))
 
 
-def _around(name: str, at: Column, grams: Grams) -> Column:
-    """The words within reach of the k-gram at a position; null past the text's ends."""
-    return F.transform(F.sequence(at - grams.reach, at + grams.need - 1), lambda j: F.get(F.col(name), j))
+def pieces(worded: DataFrame, overlap: int) -> DataFrame:
+    """(key, offset, words) of bounded length from (key, words): every run of overlap + 1 words lies whole in a piece, so work
+    that goes by pieces grows with a text's length and not with its square."""
+    at = F.sequence(F.lit(0), F.floor(F.greatest(F.size("words") - 1, F.lit(0)) / PIECE).cast("int"))
+    cut = F.transform(at, lambda i: F.struct((i * PIECE).alias("offset"), F.slice("words", i * PIECE + 1, PIECE + overlap).alias("words")))
+    return worded.select("key", F.explode(cut).alias("piece")).select("key", "piece.offset", "piece.words")
+
+
+def _of_kind(items: DataFrame, grams: Grams) -> DataFrame:
+    """The items whose windows have the kind's length."""
+    return items.filter(F.size("words") >= grams.need if grams.reach else F.size("words") == grams.need)
 
 
 def item_fingerprints(items: DataFrame, grams: Grams) -> DataFrame:
-    """(hash, item, context) of the positions of kept fingerprints in items (item, words). Positions with the same words
-    around them are one row, so an item that repeats itself does not multiply a document's hits."""
-    if grams.reach:
-        own = items.filter(F.size("words") >= grams.need)
-    else:
-        own = items.filter(F.size("words") == grams.need)
-    marked = own.withColumn("hashes", _hashes("words", grams)).withColumn("kept", _winnowed("hashes", grams))
-    places = marked.select("item", "words", "kept", F.posexplode("hashes").alias("at", "hash"))
-    return places.filter(F.array_contains("kept", F.col("hash"))).select(
-        "hash", "item", _around("words", F.col("at"), grams).alias("item_context")
-    ).distinct()
-
-
-def _runs(found: DataFrame, grams: Grams) -> DataFrame:
-    """(key, item, first, last) of the shared runs of `need` words or more, from fingerprint hits extended word by word."""
-    e, k = grams.reach, grams.k
-    same = found.withColumn("same", F.zip_with("context", "item_context", lambda a, b: F.coalesce(a == b, F.lit(False))))
-
-    def run(part: Column) -> Column:
-        stop = F.array_position(part, False)
-        return F.when(stop == 0, F.lit(e)).otherwise(stop - 1).cast("int")
-
-    extended = same.filter(F.forall(F.slice("same", e + 1, k), lambda x: x)).select(
-        "key", "item", "at",
-        run(F.reverse(F.slice("same", 1, e))).alias("left"),
-        run(F.slice("same", e + k + 1, e)).alias("right"),
-    )
-    return extended.filter(F.col("left") + k + F.col("right") >= grams.need).select(
-        "key", "item", (F.col("at") - F.col("left")).alias("first"), (F.col("at") + F.col("right") + (k - 1)).alias("last")
-    )
+    """(hash) of the kept fingerprints in items (item, words), each once."""
+    hashed = _of_kind(items, grams).select(_hashes("words", grams).alias("hashes"))
+    return hashed.select(F.explode(_winnowed("hashes", grams)).alias("hash")).distinct()
+
+
+def _window(start: Column, grams: Grams) -> Column:
+    """The window that starts there in the array column `words`: its hash and its words."""
+    own = F.slice("words", start + 1, grams.need)
+    return F.struct(F.xxhash64(F.lit(-grams.need), own).alias("hash"), own.alias("words"), start.alias("start"))
+
+
+def item_windows(items: DataFrame, grams: Grams) -> DataFrame:
+    """(hash, words, item) of every window of the items (item, words), each once."""
+    all_of = F.transform(F.sequence(F.lit(0), F.size("words") - grams.need), lambda i: _window(i, grams))
+    return _of_kind(items, grams).select("item", F.explode(all_of).alias("w")).select("w.hash", "w.words", "item").distinct()
+
+
+def _windows_around(grams: Grams, hashes: str) -> Column:
+    """Every window of the kind, in the array column `words`, that holds a met fingerprint."""
+    at = F.filter(F.sequence(F.lit(0), F.size(hashes) - 1), lambda i: F.array_contains("met", F.col(hashes)[i]))
+    first = lambda i: F.greatest(i - grams.reach, F.lit(0))
+    last = lambda i: F.least(i, F.size("words") - grams.need)
+    starts = F.array_distinct(F.flatten(F.transform(at, lambda i: F.when(first(i) <= last(i), F.sequence(first(i), last(i))).otherwise(F.expr("CAST(array() AS array<int>)")))))
+    found = F.transform(starts, lambda i: _window(i, grams))
+    return F.when(F.size(hashes) > 0, found).otherwise(F.expr("CAST(array() AS array<struct<hash:bigint,words:array<string>,start:int>>)"))
 
 
 def hits(texts: DataFrame, benchmark: DataFrame, window: int = 10, k: int = 6) -> DataFrame:
     """(key, n_hit, items) of the texts (key, text) in which a window of a benchmark item occurs; items are its ids.
 
-    Fingerprints of both sides are joined on the hash, so all-pairs work never arises; the benchmark's side is broadcast
-    only if it is written small. Texts with a hit are read again to extend the hits and to test them word by word.
+    Kept fingerprints of both sides are joined on the hash; texts that meet one are read again, and each hit is extended to
+    the windows that hold it. These meet the items' windows by all their words, so a phrase that texts and items share,
+    but shorter than a window, joins nothing, and items come in only where a window is met. The benchmark's side is broadcast only if Spark finds it
+    small as written. All lengths of items are looked for in the same two passes.
     """
     items = written(
         benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words(F.col("text")).alias("words"))
@@ -101,30 +110,29 @@ def hits(texts: DataFrame, benchmark: DataFrame, window: int = 10, k: int = 6) -
     lengths = [r[0] for r in items.select(F.least(F.size("words"), F.lit(window)).alias("n")).distinct().collect()]
     # Items shorter than the window are windows of their own length, matched whole: at most window - 1 such lengths.
     kinds = [Grams(k, window) if n == window else Grams(n, n) for n in sorted(lengths)]
-    runs = None
-    for grams in kinds:
-        prints = written(item_fingerprints(items, grams), "benchmark-prints")
-        hashed = texts.withColumn("words", words(F.col("text"))).select("key", "words", _hashes("words", grams).alias("hashes"))
-        kept = hashed.select("key", F.explode(_winnowed("hashes", grams)).alias("hash"))
-        met = kept.join(prints.select("hash").distinct(), "hash").groupBy("key").agg(F.collect_set("hash").alias("met"))
-        met = written(met, "benchmark-candidates")
-        again = texts.join(met, "key").withColumn("words", words(F.col("text")))
-        placed = again.select("key", "met", "words", _hashes("words", grams).alias("hashes")).select(
-            "key", "words",
-            F.explode(
-                F.filter(F.transform("hashes", lambda h, i: F.struct(h.alias("hash"), i.alias("at"))), lambda x: F.array_contains("met", x["hash"]))
-            ).alias("hit"),
-        )
-        placed = placed.select("key", "hit.hash", "hit.at", _around("words", F.col("hit.at"), grams).alias("context"))
-        part = _runs(placed.join(prints, "hash"), grams)
-        runs = part if runs is None else runs.unionByName(part)
-    if runs is None:
+    if not kinds:
         return texts.select("key", F.lit(0).cast("bigint").alias("n_hit"), F.array(F.lit("")).alias("items")).limit(0)
+    union = lambda parts: functools.reduce(DataFrame.unionByName, parts)
+    prints = written(union([item_fingerprints(items, grams) for grams in kinds]).distinct(), "benchmark-prints")
+    windows = written(union([item_windows(items, grams) for grams in kinds]), "benchmark-windows")
+
+    def hashed(own: DataFrame) -> DataFrame:
+        return pieces(own.select("key", words(F.col("text")).alias("words")), window - 1)
+
+    columns = [_hashes("words", grams).alias(f"hashes_{grams.need}") for grams in kinds]
+    kept = F.concat(*[_winnowed(f"hashes_{grams.need}", grams) for grams in kinds])
+    met = hashed(texts).select("key", "offset", *columns).select("key", "offset", F.explode(kept).alias("hash")).join(prints, "hash")
+    met = written(met.groupBy("key", "offset").agg(F.collect_set("hash").alias("met")), "benchmark-candidates")
+    again = texts.join(met.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    placed = hashed(again).join(met, ["key", "offset"]).select("key", "offset", "words", "met", *columns)
+    found = F.concat(*[_windows_around(grams, f"hashes_{grams.need}") for grams in kinds])
+    placed = placed.select("key", "offset", F.explode(found).alias("w")).select("key", "w.hash", "w.words", (F.col("offset") + F.col("w.start")).alias("first"))
+    runs = placed.join(windows.select("hash", "words").distinct(), ["hash", "words"], "left_semi")
     runs = written(runs.distinct(), "benchmark-runs")
-    covered = runs.select("key", F.explode(F.sequence("first", "last")).alias("at")).distinct()
+    covered = runs.select("key", F.explode(F.sequence("first", F.col("first") + F.size("words") - 1)).alias("at")).distinct()
     counted = covered.groupBy("key").agg(F.count("*").alias("n_hit"))
-    named = runs.select("key", "item").distinct().groupBy("key").agg(F.array_sort(F.collect_list("item")).alias("items"))
-    return counted.join(named, "key")
+    named = runs.select("key", "hash", "words").distinct().join(windows, ["hash", "words"]).select("key", "item").distinct()
+    return counted.join(named.groupBy("key").agg(F.array_sort(F.collect_list("item")).alias("items")), "key")
 
 
 def document_key(doc_id: Column | None = None, text: Column | None = None) -> Column:
