@@ -87,6 +87,17 @@ def _distance(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
+def _contracted(stars: DataFrame, steps: int = 3) -> DataFrame:
+    """(fingerprint, label): the least fingerprint within `steps` edges of stars (a, b). Equal labels are connected, which is
+    all that contraction needs; the components themselves are found once, over all links."""
+    both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    labels = both.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("label"))
+    for _ in range(steps - 1):
+        around = both.join(labels.select(F.col("a").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("least"))
+        labels = labels.join(around, "a").select("a", F.least("label", "least").alias("label"))
+    return labels.withColumnRenamed("a", "fingerprint")
+
+
 def linked_components(prints: DataFrame, max_bits: int = 4) -> DataFrame:
     """(fingerprint, component) of distinct fingerprints that have a partner within max_bits differing bits.
 
@@ -94,8 +105,8 @@ def linked_components(prints: DataFrame, max_bits: int = 4) -> DataFrame:
     share a chain: from some segment on, the first l segments differ in at most l * max_bits / m bits for every l. So
     the first segment is equal and the second differs in one bit at most, which is the join key; longer chains are
     tested before the full distance. Dense groups are contracted first: each member is tied to the least one under its
-    key, and afterwards only links between different groups leave the join. Members that are not tied by one round keep labels
-    of their own, and links between these leave the join too: in trials with clouds of thousands of distinct fingerprints
+    key, takes the least one near it as its label, and afterwards only links between different labels leave the join. Members that
+    are not tied by one round keep labels of their own, and links between these leave the join too: in trials with clouds of thousands of distinct fingerprints
     around one text, tens of links a member, rising slowly with their number. Fingerprints that many documents share count once.
     """
     count = max(max_bits + 1, 4)
@@ -108,7 +119,7 @@ def linked_components(prints: DataFrame, max_bits: int = 4) -> DataFrame:
         .select(F.col("fingerprint").alias("a"), F.col("leader").alias("b"))
     )
     stars = written(stars.distinct(), "simhash-stars")
-    groups = written(components(stars).withColumnsRenamed({"node": "fingerprint", "component": "label"}), "simhash-groups")
+    groups = written(_contracted(stars), "simhash-groups")
     labelled = prints.join(groups, "fingerprint", "left").select(
         "fingerprint", F.coalesce("label", "fingerprint").alias("label")
     )
