@@ -21,6 +21,7 @@ from tidemark.functions import (
     infer_json_schema,
     json_field,
     json_value,
+    merge_types,
     my_average,
     my_average_sql,
     parse_declared,
@@ -341,3 +342,11 @@ def test_date_part_with(spark):
     rows = spark.createDataFrame([("1-2-2024",), (None,), ("x",)], "d STRING")
     parsed = lambda t: datetime.datetime.strptime(t, "%d-%m-%Y") if t != "x" else None
     assert [r[0] for r in rows.select(date_part_with(parsed, "d")).collect()] == ["2024-02-01", None, None]
+
+
+def test_merged_types_are_those_of_one_batch(spark):
+    pairs = [('{"a": 1}', '{"a": 1.5, "b": [1]}'), ('{"a": {"x": 1}}', '{"a": {"y": true}}'), ('{"a": [1]}', '{"a": ["t"]}'), ('{"a": 1}', '{"a": {"x": 1}}'), ('{"a": true}', '{"a": 2}')]
+    for pair in pairs:
+        one, two = (infer_json_schema(spark.createDataFrame([(text,)], "value STRING")) for text in pair)
+        both = infer_json_schema(spark.createDataFrame([(text,) for text in pair], "value STRING"))
+        assert merge_types(one, two) == merge_types(two, one) == both

@@ -7,6 +7,7 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.__main__ import JOBS, main
 from tidemark.config import LogBatchConfig, LogStreamConfig, ProfileStreamConfig
@@ -26,6 +27,7 @@ from tidemark.plans.jobs import (
 from tidemark.schemas import TOPIC_RECORD
 from tidemark.sources import RecordFiles, as_records
 from tidemark.streaming import each_batch, offset_ranges, partition_report, pass_through, run
+from tidemark.streaming.columns import columns_so_far
 
 HEADER = "application,module,message,date,response_time"
 
@@ -329,6 +331,23 @@ def test_inferred_batches_may_differ_in_schema(spark, topics, config):
     assert sink(spark, config, "json", columns) == [("a", "l", 1, "own field"), ("b", None, None, None)]
 
 
+def test_later_batches_keep_earlier_columns(spark, topics, config):
+    def last_columns(number):
+        (path,) = Path(f"{config.output}-ORC").glob(f"batch=*-{number}")
+        return dict(spark.read.orc(str(path)).dtypes)
+
+    for texts in ([message("a", x=1, o={"p": True})], [message("b", x=1.5, y="t")], [message("c", o={"q": "r"}), ""]):
+        send(spark, topics, *texts)
+        run(stream_profiles_once(topics.stream(spark, "updates"), config))
+    assert last_columns(0)["x"] == "bigint"
+    assert "o" in last_columns(1) and last_columns(1)["x"] == "double"
+    last = last_columns(2)
+    assert (last["x"], last["y"], last["o"]) == ("double", "string", "struct<p:boolean,q:string>")
+    # A batch run again knows what was known before it, not what came later.
+    kept = columns_so_far(spark, config.checkpoint, 1, T.StructType([T.StructField("x", T.StringType())]))
+    assert kept["x"].dataType == T.StringType() and "y" not in kept.names
+
+
 def test_a_pinned_schema_keeps_the_columns(spark, topics, config):
     send(spark, topics, message("a", extra=1))
     schema = infer_json_schema(topics.read(spark, "updates"))

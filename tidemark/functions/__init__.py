@@ -11,6 +11,7 @@ from tidemark.functions.json_text import (
     infer_json_schema,
     json_field,
     json_value,
+    merge_types,
     parse_declared,
     parse_inferred,
 )
@@ -26,6 +27,7 @@ __all__ = [
     "infer_json_schema",
     "json_field",
     "json_value",
+    "merge_types",
     "my_average",
     "my_average_sql",
     "parse_declared",

@@ -77,6 +77,23 @@ def infer_json_schema(df: DataFrame, value: str = "value") -> T.StructType:
     return T.StructType.fromJson(json.loads(reader.json(strings).schema().json()))
 
 
+def merge_types(known: T.DataType, more: T.DataType) -> T.DataType:
+    """The type that holds the values of both, as the JSON reader merges what it sees in one batch: objects field by field,
+    whole numbers with fractions as fractions, all else that differs as text."""
+    if known == more:
+        return known
+    if isinstance(known, T.StructType) and isinstance(more, T.StructType):
+        fields = {field.name: field.dataType for field in known}
+        for field in more:
+            fields[field.name] = merge_types(fields[field.name], field.dataType) if field.name in fields else field.dataType
+        return T.StructType([T.StructField(name, fields[name]) for name in sorted(fields)])
+    if isinstance(known, T.ArrayType) and isinstance(more, T.ArrayType):
+        return T.ArrayType(merge_types(known.elementType, more.elementType))
+    if {type(known), type(more)} == {T.LongType, T.DoubleType}:
+        return T.DoubleType()
+    return T.StringType()
+
+
 def _trimmed(value: str) -> Column:
     return F.ltrim(F.col(value).cast("string"), F.lit(" \t\r\n"))
 

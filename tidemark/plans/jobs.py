@@ -13,11 +13,12 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.config import LogBatchConfig, LogStreamConfig, ProfileStreamConfig
 from tidemark.functions.aggregates import my_average
 from tidemark.functions.dates import UPDATE_DATE_PATTERN, date_part, date_time
-from tidemark.functions.json_text import CORRUPT_RECORD, has_text, parse_declared, parse_inferred
+from tidemark.functions.json_text import CORRUPT_RECORD, has_text, infer_json_schema, parse_declared, parse_inferred
 from tidemark.operators.keyed import LOG_AGG_CATALOG, USER_PROFILE_CATALOG, Catalog, KeyedTable, content_key, run_key
 from tidemark.operators.sinks import fan_out, group_for, require_avro, write_avro, write_partitioned, write_text
 from tidemark.schemas import APP_LOG, PROFILE_UPDATE
 from tidemark.sources.logs import parse_log_lines, read_logs, stream_lines
+from tidemark.streaming.columns import columns_so_far
 from tidemark.streaming.offsets import offset_ranges
 from tidemark.streaming.run import console, each_batch, write_stream, writer_of
 
@@ -169,6 +170,8 @@ def write_profile_batch(
     filled = has_text("value") if inferred else F.lit(True)
     packed = batch.select(F.struct(*wanted, filled.alias("is_message")).alias("_record"), "value")
     if inferred:
+        if schema is None and writer:
+            schema = columns_so_far(batch.sparkSession, config.checkpoint, batch_id, infer_json_schema(packed))
         rows = parse_inferred(packed, keep=("_record",), schema=schema, skip_blank=False)
         missing = [name for name in PROFILE_UPDATE.names if name not in rows.columns]
         rows = rows.withColumns({name: F.lit(None).cast(PROFILE_UPDATE[name].dataType) for name in missing})
@@ -248,8 +251,9 @@ def stream_profiles_once(
 ) -> StreamingQuery:
     """Messages with a schema inferred per batch, to files and the profile table, without duplicates.
 
-    Positions are reported per batch and count as read only once every sink is done. A ``schema``
-    inferred earlier, or named in the config, keeps the columns the same in every batch, and saves the inference.
+    Positions are reported per batch and count as read only once every sink is done. A batch has its own columns and those
+    of all batches before it, which the checkpoint keeps. A ``schema`` inferred earlier, or named in the config, keeps the
+    columns the same in every batch, and saves the inference.
     """
     if schema is None and config.message_schema:
         schema = T.StructType.fromDDL(config.message_schema)

@@ -46,7 +46,7 @@ from tidemark.plans.jobs import (
     write_profile_batch,
 )
 from tidemark.schemas import APP_LOG, PROFILE_UPDATE, TOPIC_RECORD
-from tidemark.session import scratch_dir
+from tidemark.session import names_in, scratch_dir
 from tidemark.sources.logs import CSV_OPTIONS, read_logs
 from tidemark.sources.topics import RecordFiles, as_records, end_positions
 from tidemark.streaming.offsets import offset_ranges, partition_report
@@ -973,6 +973,28 @@ def stream_replay_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("address", F.col("modified_fields")[0]["address"]).drop("modified_fields")
 
 
+@query(
+    "SELECT 'user.' || user_id AS user_id, CASE WHEN ts < '2024-01-16' THEN event_type END AS channel, "
+    "CASE WHEN ts >= '2024-01-16' THEN CAST(event_id AS DOUBLE) ELSE 0.5 END AS score FROM events"
+)
+def stream_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages lose a field and turn a fraction into a whole number; over a restart, the last batch's files still have every
+    column, and their layout reads all batches."""
+    config = profile_config(spark, formats=("orc",))
+    topics = RecordFiles(scratch_dir(spark, "topics")).create(spark)
+    events = table(spark, sf_dir, "events").withColumn("user", F.concat(F.lit("user."), "user_id"))
+    own = {True: (F.col("event_type").alias("channel"), F.lit(0.5).alias("score")), False: (F.col("event_id").alias("score"),)}
+    for first in (True, False):
+        given = F.col("user").alias("user_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS").alias("updated_at")
+        value = F.to_json(F.struct(*given, *own[first]))
+        rows = events.where(early(first))
+        topics.publish(as_records(rows, "drift", "user", value, partition=F.col("user_id") % 2, offset=F.col("event_id")))
+        run(stream_profiles_once(topics.stream(spark, "drift"), config))
+    path = f"{config.output}-ORC"
+    last = max(names_in(spark, path), key=lambda name: int(name.rsplit("-", 1)[1]))
+    return spark.read.schema(spark.read.orc(f"{path}/{last}").schema).orc(path).select("user_id", "channel", "score")
+
+
 @query(
     "SELECT 'profile_updates' AS topic, part AS partition, min(pos) AS from_offset, "
     "max(pos) + 1 AS until_offset, count(*) AS records FROM {updates} GROUP BY part"

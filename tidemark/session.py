@@ -55,7 +55,8 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in system.listStatus(found)] if system.exists(found) else []
 
 
-def last_batch(spark: SparkSession, path: str) -> int:
-    """The greatest number that a file of a stream's log directory is named by; -1 without one."""
+def last_batch(spark: SparkSession, path: str, below: int | None = None) -> int:
+    """The greatest number (below a bound) that a file of a stream's log directory is named by; -1 without one."""
     names = [name.split(".")[0] for name in names_in(spark, path)]
-    return max((int(name) for name in names if name.isdigit()), default=-1)
+    numbers = [int(name) for name in names if name.isdigit()]
+    return max((n for n in numbers if below is None or n < below), default=-1)
