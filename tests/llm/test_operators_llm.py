@@ -206,11 +206,65 @@ def test_license_size_bounds_lose_nothing():
             assert low <= len(a) <= high
 
 
-def test_license_notices(spark):
-    texts = ["x\nReleased under the MIT license", licenses.TEMPLATES["MIT-text"].replace(" copy, ", "\ncopy, "), "no licence", None, ""]
+def best_windows(text, templates, threshold):
+    """{license: (dice, notices)}, from every window."""
+    words = re.findall("[a-z0-9]+", (text or "").translate(str.maketrans(common.UPPER, common.LOWER)))
+    bigrams = [f"{a} {b}" for a, b in zip(words, words[1:])]
+    found = {}
+    for name, template in templates.items():
+        own = licenses.template_bigrams(template)
+        size = own.total()
+        windows = [Counter(bigrams[i : i + size]) for i in range(max(len(bigrams) - size, 0) + 1)]
+        dice = [2 * (w & own).total() / (w.total() + size) for w in windows]
+        hit = [d >= threshold for d in dice]
+        if any(hit):
+            found[name] = (max(dice), sum(h and not before for h, before in zip(hit, [False, *hit])))
+    return found
+
+
+def test_license_windows_against_brute_force(spark):
+    rng = random.Random(44)
+    templates = {"a": "x y x y z", "b": "x y", "c": "a b c d e f g h a b c d", "d": "Z z Z z"}
+    texts = [" ".join(rng.choice("xyzab" if i % 2 else "abcdefgh") for _ in range(rng.randrange(0, 60))) for i in range(150)]
+    whole = [templates[k] for k in templates] + ["A b c d, e f g h a b c", "q " * 50 + "a b c d e f g h a b c d" + " q" * 50, None, ""]
+    texts = [rng.choice(["", "x\n"]) + t if t else t for t in texts + whole]
+    for threshold in (0.5, 0.8):
+        rows_ = spark.createDataFrame(list(enumerate(texts)), "key bigint, text string")
+        found = {i: {} for i in range(len(texts))}
+        for r in licenses.notices(rows_, templates, threshold).collect():
+            found[r.key][r.license] = (r.dice, r.notices)
+        assert found == {i: best_windows(t, templates, threshold) for i, t in enumerate(texts)}
+
+
+def test_license_notices_are_found_wherever_they_stand(spark):
+    rng = random.Random(45)
+    filler = ["lorem", "ipsum", "dolor", "the", "of", "software", "is"]
+    planted = []
+    for name, template in licenses.TEMPLATES.items():
+        words = template.split()
+        for kind in range(4):
+            own = list(words)
+            if kind == 1 and len(own) > 20:  # some words differ
+                for at in rng.sample(range(len(own)), len(own) // 25):
+                    own[at] = "changed"
+            breaks = " \n# " if kind == 2 else " "
+            text = "".join(w + (breaks if i % 7 == 6 else " ") for i, w in enumerate(own)) if kind == 2 else " ".join(own)
+            around = [" ".join(rng.choices(filler, k=rng.randrange(5, 300))) for _ in range(2)]
+            planted.append((name, f"{around[0]} {text.upper() if kind == 3 else text} {around[1]}"))
+    clean = [" ".join(rng.choices(filler, k=400)) for _ in range(20)]
+    rows_ = spark.createDataFrame(list(enumerate([t for _, t in planted] + clean)), "doc_id bigint, text string")
+    found = {r.doc_id: r for r in licenses.scan(rows_).collect()}
+    caught = sum(name in found[i].licenses.split(",") for i, (name, _) in enumerate(planted))
+    assert caught >= 0.95 * len(planted)
+    assert all(found[len(planted) + i].n_notices == 0 for i in range(len(clean)))
+
+
+def test_license_scan(spark):
+    mit = "Permission is" + licenses.TEMPLATES["MIT-text"][13:]
+    texts = ["We like it. Released under the MIT license. And more.", mit.replace(" copy, ", "\ncopy, "), "no licence", None, "", "All rights reserved. " * 2]
     found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
-    assert [found[i].license for i in range(5)] == ["MIT", "MIT-text", None, None, None]
-    assert found[0].dice == 1.0
+    assert [found[i].license for i in range(6)] == ["MIT", "MIT-text", None, None, None, "all-rights-reserved"]
+    assert (found[0].dice, found[1].dice, found[5].n_notices) == (1.0, 1.0, 2)
 
 
 # --- 5

@@ -87,25 +87,21 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _TEMPLATE_ROWS = ", ".join(
-    f"({_quoted(name)}, {len(b)}, {lo}, {hi}, [{', '.join(map(_quoted, b))}])"
-    for name, text in licenses.TEMPLATES.items()
-    for b in [licenses.template_bigrams(text)]
-    for lo, hi in [licenses.size_bounds(len(b), 0.8)]
+    f"({_quoted(name)}, {size}, {least}, {_quoted(bigram)}, {n})" for name, size, least, bigram, n in licenses.template_rows(licenses.TEMPLATES, 0.8)
 )
 ORACLES["op4_license_scan"] = f"""
-WITH templates AS (SELECT * FROM (VALUES {_TEMPLATE_ROWS}) v(license, n, lo, hi, own)),
-d AS (SELECT doc_id, {_LOWER.format("coalesce(text, '')")} AS t FROM documents),
-passages AS (
-  SELECT doc_id, unnest(CASE WHEN contains(t, chr(10)) THEN list_concat(string_split(t, chr(10)), [t]) ELSE [t] END) AS p FROM d),
-worded AS (SELECT doc_id, regexp_extract_all(p, '[a-z0-9]+') AS w FROM passages),
-paired AS (SELECT doc_id, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS b FROM worded WHERE len(w) > 1),
-matched AS (
-  SELECT doc_id, license, 2.0::DOUBLE * len(list_intersect(b, own)) / (len(b) + n) AS dice
-  FROM paired JOIN templates ON len(b) BETWEEN lo AND hi),
-kept AS (SELECT * FROM matched WHERE dice >= 0.8)
-SELECT d.doc_id, count(k.license) AS n_notices, arg_min(k.license, (-k.dice, k.license)) AS license, max(k.dice) AS dice,
-  coalesce(string_agg(DISTINCT k.license, ',' ORDER BY k.license), '') AS licenses
-FROM d LEFT JOIN kept k USING (doc_id) GROUP BY d.doc_id
+WITH templates AS (SELECT * FROM (VALUES {_TEMPLATE_ROWS}) v(license, size, least, bigram, n)),
+d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[a-z0-9]+') AS w FROM documents),
+paired AS (SELECT doc_id, len(w) - 1 AS bigrams, unnest(range(len(w) - 1)) AS p, unnest([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS bigram FROM d WHERE len(w) > 1),
+met AS (SELECT doc_id, bigrams, p, bigram, license, size, n FROM paired JOIN templates USING (bigram) WHERE bigrams >= least),
+windows AS (SELECT doc_id, license, size, bigrams, n, bigram, unnest(range(greatest(p - size + 1, 0), least(p, greatest(bigrams - size, 0)) + 1)) AS s FROM met),
+shared AS (SELECT doc_id, license, size, bigrams, s, n, bigram, least(count(*), n) AS c FROM windows GROUP BY doc_id, license, size, bigrams, s, n, bigram),
+scored AS (SELECT doc_id, license, s, 2.0::DOUBLE * sum(c) / (least(bigrams, size) + size) AS dice FROM shared GROUP BY doc_id, license, size, bigrams, s),
+runs AS (SELECT *, s - row_number() OVER (PARTITION BY doc_id, license ORDER BY s) AS run FROM scored WHERE dice >= 0.8),
+k AS (SELECT doc_id, license, max(dice) AS dice, count(DISTINCT run) AS notices FROM runs GROUP BY doc_id, license)
+SELECT d.doc_id, CAST(coalesce(sum(notices), 0) AS BIGINT) AS n_notices, arg_min(k.license, (-k.dice, k.license)) AS license, max(k.dice) AS dice,
+  coalesce(string_agg(k.license, ',' ORDER BY k.license), '') AS licenses
+FROM d LEFT JOIN k USING (doc_id) GROUP BY d.doc_id
 """
 
 
