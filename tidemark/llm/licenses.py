@@ -145,7 +145,9 @@ def notices(texts: DataFrame, templates: dict[str, str] = TEMPLATES, threshold:
     )
     paired = worded.select("key", (F.size("words") - 1).alias("bigrams"), F.posexplode(pair).alias("at", "bigram"))
     known = paired.join(F.broadcast(terms.select("bigram").distinct()), "bigram", "left_semi")
-    met = known.dropDuplicates(["key", "at"]).join(F.broadcast(terms), "bigram").filter("bigrams >= least")
+    # Repeated rows fall together before the shuffle; after it a text's rows stay in one place for all that follows.
+    apart = known.dropDuplicates(["key", "at"]).repartition("key")
+    met = apart.join(F.broadcast(terms), "bigram").filter("bigrams >= least")
 
     same = Window.partitionBy("key", "license", "bigram").orderBy("at")
     numbers = sorted({row[4] for row in template_rows(templates, threshold)})
