@@ -102,6 +102,15 @@ def test_backoff_does_not_depend_on_blocks(spark, sf_dir):
     assert rows(small) == rows(backoff.score(docs).withColumn("mean_log_score", F.round("mean_log_score", 9)))
 
 
+def test_backoff_joins_counts_and_keeps_the_type_of_ids(spark):
+    texts = spark.createDataFrame([("a", "x y z"), ("b", "x y"), (None, None), ("a", "x y z")], "doc_id string, text string")
+    found = backoff.score(texts, order=3, block_bytes=1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    assert rows(found, "doc_id", "n_words", "n_seen") == [("a", 3, 1), ("a", 3, 1), ("b", 2, 0), (None, 0, 0)]
+    assert rows(found) == rows(backoff.score(texts, order=3))
+
+
 # --- 2
 
 

@@ -7,39 +7,34 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .common import written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ALPHA = 0.4  # the published backoff factor
-ROW = "target bigint, block bigint, part int, payload binary"
-ROW_SCHEMA = pa.schema([("target", pa.int64()), ("block", pa.int64()), ("part", pa.int32()), ("payload", pa.binary())])
-RESULT = "doc_id bigint, n_words bigint, n_seen bigint, mean_log_score double"
-RESULT_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_seen", pa.int64()), ("mean_log_score", pa.float64())])
-STRUCTURE = -1
-
+ROW_BYTES = 64  # what a row counts for beside its text, so that empty texts fill blocks as well
+GRAMS = "gram bigint, block bigint, n bigint"
+EVERY = np.int64(0)  # the empty n-gram, which counts all words
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of 64- and 32-bit numbers, compressed, behind their lengths. Each array's first bytes stand together, then
-    its second ones and so on, which leaves the high bytes of small numbers as runs of zeros."""
-    raw = b"".join(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes() if len(a) else b"" for a in arrays)
-    head = np.array([len(raw), *[len(a) for a in arrays]], "<i8").tobytes()
-    return head + pa.compress(raw, codec="zstd", asbytes=True)
 
-
-def _unpack(data: bytes, *kinds: str) -> list[np.ndarray]:
-    head = np.frombuffer(data, "<i8", len(kinds) + 1)
-    raw = pa.decompress(data[head.nbytes :], decompressed_size=int(head[0]), codec="zstd", asbytes=True)
-    out, at = [], 0
-    for kind, n in zip(kinds, head[1:].tolist(), strict=True):
-        width = np.dtype(kind).itemsize
-        planes = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n)
-        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
-        at += n * width
-    return out
+def _words(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of each distinct word, each word's index among them, words per text)."""
+    vocabulary: dict[bytes, int] = {}
+    ids: list[int] = []
+    lengths = []
+    for text in texts.cast(pa.large_binary()).to_pylist():
+        words = (text or b"").lower().split()
+        ids += [vocabulary.setdefault(w, len(vocabulary)) for w in words]
+        lengths.append(len(words))
+    hashes = np.array([xxhash.xxh64_intdigest(w) for w in vocabulary], "<u8")
+    return hashes, np.array(ids, "<i4"), np.array(lengths, "<i8")
 
 
 def _grams(hashes: np.ndarray, ids: np.ndarray, lengths: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -64,63 +59,6 @@ def _distinct(hashes: np.ndarray, ids: np.ndarray, lengths: np.ndarray, order: i
     return unique, counts.astype("<i8"), at
 
 
-def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Sorted keys fall into buckets by range, so a block's shares join up in order again."""
-    edges = (np.arange(1, buckets, dtype=np.float64) / buckets * 2.0**64).astype(np.uint64)
-    return np.concatenate(([0], np.searchsorted(keys, edges), [len(keys)]))
-
-
-def _block_rows(block: int, docs: list[tuple[int | None, bytes]], order: int, buckets: int) -> list[tuple]:
-    vocabulary: dict[bytes, int] = {}
-    ids: list[int] = []
-    lengths = []
-    for _, text in docs:
-        words = text.lower().split()
-        ids += [vocabulary.setdefault(w, len(vocabulary)) for w in words]
-        lengths.append(len(words))
-    hashes = np.array([xxhash.xxh64_intdigest(w) for w in vocabulary], "<u8")
-    ids_, lengths_ = np.array(ids, "<i4"), np.array(lengths, "<i8")
-    named = np.array([d is not None for d, _ in docs], "<i4")
-    doc_ids = np.array([d or 0 for d, _ in docs], "<i8")
-    # The structure travels under a target of its own and meets the counts again in the block.
-    rows = [(-1 - block, block, STRUCTURE, _pack(hashes, ids_, lengths_, doc_ids, named))]
-    for n in range(1, order + 1):
-        keys, counts, _ = _distinct(hashes, ids_, lengths_, n)
-        cuts = _cuts(keys, buckets)
-        for bucket in np.flatnonzero(np.diff(cuts)).tolist():
-            own = slice(cuts[bucket], cuts[bucket + 1])
-            rows.append((bucket, block, n * buckets + bucket, _pack(np.diff(keys[own], prepend=np.uint64(0)), counts[own])))
-    # The empty n-gram counts all words.
-    rows.append((0, block, 0, _pack(np.zeros(1, "<u8"), np.array([len(ids)], "<i8"))))
-    return rows
-
-
-def _table(rows: list[tuple]) -> pa.Table:
-    columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-    return pa.table([pa.array(c, f.type) for c, f in zip(columns, ROW_SCHEMA, strict=True)], schema=ROW_SCHEMA)
-
-
-def _counted(group: pa.Table) -> pa.Table:
-    """A bucket's count table joined to the rows that ask: each gets the totals of its keys, in its order."""
-    rows = group.to_pylist()
-    out = [(0, r["block"], r["part"], r["payload"]) for r in rows if r["part"] == STRUCTURE]
-    parts: dict[int, list[dict]] = {}
-    for r in rows:
-        if r["part"] != STRUCTURE:
-            parts.setdefault(r["part"], []).append(r)
-    for part, own in parts.items():
-        # Keys travel as differences: sorted 64-bit hashes of a range share their first bits.
-        unpacked = [(np.cumsum(k, dtype="<u8"), n) for k, n in (_unpack(r["payload"], "<u8", "<i8") for r in own)]
-        keys, inverse = np.unique(np.concatenate([u[0] for u in unpacked]), return_inverse=True)
-        totals = np.zeros(len(keys), "<i8")
-        np.add.at(totals, inverse, np.concatenate([u[1] for u in unpacked]))
-        at = 0
-        for r, (asked, _) in zip(own, unpacked, strict=True):
-            out.append((0, r["block"], part, _pack(totals[inverse[at : at + len(asked)]])))
-            at += len(asked)
-    return _table(out)
-
-
 def _own(at: np.ndarray, doc: np.ndarray, size: int) -> np.ndarray:
     """How often each word's n-gram occurs in the word's own document; 0 where there is none."""
     pair = doc * (size + 1) + at
@@ -128,21 +66,40 @@ def _own(at: np.ndarray, doc: np.ndarray, size: int) -> np.ndarray:
     return np.where(at >= 0, counts[inverse], 0)
 
 
-def _scored(group: pa.Table, order: int, buckets: int, alpha: float) -> pa.Table:
-    rows = sorted(group.to_pylist(), key=lambda r: r["part"])
-    hashes, ids, lengths, doc_ids, named = _unpack(rows[0]["payload"], "<u8", "<i4", "<i8", "<i8", "<i4")
-    found: dict[int, list[np.ndarray]] = {}
-    for r in rows[1:]:
-        found.setdefault(r["part"] // buckets if r["part"] else 0, []).append(_unpack(r["payload"], "<i8")[0])
+def _block_grams(block: pa.Table, order: int) -> pa.Table:
+    """The distinct n-grams of a block with their counts: a frequent n-gram leaves it as one row."""
+    hashes, ids, lengths = _words(block.column("text"))
+    keys, counts = [np.array([EVERY])], [np.array([len(ids)], "<i8")]
+    for n in range(1, order + 1):
+        unique, found, _ = _distinct(hashes, ids, lengths, n)
+        keys.append(unique.view("<i8"))
+        counts.append(found)
+    gram = np.concatenate(keys)
+    number = block.column("block")[0].as_py()
+    return pa.table({"gram": gram, "block": np.full(len(gram), number, "<i8"), "n": np.concatenate(counts)})
+
+
+def _scored(block: pa.Table, shared: pa.Table, order: int, alpha: float, names: list[str]) -> pa.Table:
+    """The scores of a block's documents; `shared` holds the n-grams that other blocks have too, with their counts there."""
+    hashes, ids, lengths = _words(block.column("text"))
+    grams, elsewhere = (shared.column(c).to_numpy() for c in ("gram", "elsewhere"))
+    by_gram = np.argsort(grams)
+    grams, elsewhere = grams[by_gram], elsewhere[by_gram]
+
+    def outside(keys: np.ndarray) -> np.ndarray:
+        if not len(grams):
+            return np.zeros(len(keys), "<i8")
+        at = np.minimum(np.searchsorted(grams, keys), len(grams) - 1)
+        return np.where(grams[at] == keys, elsewhere[at], 0)
+
     doc = np.repeat(np.arange(len(lengths)), lengths)
     place = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     rest = []  # by order: occurrences in all other documents of the n-gram that ends at a word
-    all_words = int(found[0][0][0])
     for n in range(1, order + 1):
-        unique, _, at = _distinct(hashes, ids, lengths, n)
-        totals = np.concatenate(found[n]) if n in found else np.zeros(0, "<i8")
-        total = np.where(at >= 0, totals[at] if len(totals) else 0, 0)
-        rest.append(total - _own(at, doc, len(unique)))
+        unique, counts, at = _distinct(hashes, ids, lengths, n)
+        totals = np.append(counts + outside(unique.view("<i8")), 0)  # -1, no n-gram, takes the 0
+        rest.append(totals[at] - _own(at, doc, len(unique)))
+    all_words = len(ids) + int(outside(np.array([EVERY]))[0])
     others = np.maximum(all_words - lengths[doc], 1)
     # From the shortest order up: a longer n-gram that occurs elsewhere replaces the shorter one's score.
     log = np.log(np.maximum(rest[0], alpha) / others)
@@ -155,57 +112,55 @@ def _scored(group: pa.Table, order: int, buckets: int, alpha: float) -> pa.Table
         seen |= hit if n == order else False
     sums = np.bincount(doc, weights=log, minlength=len(lengths))
     n_seen = np.bincount(doc, weights=seen, minlength=len(lengths)).astype(np.int64)
-    return pa.table(
-        [
-            pa.array(doc_ids, pa.int64(), mask=named == 0),
-            pa.array(lengths, pa.int64()),
-            pa.array(n_seen, pa.int64()),
-            pa.array(sums / np.maximum(lengths, 1), pa.float64(), mask=lengths == 0),
-        ],
-        schema=RESULT_SCHEMA,
-    )
+    mean = pa.array(sums / np.maximum(lengths, 1), pa.float64(), mask=lengths == 0)
+    return pa.table([block.column("doc_id"), pa.array(lengths), pa.array(n_seen), mean], names=names)
+
+
+def in_blocks(texts: DataFrame, block_bytes: int) -> DataFrame:
+    """texts (doc_id, text) with a bigint `block`: rows that follow each other, about block_bytes of them, in one part."""
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, held = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype("<i8") + ROW_BYTES
+            starts = held + np.cumsum(sizes) - sizes
+            held += int(sizes.sum())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first + starts // block_bytes)], names=["doc_id", "text", "block"])
+
+    return texts.mapInArrow(numbered, T.StructType([*texts.schema.fields, T.StructField("block", T.LongType())]))
 
 
 def score(documents: DataFrame, order: int = 2, alpha: float = ALPHA, block_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
-    """One row (doc_id, n_words, n_seen, mean_log_score) per document.
+    """One row (doc_id, n_words, n_seen, mean_log_score) per document; doc_id keeps its type.
 
     A word's score is the stupid backoff score from the counts of all other documents: f(n-gram) / f(context) for the
     longest n-gram that occurs there, times alpha for each order skipped, down to f(word) / all words; a word that occurs
     nowhere else counts alpha times. n_seen counts the words whose longest n-gram occurs elsewhere.
 
-    Each task takes its documents in blocks and sends a block's distinct n-grams with their counts, so a frequent n-gram
-    leaves a block once. Rows are dealt by ranges of the n-gram's 64-bit hash; a range adds up its part of the count
-    table, joins it to the n-grams that asked, and the totals go back to the block, which sums scores per document. The
-    number of ranges follows the size of the texts, so a range stays as small as bucket_bytes of text.
+    Documents are dealt into blocks, written once so that a lost executor's blocks come back as they were. Each block
+    explodes into its distinct n-grams, one row (64-bit hash, block, count) each, and these are partitioned by hash. There
+    the count table is their sum by hash; joined to the same rows it tells each block how often its n-grams occur in
+    others. An n-gram that only one block has needs no answer, as the block counted it itself. A block then sums the scores
+    per document. The most frequent n-gram has one row per block, so no key is hot. The number of hash partitions follows
+    the size of the texts: bucket_bytes of text each.
 
     Words are what is not ASCII white space, A-Z as a-z. Null and empty texts have no words and a null score. Copies count
     as other documents, also repeated rows. No rows give no rows; other columns aren't looked at.
     """
-    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    texts = written(in_blocks(documents.select("doc_id", "text"), block_bytes), "lm-blocks")
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(4, -(-total // bucket_bytes))
+    result = T.StructType([texts.schema["doc_id"], *T._parse_datatype_string("n_words bigint, n_seen bigint, mean_log_score double").fields])
+    names = result.names
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, n = TaskContext.get().partitionId() << 32, 0
-        docs: list[tuple[int | None, bytes]] = []
-        held = 0
-        for batch in batches:
-            values = zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True)
-            for doc_id, text in values:
-                docs.append((doc_id, text or b""))
-                held += len(text or b"")
-                if held >= block_bytes:
-                    yield from _table(_block_rows(first + n, docs, order, buckets)).to_batches()
-                    docs, held, n = [], 0, n + 1
-        if docs:
-            yield from _table(_block_rows(first + n, docs, order, buckets)).to_batches()
-
-    def counted(group: pa.Table) -> pa.Table:
-        return _counted(group)
-
-    def scored(group: pa.Table) -> pa.Table:
-        return _scored(group, order, buckets, alpha)
-
-    sent = texts.mapInArrow(blocks, ROW)
-    totals = sent.groupBy("target").applyInArrow(counted, ROW)
-    return totals.groupBy("block").applyInArrow(scored, RESULT)
+    def exploded(block: pa.Table) -> pa.Table:
+        return _block_grams(block, order)
+
+    def scored(block: pa.Table, shared: pa.Table) -> pa.Table:
+        return _scored(block, shared, order, alpha, names)
+
+    blocks = texts.groupBy("block")
+    grams = blocks.applyInArrow(exploded, GRAMS).repartition(max(4, -(-total // bucket_bytes)), "gram")
+    counts = grams.groupBy("gram").agg(F.sum("n").alias("total"), F.min("block").alias("first"), F.max("block").alias("last"))
+    counts = counts.filter("first < last").select("gram", "total")
+    shared = grams.join(counts, "gram").select("block", "gram", (F.col("total") - F.col("n")).alias("elsewhere"))
+    return blocks.cogroup(shared.groupBy("block")).applyInArrow(scored, result)

@@ -30,24 +30,32 @@ def query(function: Query) -> Query:
 
 @query
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = backoff.score(table(spark, sf_dir, "documents"), order=2)
+    scored = backoff.score(table(spark, sf_dir, "documents"), order=3)
     return scored.withColumn("mean_log_score", F.round("mean_log_score", 6))
 
 
 ORACLES["op1_lm_scoring"] = f"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
-t AS (SELECT doc_id, len(w) AS n, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS b, unnest(list_concat([NULL], w[1:len(w) - 1])) AS a FROM d WHERE len(w) > 0),
+t AS (SELECT doc_id, len(w) AS n, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS c,
+  unnest(list_concat([NULL], w[1:len(w) - 1])) AS b, unnest(list_concat([NULL, NULL], w[1:len(w) - 2])[1:len(w)]) AS a FROM d WHERE len(w) > 0),
 f0 AS (SELECT count(*) AS n FROM t),
-f1 AS (SELECT b, count(*) AS n FROM t GROUP BY b), o1 AS (SELECT doc_id, b, count(*) AS n FROM t GROUP BY doc_id, b),
-f2 AS (SELECT a, b, count(*) AS n FROM t WHERE i > 1 GROUP BY a, b), o2 AS (SELECT doc_id, a, b, count(*) AS n FROM t WHERE i > 1 GROUP BY doc_id, a, b),
+o1 AS (SELECT doc_id, c, count(*) AS n FROM t GROUP BY ALL),
+o2 AS (SELECT doc_id, b, c, count(*) AS n FROM t WHERE i > 1 GROUP BY ALL),
+o3 AS (SELECT doc_id, a, b, c, count(*) AS n FROM t WHERE i > 2 GROUP BY ALL),
+r1 AS (SELECT doc_id, c, sum(n) OVER (PARTITION BY c) - n AS n FROM o1),
+r2 AS (SELECT doc_id, b, c, sum(n) OVER (PARTITION BY b, c) - n AS n FROM o2),
+r3 AS (SELECT doc_id, a, b, c, sum(n) OVER (PARTITION BY a, b, c) - n AS n FROM o3),
 r AS (
-  SELECT t.doc_id, t.i, f0.n - t.n AS others, f1.n - o1.n AS word, coalesce(f2.n - o2.n, 0) AS pair, c.n - oc.n AS context
-  FROM t, f0 JOIN f1 ON t.b = f1.b JOIN o1 ON t.doc_id = o1.doc_id AND t.b = o1.b
-  LEFT JOIN f2 ON t.i > 1 AND t.a = f2.a AND t.b = f2.b LEFT JOIN o2 ON t.i > 1 AND t.doc_id = o2.doc_id AND t.a = o2.a AND t.b = o2.b
-  LEFT JOIN f1 c ON t.i > 1 AND t.a = c.b LEFT JOIN o1 oc ON t.i > 1 AND t.doc_id = oc.doc_id AND t.a = oc.b),
+  SELECT t.doc_id, t.i, f0.n - t.n AS others, r1.n AS n1, coalesce(r2.n, 0) AS n2, coalesce(r3.n, 0) AS n3, m.n AS context1, p.n AS context2
+  FROM t CROSS JOIN f0 JOIN r1 ON t.doc_id = r1.doc_id AND t.c = r1.c
+  LEFT JOIN r2 ON t.doc_id = r2.doc_id AND t.b = r2.b AND t.c = r2.c
+  LEFT JOIN r3 ON t.doc_id = r3.doc_id AND t.a = r3.a AND t.b = r3.b AND t.c = r3.c
+  LEFT JOIN r1 m ON t.doc_id = m.doc_id AND t.b = m.c
+  LEFT JOIN r2 p ON t.doc_id = p.doc_id AND t.a = p.b AND t.b = p.c),
 s AS (
-  SELECT doc_id, pair > 0 AS seen, CASE WHEN pair > 0 THEN ln(pair::DOUBLE / context)
-    ELSE ln(greatest(word::DOUBLE, 0.4) / greatest(others, 1)) + CASE WHEN i > 1 THEN ln(0.4) ELSE 0 END END AS score FROM r)
+  SELECT doc_id, n3 > 0 AS seen, CASE WHEN n3 > 0 THEN ln(n3::DOUBLE / context2) ELSE CASE WHEN i > 2 THEN ln(0.4) ELSE 0 END
+    + CASE WHEN n2 > 0 THEN ln(n2::DOUBLE / context1)
+      ELSE ln(greatest(n1::DOUBLE, 0.4) / greatest(others, 1)) + CASE WHEN i > 1 THEN ln(0.4) ELSE 0 END END END AS score FROM r)
 SELECT doc_id, len(w) AS n_words, count(*) FILTER (seen) AS n_seen, round(avg(score), 6) AS mean_log_score
 FROM d LEFT JOIN s USING (doc_id) GROUP BY doc_id, len(w)
 """
