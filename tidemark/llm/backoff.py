@@ -21,6 +21,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 ALPHA = 0.4  # the published backoff factor
 ROW_BYTES = 64  # what a row counts for beside its text, so that empty texts fill blocks as well
 GRAMS = "gram bigint, block bigint, n bigint"
+MOST_PARTITIONS = 50_000  # more of them cost a shuffle more in small blocks than sorting in memory saves
 EVERY = np.int64(0)  # the empty n-gram, which counts all words
 
 
@@ -130,7 +131,7 @@ def in_blocks(texts: DataFrame, block_bytes: int) -> DataFrame:
     return texts.mapInArrow(numbered, T.StructType([*texts.schema.fields, T.StructField("block", T.LongType())]))
 
 
-def score(documents: DataFrame, order: int = 2, alpha: float = ALPHA, block_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
+def score(documents: DataFrame, order: int = 2, alpha: float = ALPHA, block_bytes: int = 8 << 20, bucket_bytes: int = 4 << 20) -> DataFrame:
     """One row (doc_id, n_words, n_seen, mean_log_score) per document; doc_id keeps its type.
 
     A word's score is the stupid backoff score from the counts of all other documents: f(n-gram) / f(context) for the
@@ -142,7 +143,7 @@ def score(documents: DataFrame, order: int = 2, alpha: float = ALPHA, block_byte
     the count table is their sum by hash; joined to the same rows it tells each block how often its n-grams occur in
     others. An n-gram that only one block has needs no answer, as the block counted it itself. A block then sums the scores
     per document. The most frequent n-gram has one row per block, so no key is hot. The number of hash partitions follows
-    the size of the texts: bucket_bytes of text each.
+    the size of the texts, bucket_bytes of text each, up to MOST_PARTITIONS; beyond that they grow, and their sorts spill.
 
     Words are what is not ASCII white space, A-Z as a-z. Null and empty texts have no words and a null score. Copies count
     as other documents, also repeated rows. No rows give no rows; other columns aren't looked at.
@@ -151,6 +152,7 @@ def score(documents: DataFrame, order: int = 2, alpha: float = ALPHA, block_byte
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     result = T.StructType([texts.schema["doc_id"], *T._parse_datatype_string("n_words bigint, n_seen bigint, mean_log_score double").fields])
     names = result.names
+    buckets = min(max(4, -(-total // bucket_bytes)), MOST_PARTITIONS)
 
     def exploded(block: pa.Table) -> pa.Table:
         return _block_grams(block, order)
@@ -159,7 +161,7 @@ def score(documents: DataFrame, order: int = 2, alpha: float = ALPHA, block_byte
         return _scored(block, shared, order, alpha, names)
 
     blocks = texts.groupBy("block")
-    grams = blocks.applyInArrow(exploded, GRAMS).repartition(max(4, -(-total // bucket_bytes)), "gram")
+    grams = blocks.applyInArrow(exploded, GRAMS).repartition(buckets, "gram")
     counts = grams.groupBy("gram").agg(F.sum("n").alias("total"), F.min("block").alias("first"), F.max("block").alias("last"))
     counts = counts.filter("first < last").select("gram", "total")
     shared = grams.join(counts, "gram").select("block", "gram", (F.col("total") - F.col("n")).alias("elsewhere"))
