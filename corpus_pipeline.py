@@ -6,7 +6,7 @@ taken. Rows are written between stages.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, langid, mixing, secrets, simhash
@@ -24,23 +24,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.filter(fits)
 
 
-def numbered(docs: DataFrame, purpose: str) -> DataFrame:
-    """(row, number): each document packed, under a number of its own, in a written table that all reads agree on."""
-    return written(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number")), purpose)
-
-
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies one row stays: the one with the smallest doc_id, without one only if all lack it, and
     of several the one with the smallest key of id and text. Rows are compared one by one, whatever doc_ids they share;
     repeated rows are copies of each other, and so are rows without words. No rows give no rows; other columns of any name
     and type come along."""
-    rows = numbered(docs, "pipeline-rows")
-    # Orders rows as above and tells all apart.
-    key = decontam.document_key(F.col("row.doc_id"), F.col("row.text"))
-    order = F.struct(F.col("row.doc_id").isNull().alias("unnamed"), F.col("row.doc_id").alias("doc_id"), key.alias("key"), "number")
-    groups = simhash.near_copies(rows.select(order.alias("doc_id"), F.col("row.text").alias("text")), shingle=4, max_bits=4, seed=42)
-    firsts = written(groups.filter("doc_id = component_id").select("doc_id.number"), "pipeline-firsts")
-    return rows.join(firsts, "number", "left_semi").select("row.*")
+    keyed = docs.select(decontam.document_key().alias("key"), F.monotonically_increasing_id().alias("number"), F.struct("*").alias("row"))
+    # Orders rows as above and tells all apart but those that share id and text, which are copies of each other.
+    order = F.struct(F.col("row.doc_id").isNull().alias("unnamed"), F.col("row.doc_id").alias("doc_id"), "key")
+    groups = simhash.near_copies(keyed.select(order.alias("doc_id"), F.col("row.text").alias("text")), shingle=4, max_bits=4, seed=42)
+    firsts = written(groups.filter("doc_id = component_id").select("doc_id.key").distinct(), "pipeline-firsts")
+    # Rows move once, to their key; what has a row per document meets them there and is not sent to every task.
+    each = keyed.groupBy("key").agg(F.min_by("row", "number").alias("row"))
+    return each.join(firsts.hint("merge"), "key").select("row.*")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,33 +54,53 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return secrets.redacted(docs)
 
 
+def _counted_off(rows: DataFrame, group: str, amount: Column) -> DataFrame:
+    """rows with `before`: the amounts of the rows of their group that have smaller numbers. In runs by their numbers, so that
+    a hot group is spread, and the runs by the group's amounts before them."""
+    runs = rows.withColumn("amount", amount).withColumn("run", F.floor(F.col("number") / mixing.RUN))
+    preceding = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    starts = runs.groupBy(group, "run").agg(F.sum("amount").alias("amounts"))
+    earlier = F.sum("amounts").over(preceding(Window.partitionBy(group).orderBy("run")))
+    starts = starts.select(group, "run", F.coalesce(earlier, F.lit(0)).alias("start"))
+    own = F.sum("amount").over(preceding(Window.partitionBy(group, "run").orderBy("number")))
+    return runs.withColumn("own", F.coalesce(own, F.lit(0))).join(starts, [group, "run"]).withColumn("before", F.col("start") + F.col("own"))
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it (copy 1, 2, 3), with its size and its source's size and target. Columns
     of docs that have one of these names give way to them. Repeated rows and rows without an id are taken row by row; rows
     without words never; a null source is one of its own; no rows give no rows."""
-    rows = numbered(docs, "pipeline-rows")
+    rows = docs.select(F.struct(decontam.document_key().alias("key"), "source").alias("id"), F.struct("*").alias("row"))
     key = F.struct(F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"), mixing.word_count(F.col("row.text")).alias("size"))
-    sized = written(rows.select("number", key.alias("key")), "pipeline-sizes")
+    sized = written(rows.select("id", key.alias("key"), F.monotonically_increasing_id().alias("number")), "pipeline-sizes")
     plan = mixing.plan(sized.select("key.doc_id", "key.source", "key.size")).filter("low > 0 or n_high > 0")
     groups = plan.select(F.struct("doc_id", "source", "size").alias("key"), F.col("m").alias("rows"), "m", "low", "n_high", "source_size", "target")
-    met = written(meet_classes(sized, written(groups, "pipeline-mix"), "key"), "pipeline-met")
-
-    # Rows of a group with two numbers of copies are counted off: in runs by their numbers, so that a hot group is spread,
-    # and the runs by the group's rows before them.
-    shared = met.filter("m > 1 and n_high > 0").withColumn("run", F.floor(F.col("number") / mixing.RUN))
-    earlier = Window.partitionBy("key").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    starts = shared.groupBy("key", "run").agg(F.count("*").alias("n"))
-    starts = starts.select("key", "run", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
-    nth = F.row_number().over(Window.partitionBy("key", "run").orderBy("number")) + F.col("start")
-    counted = shared.join(starts, ["key", "run"]).withColumn("copies", F.col("low") + (nth <= F.col("n_high")).cast("int"))
-    alone = met.filter("m = 1 or n_high = 0").withColumn("copies", F.col("low") + F.col("n_high").cast("int"))
-    given = ["number", F.col("key.size").alias("size"), "source_size", "target", "copies"]
-    taken = alone.select(*given).unionByName(counted.select(*given)).filter("copies > 0")
-    taken = written(taken.select("number", F.struct("size", "source_size", "target", "copies").alias("plan")), "pipeline-taken")
-    return rows.join(taken, "number").select(
+    # Rows that share id, text and source are a class; a group of the mix holds one or more of them.
+    classes = written(sized.groupBy("id", "key").agg(F.count("*").alias("n"), F.min("number").alias("number")), "pipeline-classes")
+    met = written(meet_classes(classes, written(groups, "pipeline-mix"), "key"), "pipeline-met")
+
+    # Classes of a group with two numbers of copies are counted off by their rows, in the order of their first ones.
+    shared = _counted_off(met.filter("m > n and n_high > 0"), "key", F.col("n"))
+    high = F.greatest(F.least(F.col("n_high") - F.col("before"), F.col("n")), F.lit(0).cast("bigint"))
+    given = ["id", F.col("n").alias("rows"), "low", "high", F.struct(F.col("key.size").alias("size"), "source_size", "target").alias("plan")]
+    alone = met.filter("m = n or n_high = 0").withColumn("high", F.col("n_high"))
+    taken = alone.select(*given).unionByName(shared.withColumn("high", high).select(*given)).filter("low > 0 or high > 0")
+    taken = written(taken, "pipeline-taken")
+
+    # Rows meet their class where both move to, once. Those of a class with over a thousandth of all rows stay, and only they
+    # are written with numbers, to be counted off where they are.
+    is_hot = F.col("rows") * 1000 > (taken.agg(F.sum("rows")).first()[0] or 0)
+    hot = written(taken.filter(is_hot), "pipeline-hot")
+    number = F.monotonically_increasing_id().alias("number")
+    rest = rows.join(F.broadcast(hot.select("id")), "id", "left_anti").join(taken.filter(~is_hot).hint("merge"), "id")
+    rest = rest.select("*", number).withColumn("before", F.row_number().over(Window.partitionBy("id").orderBy("number")) - 1)
+    spread = _counted_off(written(rows.join(F.broadcast(hot), "id").select("*", number), "pipeline-rows"), "id", F.lit(1))
+    columns = ["row", "plan", (F.col("low") + (F.col("before") < F.col("high")).cast("int")).cast("int").alias("copies")]
+    every = rest.select(*columns).unionByName(spread.select(*columns)).filter("copies > 0")
+    return every.select(
         *[F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in MIX_COLUMNS],
         "plan.size", "plan.source_size", "plan.target",
-        F.explode(F.sequence(F.lit(1), F.col("plan.copies"))).alias("copy"),
+        F.explode(F.sequence(F.lit(1), "copies")).alias("copy"),
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import pathlib
 import random
 import re
 import time
@@ -607,6 +608,38 @@ def test_pipeline_stages(spark, sf_dir, documents):
     assert set(docs.columns) < set(last.columns)
 
 
+@pytest.mark.parametrize("stage", ["near_copies", "mixed"])
+def test_stages_move_texts_once_and_write_none(spark, sf_dir, stage):
+    rng = random.Random(12)
+    docs = [(i, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz    ", k=3000)), "en", f"s{i % 3}", 1) for i in range(1500)]
+    docs = common.written(spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint"), "test")
+    root = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    size = lambda: sum(p.stat().st_size for p in root.rglob("*.parquet"))
+    before = size()
+    found = dict(corpus_pipeline.STAGES)[stage](spark, docs, sf_dir)
+    assert found.count() >= 1200
+    assert size() - before < 500_000  # of 4 MB of texts
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange hashpartitioning" in plan  # what has a row per document is not broadcast
+
+
+def test_mix_stage_takes_what_the_plan_says(spark, sf_dir):
+    """Groups of one class and of several, hot ones and rare ones, with copies that differ by one."""
+    rows_ = [(None, f"w{i} b c", "s0") for i in range(300)] + [(None, "same words here", "s0")] * 2500 + [(7, "x y", "s1")] * 900
+    rows_ += [(i, "a " * (i % 9), f"s{i % 4}") for i in range(8, 400)] + [(i, "p q r", "s1") for i in range(400, 500)] * 3 + [(500, None, None)] * 5
+    docs = spark.createDataFrame(rows_, "doc_id bigint, text string, source string").repartition(5)
+    last = common.written(corpus_pipeline.mixed(spark, docs, sf_dir), "test")
+    keys = ["doc_id", "source", "size"]
+    wanted = mixing.planned(docs).select(*keys, (F.col("low") * F.col("m") + F.col("n_high")).alias("n")).filter("n > 0")
+    assert rows(last.groupBy(*keys).agg(F.count("*").alias("n"))) == rows(wanted)
+    high = mixing.planned(docs).filter("n_high > 0")
+    assert high.filter("m > 1000").count() and high.filter("m = 3 or m = 900").count()
+    # No row is taken more than once above another of its group.
+    split = high.filter("m = 2800").first()
+    copies = last.filter("doc_id is null").groupBy("copy").agg(F.count("*").alias("n")).collect()
+    assert {r.copy: r.n for r in copies} == {k: n for k, n in [*((i, 2800) for i in range(1, split.low + 1)), (split.low + 1, split.n_high)]}
+
+
 def test_url_scores_do_not_depend_on_the_batch():
     rng = random.Random(8)
     make = lambda: "".join(rng.choices("abc/.-", k=rng.randrange(60))).encode()
