@@ -13,6 +13,8 @@ from urllib.parse import urlsplit
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -112,6 +114,31 @@ def test_backoff_joins_counts_and_keeps_the_type_of_ids(spark):
     assert rows(found) == rows(backoff.score(texts, order=3))
 
 
+def test_backoff_counts_in_steps_that_free_their_shuffles(spark):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcde") for _ in range(rng.randrange(12))) for _ in range(40)]
+    before, tables = spark.conf.get(backoff.FREE_SHUFFLES), [t.name for t in spark.catalog.listTables()]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r for r in backoff.score(df, order=4, block_bytes=300, parts=3).collect()}
+    assert spark.conf.get(backoff.FREE_SHUFFLES) == before and [t.name for t in spark.catalog.listTables()] == tables
+    docs = [t.split() for t in texts]
+    for d, words in enumerate(docs):
+        counts = Counter(tuple(w[i - n : i]) for o, w in enumerate(docs) if o != d for n in range(1, 5) for i in range(n, len(w) + 1))
+        assert found[d].n_seen == sum(counts[tuple(words[i - 4 : i])] > 0 for i in range(4, len(words) + 1))
+    whole = {r.doc_id: r for r in backoff.score(df, order=4, parts=1).collect()}
+    assert all(found[d].mean_log_score == whole[d].mean_log_score or math.isclose(found[d].mean_log_score, whole[d].mean_log_score) for d in found)
+
+
+def test_backoff_sends_no_ngram_whose_parts_occur_in_one_block_only():
+    words = backoff._words(pa.array(["a b c d", "b c"]))
+    block = pa.table({"doc_id": [1, 2], "words": words, "block": [7, 7]})
+    lengths = np.array([4, 2])
+    pairs = backoff._grams(pc.list_flatten(words).to_numpy().view("<u8"), lengths, 2)[0].view("<i8")
+    triples = backoff._grams(pc.list_flatten(words).to_numpy().view("<u8"), lengths, 3)[0].view("<i8")
+    found = backoff._block_grams(block, pa.table({"gram": [pairs[1], pairs[2]]}), 3, 0, 1)
+    assert found.to_pylist() == [{"gram": triples[2], "block": 7, "n": 1}]
+
+
 # --- 2
 
 
